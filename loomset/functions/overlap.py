@@ -34,31 +34,6 @@ def f_score(hits: Column, predicted: Column, expected: Column) -> Column:
     return F.when(hits > 0, 2.0 * hits / (predicted + expected)).otherwise(F.lit(0.0))
 
 
-def lcs_length_native(left: Column, right: Column) -> Column:
-    """Length of the longest common subsequence of two token arrays, without leaving the JVM.
-
-    Hunt and Szymanski (1977): walk the matching positions, left ascending and right
-    descending, and keep the smallest possible last position for each subsequence length.
-    """
-    ends = F.lit(None).cast("array<int>")
-    rights = F.transform(right, lambda token, j: F.struct(token.alias("t"), j.alias("j")))
-
-    def place(tails: Column, j: Column) -> Column:
-        below = F.size(F.filter(tails, lambda tail: tail < j))
-        return F.concat(
-            F.slice(tails, F.lit(1), below),
-            F.array(j),
-            F.slice(tails, below + 2, F.greatest(F.size(tails) - below - 1, F.lit(0))),
-        )
-
-    def per_left(tails: Column, token: Column) -> Column:
-        hits = F.filter(rights, lambda r: r["t"] == token)
-        return F.aggregate(F.reverse(F.transform(hits, lambda r: r["j"])), tails, place)
-
-    tails = F.aggregate(left, F.coalesce(ends, F.array().cast("array<int>")), per_left)
-    return F.size(tails)
-
-
 def _match_masks(tokens: Sequence[str]) -> dict[str, int]:
     masks: dict[str, int] = {}
     bit = 1
@@ -80,34 +55,37 @@ def _lcs_length(left: Sequence[str], right: Sequence[str]) -> int:
     return len(left) - row.bit_count()
 
 
-def _lcs_positions(expected: Sequence[str], predicted: Sequence[str]) -> list[int]:
+def _lcs_positions(
+    expected: Sequence[str], predicted: Sequence[str], masks: dict[str, int]
+) -> list[int]:
     """Positions in ``expected`` of one LCS.
 
     Which one is fixed: from the end, take equal tokens; else step to the longer neighbour,
     and on a tie drop the expected token. Row i of the table is kept as a bit vector whose
-    zero bits count the LCS length of each prefix.
+    zero bits count the LCS length of each prefix of ``predicted``; ``masks`` are the latter's.
     """
-    masks = _match_masks(predicted)
+    # An expected token that was not predicted always ties, so its row can be left out.
+    places = [i for i, token in enumerate(expected) if token in masks]
     full = (1 << len(predicted)) - 1
     rows = [full]
-    for token in expected:
+    for place in places:
         row = rows[-1]
-        hit = row & masks.get(token, 0)
-        rows.append(((row + hit) | (row - hit)) & full if hit else row)
-
-    def length(i: int, j: int) -> int:
-        return j - (rows[i] & ((1 << j) - 1)).bit_count()
+        hit = row & masks[expected[place]]
+        rows.append(((row + hit) | (row - hit)) & full)
 
     found = []
-    i, j = len(expected), len(predicted)
-    while i and j:
-        if expected[i - 1] == predicted[j - 1]:
-            i, j = i - 1, j - 1
-            found.append(i)
-        elif length(i, j - 1) > length(i - 1, j):
+    i, j = len(places), len(predicted)
+    length = j - rows[i].bit_count()
+    while length:
+        if expected[places[i - 1]] == predicted[j - 1]:
+            i, j, length = i - 1, j - 1, length - 1
+            found.append(places[i])
+        # A set bit: without the last predicted token the LCS is as long as with it.
+        elif rows[i] >> (j - 1) & 1 and j - (rows[i - 1] & ((1 << j) - 1)).bit_count() < length:
             j -= 1
         else:
             i -= 1
+            length = j - (rows[i] & ((1 << j) - 1)).bit_count()
     return found
 
 
@@ -115,9 +93,10 @@ def _summary_hits(predicted: Sequence[Sequence[str]], expected: Sequence[Sequenc
     """Union-LCS hits over sentences; a token counts at most as often as each side has it."""
     left = Counter(token for sentence in predicted for token in sentence)
     right = Counter(token for sentence in expected for token in sentence)
+    others = [(other, _match_masks(other)) for other in predicted]
     hits = 0
     for sentence in expected:
-        matched = {i for other in predicted for i in _lcs_positions(sentence, other)}
+        matched = {i for other, masks in others for i in _lcs_positions(sentence, other, masks)}
         for token in (sentence[i] for i in sorted(matched)):
             if left[token] > 0 and right[token] > 0:
                 left[token] -= 1
@@ -127,7 +106,7 @@ def _summary_hits(predicted: Sequence[Sequence[str]], expected: Sequence[Sequenc
 
 
 @F.pandas_udf(IntegerType())
-def lcs_length_arrow(left: pd.Series, right: pd.Series) -> pd.Series:
+def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
     """LCS length of two blank-separated token strings."""
     return pd.Series(
         [_lcs_length(a.split(), b.split()) for a, b in zip(left, right)], dtype="int32"
@@ -135,7 +114,7 @@ def lcs_length_arrow(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(IntegerType())
-def summary_hits_arrow(predicted: pd.Series, expected: pd.Series) -> pd.Series:
+def summary_hits(predicted: pd.Series, expected: pd.Series) -> pd.Series:
     """Union-LCS hits of two texts with one sentence per line."""
 
     def sentences(text: str) -> list[list[str]]:

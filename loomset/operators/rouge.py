@@ -94,30 +94,24 @@ def ngram_scores(pairs: DataFrame, metrics: tuple[str, ...] = tuple(_ORDERS)) ->
         overlap.score_tokens(or_empty(F.col("prediction"))).alias("p"),
         overlap.score_tokens(or_empty(F.col("target"))).alias("t"),
     )
-
-    def tagged(order: int, grams: Column, in_prediction: int, in_target: int) -> Column:
-        return F.transform(
-            grams,
-            lambda gram: F.struct(
-                F.lit(order).alias("n"),
-                gram.alias("gram"),
-                F.lit(in_prediction).alias("in_prediction"),
-                F.lit(in_target).alias("in_target"),
-            ),
-        )
-
-    def present(order: int) -> Column:
-        """The null gram keeps a pair without n-grams in the result, with zero counts."""
-        return tagged(order, F.array(F.lit(None).cast("string")), 0, 0)
-
-    parts = []
+    sides = []
     for order in (_ORDERS[metric] for metric in metrics):
-        p, t = (F.col(c) if order == 1 else overlap.bigrams(F.col(c)) for c in ("p", "t"))
-        parts += [tagged(order, p, 1, 0), tagged(order, t, 0, 1), present(order)]
-    counted = (
-        tokens.select(*_PAIR, F.inline(F.concat(*parts)))
-        .groupBy(*_PAIR, "n", "gram")
-        .agg(F.sum("in_prediction").alias("p"), F.sum("in_target").alias("t"))
+        for side in ("p", "t"):
+            grams = F.col(side) if order == 1 else overlap.bigrams(F.col(side))
+            sides.append(
+                F.struct(
+                    F.lit(order).alias("n"),
+                    F.lit(int(side == "p")).alias("in_p"),
+                    F.lit(int(side == "t")).alias("in_t"),
+                    grams.alias("grams"),
+                )
+            )
+    # A side without n-grams gives one null gram, which counts nothing but keeps the pair.
+    grams = tokens.select(*_PAIR, F.inline(F.array(*sides))).select(
+        *_PAIR, "n", "in_p", "in_t", F.explode_outer("grams").alias("gram")
+    )
+    counted = grams.groupBy(*_PAIR, "n", "gram").agg(
+        *[F.sum(F.when(F.col("gram").isNotNull(), F.col(f"in_{s}")).otherwise(0)).alias(s) for s in "pt"]
     )
     names = F.create_map(*[F.lit(x) for m in metrics for x in (_ORDERS[m], m)])
     totals = (
@@ -132,23 +126,18 @@ def ngram_scores(pairs: DataFrame, metrics: tuple[str, ...] = tuple(_ORDERS)) ->
     return _scored(totals)
 
 
-def lcs_scores(pairs: DataFrame, lcs: str = "arrow") -> DataFrame:
-    """ROUGE-L per pair. ``lcs`` picks the Arrow helper or the JVM-only expression."""
-    prediction, target = or_empty(F.col("prediction")), or_empty(F.col("target"))
-    if lcs == "arrow":
-        hits = overlap.lcs_length_arrow(overlap.score_text(prediction), overlap.score_text(target))
-    elif lcs == "native":
-        hits = overlap.lcs_length_native(
-            overlap.score_tokens(prediction), overlap.score_tokens(target)
-        )
-    else:
-        raise ValueError(f"lcs must be 'arrow' or 'native', not {lcs!r}")
+def lcs_scores(pairs: DataFrame) -> DataFrame:
+    """ROUGE-L per pair, with the longest common subsequence found in an Arrow helper."""
+    hits = overlap.lcs_length(
+        overlap.score_text(or_empty(F.col("prediction"))),
+        overlap.score_text(or_empty(F.col("target"))),
+    )
     return _row_scores(pairs, "rougeL", hits)
 
 
 def summary_scores(pairs: DataFrame) -> DataFrame:
     """ROUGE-Lsum per pair; each line is a sentence."""
-    hits = overlap.summary_hits_arrow(
+    hits = overlap.summary_hits(
         overlap.score_text(or_empty(F.col("prediction")), keep_lines=True),
         overlap.score_text(or_empty(F.col("target")), keep_lines=True),
     )
@@ -170,15 +159,13 @@ def _row_scores(pairs: DataFrame, metric: str, hits: Column) -> DataFrame:
     )
 
 
-def rouge_scores(
-    pairs: DataFrame, metrics: tuple[str, ...] = METRICS, lcs: str = "arrow"
-) -> DataFrame:
+def rouge_scores(pairs: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """All wanted metrics, one row per pair and metric."""
     parts = []
     if counted := tuple(m for m in metrics if m in _ORDERS):
         parts.append(ngram_scores(pairs, counted))
     if "rougeL" in metrics:
-        parts.append(lcs_scores(pairs, lcs))
+        parts.append(lcs_scores(pairs))
     if "rougeLsum" in metrics:
         parts.append(summary_scores(pairs))
     return reduce(DataFrame.unionByName, parts)

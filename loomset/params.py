@@ -80,7 +80,6 @@ class EvaluationParams:
     max_new_tokens: int = 128
     num_qualitative_examples: int = 5
     metrics: tuple[str, ...] = METRICS
-    lcs: str = "arrow"
     partitions: int | None = None
 
     def __post_init__(self) -> None:

@@ -60,7 +60,7 @@ def evaluate(
             raise EmptySplitError({"test": 0})
         made = _stored_predictions(test, params, generators, predictions, f"{root}/predictions")
         require_alignment(test, made, MODELS)
-        scores = corpus_scores(rouge_scores(pair_up(test, made), wanted.metrics, wanted.lcs))
+        scores = corpus_scores(rouge_scores(pair_up(test, made), wanted.metrics))
         write_small(side_by_side(test, made, wanted.num_qualitative_examples), examples_dir)
         write_small(scores, scores_dir)
     scores = spark.read.schema("model string, metric string, value double").json(scores_dir)

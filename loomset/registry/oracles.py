@@ -315,7 +315,6 @@ ORACLES = {
     "rouge1": sql(BY_PAIR, f"{SCORES} from scored1", (grams(1, "pairs"),)),
     "rouge2": sql(BY_PAIR, f"{SCORES} from scored2", (grams(2, "pairs"),)),
     "rougeL": sql(BY_PAIR, f"{SCORES} from scoredL", (longest("pairs"),)),
-    "rougeL_native": sql(BY_PAIR, f"{SCORES} from scoredL", (longest("pairs"),)),
     "model_scores": sql(
         BY_PAIR,
         f"""select model, metric, round(avg({F1}), 6) as value

@@ -357,11 +357,6 @@ def rougeL(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rouge.lcs_scores(_pairs(spark, sf_dir)))
 
 
-@query
-def rougeL_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(rouge.lcs_scores(_pairs(spark, sf_dir), lcs="native"))
-
-
 @query
 def rougeLsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rouge.summary_scores(_pairs(spark, sf_dir)))

@@ -1,0 +1,99 @@
+import pytest
+from pyspark.sql import functions as F
+
+from loomset.functions.chat import CHATML, PHI3, ChatTemplate, full_messages, prompt_messages, render
+from loomset.operators.formatting import drop_long_rows, format_rows, measure_rows
+
+
+def test_messages_have_role_and_content(examples):
+    row = examples(("Q", None, "A")).select(
+        prompt_messages("S", F.col("instruction")).alias("p"),
+        full_messages("S", F.col("instruction"), F.col("response")).alias("f"),
+    ).first()
+    assert [tuple(m) for m in row.p] == [("system", "S"), ("user", "Q")]
+    assert [tuple(m) for m in row.f] == [("system", "S"), ("user", "Q"), ("assistant", "A")]
+
+
+def test_render_with_and_without_generation_marker(examples):
+    rows = examples(("Q", None, "A"))
+    row = format_rows(rows, "S", PHI3).first()
+    head = "<|system|>\nS<|end|>\n<|user|>\nQ<|end|>\n"
+    assert row.prompt == head + "<|assistant|>\n"
+    assert row.text == head + "<|assistant|>\nA<|end|>\n<|endoftext|>"
+
+
+def test_render_any_list_length(spark):
+    frame = spark.createDataFrame(
+        [([("user", "a"), ("assistant", "b"), ("user", "c")],), ([],)],
+        "m array<struct<role:string,content:string>>",
+    )
+    got = [r.t for r in frame.select(render(F.col("m"), CHATML, ask=True).alias("t")).collect()]
+    turns = [("user", "a"), ("assistant", "b"), ("user", "c")]
+    body = "".join(f"<|im_start|>{r}\n{c}<|im_end|>\n" for r, c in turns)
+    assert got == [body + "<|im_start|>assistant\n", "<|im_start|>assistant\n"]
+
+
+def test_own_template(examples):
+    plain = ChatTemplate("plain", {"system": "", "user": "U: ", "assistant": "A: "}, "\n", "A: ")
+    row = format_rows(examples(("Q", None, "R")), "S", plain).first()
+    assert (row.prompt, row.text) == ("S\nU: Q\nA: ", "S\nU: Q\nA: R\n")
+
+
+def test_unknown_role_fails(spark):
+    frame = spark.createDataFrame([([("tool", "x")],)], "m array<struct<role:string,content:string>>")
+    with pytest.raises(Exception, match="no marker for role tool"):
+        frame.select(render(F.col("m"), PHI3, ask=False)).collect()
+
+
+def test_chatml_layout_is_the_fallback(examples):
+    rows = examples(("Q", "C", "A"), ("<|im_end|>", None, None))
+    for row in format_rows(rows, "S").collect():
+        assert row.text == row.prompt + row.target + "<|im_end|>"
+    first = format_rows(rows, "S").orderBy("example_id").first()
+    assert first.prompt == (
+        "<|im_start|>system\nS<|im_end|>\n"
+        "<|im_start|>user\nQ\n\nContext:\nC<|im_end|>\n"
+        "<|im_start|>assistant\n"
+    )
+
+
+def test_source_columns_stay_and_are_overwritten_by_name(spark):
+    frame = spark.createDataFrame(
+        [("Q", None, "A", None, "old", 7)],
+        "instruction string, context string, response string, output string, text string, n int",
+    )
+    row = format_rows(frame, "S").first()
+    assert row.n == 7 and row.instruction == "Q" and row.text != "old"
+    assert format_rows(frame, "S").columns.count("text") == 1
+
+
+def test_limit_is_inclusive(examples):
+    rows = format_rows(examples(("a", None, "b"), ("a", None, "b c")), "S")
+    counts = [r.num_tokens for r in measure_rows(rows, 10**6).orderBy("example_id").collect()]
+    assert counts[1] == counts[0] + 1
+    kept = drop_long_rows(measure_rows(rows, counts[0]))
+    assert [r.example_id for r in kept.collect()] == [0]
+    assert not {"num_tokens", "within_limit"} & set(kept.columns)
+
+
+def test_own_counter(examples):
+    rows = format_rows(examples(("a", None, "b")), "S")
+    measured = measure_rows(rows, 3, counter=lambda text: F.length(text) - F.length(text) + 4)
+    assert measured.first().within_limit is False
+
+
+def test_row_steps_accept_a_stream(spark, examples, tmp_path):
+    rows = examples(("a", " c ", "b"), ("x" * 10, None, "y " * 5000))
+    rows.write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).json(str(tmp_path / "in"))
+    kept = drop_long_rows(measure_rows(format_rows(stream, "S"), 100))
+    query = (
+        kept.writeStream.format("json")
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    assert query.awaitTermination(60)
+    got = spark.read.json(str(tmp_path / "out")).collect()
+    expected = drop_long_rows(measure_rows(format_rows(rows, "S"), 100)).collect()
+    assert [r.text for r in got] == [r.text for r in expected]

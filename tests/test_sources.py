@@ -1,0 +1,141 @@
+import gzip
+import json
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from loomset.errors import ConfigError, DatasetLoadError, MissingSplitError
+from loomset.params import DatasetParams
+from loomset.plans.prepare import prepare
+from loomset.sources.reader import load_rows, load_split, load_splits
+from loomset.sources.storage import scratch
+from loomset.sources.writer import require_free_name, write_small, write_splits
+
+ROWS = [
+    {"instruction": "a", "context": None, "response": "b", "category": "x"},
+    {"instruction": "c\nd", "response": "e", "category": "y"},
+]
+
+
+def lines(path, rows):
+    path.write_text("\n".join(json.dumps(r) for r in rows) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def test_json_lines_and_array(spark, tmp_path):
+    arrays = tmp_path / "b.json"
+    arrays.write_text("\n  " + json.dumps(ROWS, indent=1), encoding="utf-8")
+    # A .json file may hold lines as well; reading those as one document would lose rows.
+    for path in (lines(tmp_path / "a.jsonl", ROWS), str(arrays), lines(tmp_path / "c.json", ROWS)):
+        got = sorted(load_rows(spark, path).collect(), key=lambda r: r.instruction)
+        assert [(r.instruction, r.context, r.response, r.output) for r in got] == [
+            ("a", None, "b", None),
+            ("c\nd", None, "e", None),
+        ]
+
+
+def test_compressed_array_and_directory(spark, tmp_path):
+    folder = tmp_path / "many.json"
+    folder.mkdir()
+    with gzip.open(folder / "one.json.gz", "wt", encoding="utf-8") as file:
+        json.dump(ROWS, file)
+    assert load_rows(spark, str(folder)).count() == 2
+
+
+def test_inferred_schema_keeps_other_columns(spark, tmp_path):
+    path = lines(tmp_path / "a.jsonl", ROWS)
+    rows = load_rows(spark, path, schema=None)
+    assert {"category", "instruction", "context", "response", "output"} == set(rows.columns)
+    assert "category" not in load_rows(spark, path).columns
+
+
+def test_parquet_and_catalog_table(spark, tmp_path):
+    frame = spark.createDataFrame([("q", "r", 3)], "instruction string, response string, n int")
+    frame.write.parquet(str(tmp_path / "t.parquet"))
+    frame.write.mode("overwrite").saveAsTable("loomset_rows")
+    for name in (str(tmp_path / "t.parquet"), "loomset_rows"):
+        row = load_rows(spark, name).first()
+        assert (row.instruction, row.context, row.response, row.output, row.n) == (
+            "q", None, "r", None, 3,
+        )
+    spark.sql("drop table loomset_rows")
+
+
+def test_missing_source(spark):
+    with pytest.raises(DatasetLoadError, match="no_such_table") as caught:
+        load_rows(spark, "no_such_table")
+    assert caught.value.__cause__ is not None
+
+
+def test_malformed_row_is_reported_by_the_job(spark, tmp_path):
+    path = tmp_path / "bad.jsonl"
+    path.write_text('{"instruction": "a"}\n{broken\n', encoding="utf-8")
+    with pytest.raises(DatasetLoadError, match="bad.jsonl"):
+        prepare(spark, DatasetParams(str(path), str(tmp_path / "out"), min_examples=1))
+
+
+def test_round_trip_keeps_nulls_types_and_lines(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(1, None, "a\nb　", [1, None], "train"), (2, "", None, None, "test")],
+        "example_id long, context string, text string, ids array<int>, split string",
+    )
+    out = str(tmp_path / "splits")
+    write_splits(frame, out)
+    back = load_splits(spark, out)
+    assert back.schema.simpleString() == frame.schema.simpleString()
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
+    stored = [
+        json.loads(line)
+        for file in (tmp_path / "splits").glob("split=*/*.json")
+        for line in file.read_text(encoding="utf-8").splitlines()
+    ]
+    assert all(set(row) == {"example_id", "context", "text", "ids"} for row in stored)
+
+
+def test_split_filter_prunes_files_and_columns(spark, tmp_path):
+    frame = spark.range(10).select(
+        "id", F.lit("t").alias("text"), F.when(F.col("id") < 5, "train").otherwise("test").alias("split")
+    )
+    write_splits(frame, str(tmp_path / "s"))
+    plan = plan_of(load_split(spark, str(tmp_path / "s"), "test").select("text"))
+    scan = next(line for line in plan.splitlines() if "FileScan json" in line)
+    assert "split" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "ReadSchema: struct<text:string>" in scan
+
+
+def test_missing_or_half_written_splits(spark, tmp_path):
+    with pytest.raises(MissingSplitError, match="prepare job"):
+        load_splits(spark, str(tmp_path / "none"))
+    write_splits(spark.range(3).withColumn("split", F.lit("train")), str(tmp_path / "half"))
+    (tmp_path / "half" / "_schema.json").unlink()
+    with pytest.raises(MissingSplitError):
+        load_split(spark, str(tmp_path / "half"), "train")
+
+
+def test_overwrite_leaves_no_old_split(spark, tmp_path):
+    out = str(tmp_path / "s")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_splits(spark.range(4).withColumn("split", F.lit("test")), out)
+        write_splits(spark.range(2).withColumn("split", F.lit("train")), out)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.split for r in load_splits(spark, out).select("split").distinct().collect()] == ["train"]
+
+
+def test_split_column_in_the_source_is_refused(spark):
+    with pytest.raises(ConfigError, match="split"):
+        require_free_name(spark.createDataFrame([("a",)], "Split string"))
+
+
+def test_small_table_is_not_replaced(spark, tmp_path):
+    out = str(tmp_path / "report")
+    for value in (1, 2):
+        write_small(spark.range(value, value + 1), out, replace=False)
+    assert spark.read.json(out).first().id == 1
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    assert scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch(spark, "x") != scratch(spark, "x")
