@@ -36,9 +36,13 @@ def measure_rows(
     rows: DataFrame, max_tokens: int, counter: Callable[[Column], Column] = token_count
 ) -> DataFrame:
     """Add ``num_tokens`` of ``text`` and whether it is within the limit (equal counts as within)."""
-    return rows.withColumn("num_tokens", counter(F.col("text")).cast("int")).withColumn(
-        "within_limit", F.col("num_tokens") <= F.lit(max_tokens)
-    )
+    measured = rows.withColumn("num_tokens", counter(F.col("text")).cast("int"))
+    within = F.col("num_tokens") <= F.lit(max_tokens)
+    if counter is token_count:
+        # Such a token has a character at least, so where only the flag is used, a text with no
+        # more characters than allowed tokens is not matched at all.
+        within = (F.length("text") <= F.lit(max_tokens)) | within
+    return measured.withColumn("within_limit", within)
 
 
 def drop_long_rows(rows: DataFrame) -> DataFrame:

@@ -19,6 +19,9 @@ from loomset.sources import storage
 from loomset.sources.reader import EXAMPLE_SCHEMA, load_rows, load_splits, loading
 from loomset.sources.writer import require_free_name, splits_finished, write_splits
 
+# At most this many hashes of long rows (32 characters each) are broadcast.
+BROADCAST_ROWS = 100_000
+
 
 def prepare(
     spark: SparkSession,
@@ -45,8 +48,8 @@ def prepare_rows(
 
     Two passes over the rows. The first stores hash and length flag of each row, from which the
     gates and the split borders are computed; the second formats again, which is cheaper than
-    storing the text twice, and writes. ``reuse_counts`` is for a costly ``counter``: the second
-    pass then takes the kept keys from the first instead of counting again, for one shuffle.
+    storing the text twice, and writes. How the second drops long rows depends on how many there
+    are, see :func:`_kept_rows`.
     """
     spark = rows.sparkSession
     require_free_name(rows)
@@ -59,10 +62,7 @@ def prepare_rows(
     keys_dir = storage.scratch(spark, "keys")
     try:
         with loading(params.name_or_path):
-            stored = [own_hash.alias("hash"), F.col("within_limit")]
-            if reuse_counts:
-                stored.append(F.col(KEY))
-            measured.select(*stored).write.parquet(keys_dir)
+            measured.select(own_hash.alias("hash"), "within_limit").write.parquet(keys_dir)
         keys = spark.read.parquet(keys_dir)
 
         total, kept = splitting.count_kept(keys)
@@ -71,11 +71,7 @@ def prepare_rows(
         sizes = splitting.SplitSizes.of(kept, params.val_split, params.test_split)
         borders = splitting.find_borders(keys.where("within_limit").select("hash"), sizes)
 
-        if reuse_counts:
-            passed = keys.where("within_limit").select(KEY)
-            final = formatted.join(passed, KEY, "left_semi")
-        else:
-            final = drop_long_rows(measured)
+        final = _kept_rows(formatted, measured, keys, own_hash, total - kept, reuse_counts)
         if not params.keep_source:
             final = final.select(KEY, "text", "prompt", "target")
         written = Observation("written")
@@ -89,6 +85,32 @@ def prepare_rows(
     return load_splits(spark, params.processed_dir)
 
 
+def _kept_rows(
+    formatted: DataFrame,
+    measured: DataFrame,
+    keys: DataFrame,
+    own_hash: Column,
+    dropped: int,
+    reuse_counts: bool,
+) -> DataFrame:
+    """The rows within the limit, without counting tokens again where that can be avoided.
+
+    Nothing to drop: no filter. Few rows to drop, by the first pass's own count: their hashes
+    are broadcast. Otherwise the tokens are counted once more, or, with ``reuse_counts`` for a
+    costly counter, the kept hashes are joined back for one shuffle of the rows.
+    """
+    if dropped == 0:
+        return formatted
+    if dropped > BROADCAST_ROWS and not reuse_counts:
+        return drop_long_rows(measured)
+    hashed = formatted.withColumn("_hash", own_hash)
+    if dropped <= BROADCAST_ROWS:
+        long = keys.where(~F.col("within_limit")).select(F.col("hash").alias("_hash"))
+        return hashed.join(F.broadcast(long), "_hash", "left_anti").drop("_hash")
+    passed = keys.where("within_limit").select(F.col("hash").alias("_hash"))
+    return hashed.join(passed, "_hash", "left_semi").drop("_hash")
+
+
 def _check_written(
     spark: SparkSession, directory: str, planned: dict[str, int], observed: dict[str, int]
 ) -> None:

@@ -12,10 +12,10 @@ from loomset.errors import AlignmentError, ConfigError, EmptySplitError, Missing
 from loomset.errors import SplitMismatchError, TooFewExamplesError
 from loomset.functions.tokens import token_count
 from loomset.operators.comparing import BASE, TUNED
-from loomset.plans import prepare as prepare_module
 from loomset.sources.reader import load_splits
 from loomset.sources.storage import exists
 
+prepare_module = sys.modules["loomset.plans.prepare"]
 # Executors do not import test modules, so the generators below travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -62,13 +62,15 @@ def test_prepare_without_key_and_with_copies(spark, tmp_path):
     assert done.where("target = 'answer'").count() == 40
 
 
-def test_counts_reused_for_a_costly_counter(spark, tmp_path):
+def test_every_way_of_dropping_long_rows_gives_the_same_splits(spark, tmp_path, monkeypatch):
     rows = rows_of(spark, 110, long_every=11)
-    first = prepare_rows(rows, params(tmp_path / "a")).select("row", "split").collect()
-    again = prepare_rows(
-        rows, params(tmp_path / "b"), counter=token_count, reuse_counts=True
-    ).select("row", "split").collect()
-    assert sorted(map(tuple, first)) == sorted(map(tuple, again))
+    results = []
+    for name, few, reuse in (("broadcast", 10, False), ("recount", 9, False), ("join", 9, True)):
+        monkeypatch.setattr(prepare_module, "BROADCAST_ROWS", few)
+        done = prepare_rows(rows, params(tmp_path / name), token_count, reuse)
+        assert "_hash" not in done.columns
+        results.append(sorted(map(tuple, done.select("row", "split", "text").collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 100
 
 
 def test_finished_splits_are_kept_unless_forced(spark, tmp_path):
@@ -178,7 +180,7 @@ def test_results_and_report_are_kept(spark, tmp_path):
     assert sorted(map(tuple, kept)) == sorted(map(tuple, first))
     report = [json.loads(t) for f in (tmp_path / "report").glob("*.json") for t in f.read_text().splitlines()]
     redone = evaluate(spark, given, {BASE: answers, TUNED: answers}, force=True)
-    assert {r.value for r in redone.scores.collect()} == {pytest.approx(2 / 3)}
+    assert [r.value for r in redone.scores.collect()] == pytest.approx([2 / 3] * 2)
     assert [r.asDict() for r in redone.comparison.collect()] == report
 
 
