@@ -27,7 +27,7 @@ from loomset.session import build_session  # noqa: E402
 from loomset.sources.storage import scratch  # noqa: E402
 
 NAMES = (
-    "token_counts",
+    "token_count",
     "length_filter",
     "split_assign",
     "content_ids",

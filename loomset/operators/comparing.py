@@ -18,12 +18,13 @@ def compare_models(scores: DataFrame) -> DataFrame:
     A metric only one model has stays in the table with the other side and the delta null.
     """
 
-    def of(model: str) -> DataFrame:
-        return scores.where(F.col("model") == model).select("metric", F.col("value").alias(model))
+    def value_of(model: str) -> Column:
+        return F.max(F.when(F.col("model") == model, F.col("value"))).alias(model)
 
     return (
-        of(BASE)
-        .join(of(TUNED), "metric", "full_outer")
+        scores.where(F.col("model").isin(BASE, TUNED))
+        .groupBy("metric")
+        .agg(value_of(BASE), value_of(TUNED))
         .withColumn("delta", F.col(TUNED) - F.col(BASE))
         .orderBy("metric")
     )

@@ -36,12 +36,8 @@ def pair_up(targets: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def alignment(targets: DataFrame, predictions: DataFrame, models: tuple[str, ...]) -> DataFrame:
     """Per model: targets without a prediction, predictions without a target, repeated ones."""
-    made = predictions.groupBy(KEY, "model").agg(F.count("*").alias("made"))
-    per_key = made.groupBy(KEY).agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("model") == m, F.col("made"))), F.lit(0)).alias(m)
-            for m in models
-        ]
+    per_key = predictions.groupBy(KEY).agg(
+        *[F.count_if(F.col("model") == m).alias(m) for m in models]
     )
     known = targets.groupBy(KEY).agg(F.count("*").alias("_targets"))
     both = known.join(per_key.hint("merge"), KEY, "full_outer")

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from loomset.errors import DuplicateKeyError
 from loomset.operators.identity import KEY
 from loomset.sources.storage import remove, scratch
+from loomset.sources.writer import SPLITS
 
-SPLITS = ("train", "validation", "test")
 # Hash digits counted per step: at most 4,096 counts reach the driver per border.
 PREFIX_DIGITS = 3
 # A prefix with at most this many rows is fetched; a larger one is counted further.

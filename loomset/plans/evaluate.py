@@ -42,8 +42,8 @@ def evaluate(
 
     Give either one generator factory per model or a finished table
     ``(example_id, model, prediction)``. Predictions are stored before they are used, since they
-    are the expensive part. Finished results are kept unless forced; a comparison at
-    ``report_path`` is never replaced.
+    are the expensive part, and a model whose predictions are complete is not run again. Finished
+    results are kept unless forced; a comparison at ``report_path`` is never replaced.
     """
     wanted = params.evaluation
     if wanted is None:
@@ -58,7 +58,9 @@ def evaluate(
     if force or not done:
         if test.isEmpty():
             raise EmptySplitError({"test": 0})
-        made = _stored_predictions(test, params, generators, predictions, f"{root}/predictions")
+        made = _stored_predictions(
+            test, params, generators, predictions, f"{root}/predictions", force
+        )
         require_alignment(test, made, MODELS)
         scores = corpus_scores(rouge_scores(pair_up(test, made), wanted.metrics))
         write_small(side_by_side(test, made, wanted.num_qualitative_examples), examples_dir)
@@ -83,26 +85,25 @@ def _stored_predictions(
     generators: Mapping[str, Callable[[], Generator]] | None,
     predictions: DataFrame | None,
     directory: str,
+    force: bool,
 ) -> DataFrame:
+    """Write predictions and read them back; a model that finished earlier is not run again."""
     spark = test.sparkSession
-    if predictions is None:
-        if generators is None or set(generators) != set(MODELS):
-            raise ValueError(f"give predictions, or one generator factory each for {MODELS}")
-        predictions = reduce(
-            DataFrame.unionByName,
-            [
-                batch_predict(
-                    test,
-                    generators[model],
-                    model,
-                    max_new_tokens=params.evaluation.max_new_tokens,
-                    partitions=params.evaluation.partitions,
-                )
-                for model in MODELS
-            ],
-        )
-    kept = predictions.select(KEY, "model", "prediction").where(F.col("model").isin(*MODELS))
-    kept.write.mode("overwrite").parquet(directory)
-    return spark.read.parquet(directory)
-
-
+    if predictions is not None:
+        kept = predictions.where(F.col("model").isin(*MODELS))
+        kept.select(KEY, "model", "prediction").write.mode("overwrite").parquet(f"{directory}/given")
+        return spark.read.parquet(f"{directory}/given")
+    if generators is None or set(generators) != set(MODELS):
+        raise ValueError(f"give predictions, or one generator factory each for {MODELS}")
+    for model in MODELS:
+        if force or not finished(spark, f"{directory}/{model}"):
+            batch_predict(
+                test,
+                generators[model],
+                model,
+                max_new_tokens=params.evaluation.max_new_tokens,
+                partitions=params.evaluation.partitions,
+            ).write.mode("overwrite").parquet(f"{directory}/{model}")
+    return reduce(
+        DataFrame.unionByName, [spark.read.parquet(f"{directory}/{model}") for model in MODELS]
+    )

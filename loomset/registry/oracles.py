@@ -193,7 +193,7 @@ ORACLES = {
     ),
     "split_reload": sql(TO_PLACED, "select example_id, split, text, prompt, target from placed"),
     "strip_text": f"select doc_id as example_id, {stripped(PADDED)} as stripped from documents",
-    "user_turns": sql(
+    "user_turn": sql(
         ("instruction_rows", "turns", "asked"), "select example_id, user_turn from asked"
     ),
     "response_fallback": sql(
@@ -216,7 +216,7 @@ ORACLES = {
     "formatted_rows": sql(
         TO_FORMATTED, "select example_id, instruction, text, prompt, target from formatted"
     ),
-    "token_counts": f"select doc_id as example_id, {tokens('text')} as num_tokens from documents",
+    "token_count": f"select doc_id as example_id, {tokens('text')} as num_tokens from documents",
     "within_limit_flag": sql(
         (*TO_FORMATTED, "measured"),
         "select example_id, num_tokens, num_tokens <= 512 as within_limit from measured",
@@ -295,7 +295,7 @@ ORACLES = {
         )} as prediction
         from (select example_id, ' ' || chr(10) || target || '<|im_end|>' as new from formatted)""",
     ),
-    "batch_predictions": sql(
+    "batch_predict": sql(
         TO_FORMATTED,
         f"""select example_id, 'base_model' as model, {stripped(
             "regexp_replace(" + first_tokens("new", 16) + r", '<\|[a-z_]+\|>', '', 'g')"

@@ -7,13 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.functions import chat
-from loomset.functions.text import answer, strip, user_turn
-from loomset.functions.tokens import first_tokens, token_count
-from loomset.operators import comparing, gates, profiling, rouge, splitting
+from loomset.functions import chat, text, tokens
+from loomset.operators import comparing, gates, predicting, profiling, rouge, splitting
 from loomset.operators.formatting import drop_long_rows, format_rows, measure_rows
 from loomset.operators.identity import KEY, with_content_id
-from loomset.operators.predicting import batch_predict, clean_prediction
 from loomset.params import DatasetParams, EvaluationParams, JobParams
 from loomset.plans.evaluate import MODELS, evaluate
 from loomset.plans.prepare import prepare_rows
@@ -42,11 +39,11 @@ def query(build: Query) -> Query:
 
 
 def _user() -> F.Column:
-    return user_turn(F.col("instruction"), F.col("context"))
+    return text.user_turn(F.col("instruction"), F.col("context"))
 
 
 def _reply() -> F.Column:
-    return answer(F.col("response"), F.col("output"))
+    return text.answer(F.col("response"), F.col("output"))
 
 
 def _formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,12 +126,12 @@ def split_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def strip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    padded = F.concat(F.lit(" \n  "), F.col("text"), F.lit("\t　\x1c\x85"))
-    return document_rows(spark, sf_dir).select(KEY, strip(padded).alias("stripped"))
+    padded = F.concat(F.lit("\xa0\n \u2003"), F.col("text"), F.lit("\t\u3000\x1c\x85"))
+    return document_rows(spark, sf_dir).select(KEY, text.strip(padded).alias("stripped"))
 
 
 @query
-def user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instruction_rows(spark, sf_dir).select(KEY, _user().alias("user_turn"))
 
 
@@ -176,8 +173,8 @@ def formatted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_rows(spark, sf_dir).select(KEY, token_count(F.col("text")).alias("num_tokens"))
+def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_rows(spark, sf_dir).select(KEY, tokens.token_count(F.col("text")).alias("num_tokens"))
 
 
 @query
@@ -306,7 +303,7 @@ def _rounded_profile(profile: DataFrame) -> DataFrame:
 @query
 def prompt_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_rows(spark, sf_dir).select(
-        KEY, first_tokens(F.col("text"), DOCUMENT_LIMIT).alias("prompt")
+        KEY, tokens.first_tokens(F.col("text"), DOCUMENT_LIMIT).alias("prompt")
     )
 
 
@@ -314,12 +311,12 @@ def prompt_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prediction_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _formatted(spark, sf_dir)
     output = F.concat("prompt", F.lit(" \n"), "target", F.lit("<|im_end|>"))
-    return rows.select(KEY, clean_prediction(output, F.col("prompt"), 128).alias("prediction"))
+    return rows.select(KEY, predicting.clean_prediction(output, F.col("prompt"), 128).alias("prediction"))
 
 
 @query
-def batch_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_predict(
+def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predicting.batch_predict(
         _formatted(spark, sf_dir), make_echo, "base_model", max_new_tokens=16, max_prompt_tokens=64
     )
 

@@ -7,20 +7,30 @@ from pyspark.sql import DataFrame
 from loomset.errors import ConfigError
 from loomset.sources.storage import exists, finished, write_text
 
+# The names of the splits.
+SPLITS = ("train", "validation", "test")
 SCHEMA_FILE = "_schema.json"
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def write_splits(rows: DataFrame, directory: str) -> None:
     """JSON Lines below ``split=<name>``, null fields kept, replacing what was there.
 
-    Rows stay in the task that computed them; nothing is shuffled. The schema goes into a file
+    Rows stay in the task that computed them; nothing is shuffled, and with a file open per split
+    nothing is sorted either. The schema goes into a file
     Spark's readers pass over, so that a reader needs no inference pass. It is written last and
     marks the splits as complete.
     """
-    where = directory.rstrip("/")
-    writer = rows.write.mode("overwrite").option("ignoreNullFields", "false")
-    writer.option("partitionOverwriteMode", "static").partitionBy("split").json(where)
-    write_text(rows.sparkSession, f"{where}/{SCHEMA_FILE}", rows.schema.json())
+    spark, where = rows.sparkSession, directory.rstrip("/")
+    before = spark.conf.get(_OPEN_FILES)
+    if int(before) < len(SPLITS):
+        spark.conf.set(_OPEN_FILES, str(len(SPLITS)))
+    try:
+        writer = rows.write.mode("overwrite").option("ignoreNullFields", "false")
+        writer.option("partitionOverwriteMode", "static").partitionBy("split").json(where)
+    finally:
+        spark.conf.set(_OPEN_FILES, before)
+    write_text(spark, f"{where}/{SCHEMA_FILE}", rows.schema.json())
 
 
 def splits_finished(spark, directory: str) -> bool:
