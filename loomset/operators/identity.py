@@ -6,14 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-KEY = "example_id"
-
+from loomset.sources.storage import scratch
 
-def with_example_id(rows: DataFrame, key: str | None = None) -> DataFrame:
-    """Add ``example_id``: the caller's key column, else a key derived from the content."""
-    if key is not None:
-        return rows if key == KEY else rows.withColumn(KEY, F.col(key))
-    return with_content_id(rows)
+KEY = "example_id"
+# At most this many numbers of copies (16 bytes each) are broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def content_key(rows: DataFrame) -> Column:
@@ -28,30 +25,66 @@ def content_key(rows: DataFrame) -> Column:
     return F.sha2(F.concat(*[written(field) for field in rows.schema]), 256)
 
 
-def with_content_id(rows: DataFrame) -> DataFrame:
+def with_example_id(
+    rows: DataFrame, key: str | None = None, directory: str | None = None
+) -> DataFrame:
+    """Add ``example_id``: the caller's key column, else a key derived from the content."""
+    if key is not None:
+        return rows if key == KEY else rows.withColumn(KEY, F.col(key))
+    return with_content_id(rows, directory or scratch(rows.sparkSession, "keyed"))
+
+
+def with_content_id(rows: DataFrame, directory: str) -> DataFrame:
     """Key each row by its content and number the copies of one row 0, 1, 2, ...
 
     Copies are alike in every column, so which copy gets which number does not show and the
-    keyed table is the same however the input is laid out. Copies are numbered per input
-    partition and shifted by the copies in earlier partitions, so a row that makes up a third
-    of the table is never gathered in one task: no group exceeds one input partition.
-    ``rows`` must read the same each time (files or a table), because it is read twice.
+    keyed table is the same however the input is laid out. The rows are stored once below
+    ``directory``, where the result reads them; only hashes and positions are shuffled, and
+    the few numbers above 0 are joined back by position, which is unique and so never skewed.
     """
-    placed = rows.withColumns(
-        {"_content": content_key(rows), "_position": F.monotonically_increasing_id()}
-    ).withColumn("_part", F.shiftright("_position", 33))
-
-    earlier = Window.partitionBy("_content").orderBy("_part")
-    offsets = (
-        placed.groupBy("_content", "_part")
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_before", F.sum("_copies").over(earlier) - F.col("_copies"))
-        .drop("_copies")
+    spark = rows.sparkSession
+    placed = {"_content": content_key(rows), "_position": F.monotonically_increasing_id()}
+    rows.withColumns(placed).write.parquet(f"{directory}/rows")
+    stored = spark.read.parquet(f"{directory}/rows")
+    _later_copies(stored).write.parquet(f"{directory}/copies")
+    copies = spark.read.parquet(f"{directory}/copies")
+    if copies.count() <= BROADCAST_ROWS:
+        copies = F.broadcast(copies)
+    number = F.coalesce("_number", F.lit(0)).cast("string")
+    return (
+        stored.join(copies, "_position", "left")
+        .withColumn(KEY, F.concat("_content", F.lit("-"), number))
+        .drop("_content", "_position", "_number")
+    )
+
+
+def _later_copies(stored: DataFrame) -> DataFrame:
+    """``(_position, _number)`` of every copy but the first.
+
+    Copies are numbered within the partition that wrote them and shifted by the copies in
+    earlier partitions, so a row that makes up a third of the table is never gathered in one
+    task: no group is larger than one input partition or the number of partitions.
+    """
+    seen = stored.select(
+        "_content", "_position", F.shiftright("_position", 33).alias("_part")
+    )
+    content = Window.partitionBy("_content")
+    per_part = (
+        seen.groupBy("_content", "_part")
+        .agg(F.count("*").alias("_here"))
+        .withColumns(
+            {
+                "_all": F.sum("_here").over(content),
+                "_before": F.sum("_here").over(content.orderBy("_part")) - F.col("_here"),
+            }
+        )
+        .where("_all > 1")
+        .select("_content", "_part", "_before")
     )
     within = Window.partitionBy("_content", "_part").orderBy("_position")
-    number = F.col("_before") + F.row_number().over(within) - 1
     return (
-        placed.join(offsets.hint("merge"), ["_content", "_part"])
-        .withColumn(KEY, F.concat("_content", F.lit("-"), number.cast("string")))
-        .drop("_content", "_position", "_part", "_before")
+        seen.join(per_part.hint("merge"), ["_content", "_part"])
+        .withColumn("_number", F.col("_before") + F.row_number().over(within) - 1)
+        .where("_number > 0")
+        .select("_position", "_number")
     )

@@ -48,8 +48,8 @@ def prepare_rows(
 
     Two passes over the rows. The first stores hash and length flag of each row, from which the
     gates and the split borders are computed; the second formats again, which is cheaper than
-    storing the text twice, and writes. Keys made from the content cost a shuffle of the rows, so
-    the keyed rows are stored in between; a key column saves that. How the second drops long rows depends on how many there
+    storing the text twice, and writes. Keys made from the content need the rows stored in
+    between; a key column saves that. How the second drops long rows depends on how many there
     are, see :func:`_kept_rows`.
     """
     spark = rows.sparkSession
@@ -58,10 +58,7 @@ def prepare_rows(
     keys_dir, keyed_dir = storage.scratch(spark, "keys"), storage.scratch(spark, "keyed")
     try:
         with loading(params.name_or_path):
-            keyed = with_example_id(rows, params.key)
-            if params.key is None:
-                keyed.write.parquet(keyed_dir)
-                keyed = spark.read.parquet(keyed_dir)
+            keyed = with_example_id(rows, params.key, keyed_dir)
             formatted = format_rows(keyed, params.system_prompt, params.chat_template)
             measured = measure_rows(formatted, params.max_seq_length, counter)
             measured.select(own_hash.alias("hash"), "within_limit").write.parquet(keys_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomset.functions import chat, text, tokens
 from loomset.operators import comparing, gates, predicting, profiling, rouge, splitting
 from loomset.operators.formatting import drop_long_rows, format_rows, measure_rows
-from loomset.operators.identity import KEY, with_content_id
+from loomset.operators.identity import KEY, with_example_id
 from loomset.params import DatasetParams, EvaluationParams, JobParams
 from loomset.plans.evaluate import MODELS, evaluate
 from loomset.plans.prepare import prepare_rows
@@ -214,7 +214,7 @@ def preview_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of documents told apart by text and language alone, so copies are numbered."""
-    return with_content_id(table(spark, sf_dir, "documents").select("text", "lang")).select(
+    return with_example_id(table(spark, sf_dir, "documents").select("text", "lang")).select(
         KEY, F.length("text").alias("n_chars"), "lang"
     )
 

@@ -1,9 +1,12 @@
 import hashlib
 from collections import Counter
 
+import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
-from loomset.operators.identity import with_content_id, with_example_id
+from loomset.operators import identity
+from loomset.operators.identity import with_example_id
 
 
 def test_caller_key_is_used(examples):
@@ -13,7 +16,9 @@ def test_caller_key_is_used(examples):
     assert [r.example_id for r in with_example_id(named, "k").orderBy("k").collect()] == [0, 1]
 
 
-def test_copies_are_numbered_and_layout_does_not_matter(spark, tmp_path):
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_copies_are_numbered_and_layout_does_not_matter(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(identity, "BROADCAST_ROWS", few)
     # One row makes up more than a third of the table and lies in all input files.
     values = ["hot"] * 400 + [f"row {i % 300}" for i in range(600)]
     frame = spark.createDataFrame([(v, None) for v in values], "text string, note string")
@@ -22,7 +27,7 @@ def test_copies_are_numbered_and_layout_does_not_matter(spark, tmp_path):
         path = str(tmp_path / f"p{parts}")
         frame.repartition(parts).write.parquet(path)
         read = spark.read.option("maxPartitionBytes", "4096").parquet(path)
-        keyed.append(sorted((r.example_id, r.text) for r in with_content_id(read).collect()))
+        keyed.append(sorted((r.example_id, r.text) for r in with_example_id(read).collect()))
     assert keyed[0] == keyed[1]
     assert len({key for key, _ in keyed[0]}) == 1000
     numbers = Counter(text for _, text in keyed[0])
@@ -33,17 +38,22 @@ def test_copies_are_numbered_and_layout_does_not_matter(spark, tmp_path):
 
 def test_values_cannot_run_into_each_other(spark):
     frame = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, "abc"), ("", "abc")], "a string, b string")
-    assert with_content_id(frame).select(F.substring("example_id", 1, 64)).distinct().count() == 4
+    assert with_example_id(frame).select(F.substring("example_id", 1, 64)).distinct().count() == 4
 
 
 def test_nested_and_number_columns(spark):
     frame = spark.createDataFrame([(1, [1, 2]), (1, [1, 2]), (2, [1])], "a int, b array<int>")
-    assert with_content_id(frame).select("example_id").distinct().count() == 3
+    assert with_example_id(frame).select("example_id").distinct().count() == 3
 
 
 def test_copies_are_not_gathered_by_content(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.range(50).select(F.lit("x").alias("text")).write.parquet(path)
-    plan = with_content_id(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    spark.range(50).select(F.lit("x").alias("_content"), F.col("id").alias("_position")).write.parquet(path)
+    plan = plan_of(identity._later_copies(spark.read.parquet(path)))
     windows = [line for line in plan.splitlines() if "Window [row_number" in line]
     assert windows and all("_part" in line.split("windowspecdefinition(")[1] for line in windows)
+
+
+def test_a_source_that_changes_order_is_numbered_once(spark):
+    rows = spark.range(400).select((F.col("id") % 7).cast("string").alias("text")).orderBy(F.rand())
+    assert with_example_id(rows).select("example_id").distinct().count() == 400

@@ -62,6 +62,11 @@ def test_prepare_without_key_and_with_copies(spark, tmp_path):
     assert done.where("target = 'answer'").count() == 40
 
 
+def test_named_template(spark, tmp_path):
+    done = prepare_rows(rows_of(spark, 20), params(tmp_path, template="phi3", max_seq_length=500))
+    assert done.where("text like '<|system|>%<|endoftext|>'").count() == 20
+
+
 def test_every_way_of_dropping_long_rows_gives_the_same_splits(spark, tmp_path, monkeypatch):
     rows = rows_of(spark, 110, long_every=11)
     results = []
