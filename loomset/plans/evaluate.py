@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomset.errors import EmptySplitError
-from loomset.operators.comparing import BASE, TUNED, compare_models, side_by_side
+from loomset.operators.comparing import BASE, TUNED, compare_models, side_by_side, split_summary
 from loomset.operators.identity import KEY
 from loomset.operators.predicting import Generator, batch_predict
 from loomset.operators.rouge import corpus_scores, pair_up, require_alignment, rouge_scores
 from loomset.params import JobParams
-from loomset.sources.reader import load_split
-from loomset.sources.storage import exists, finished
+from loomset.sources.reader import load_sizes, load_split
+from loomset.sources.storage import finished
 from loomset.sources.writer import write_small
 
 MODELS = (BASE, TUNED)
@@ -29,6 +29,7 @@ class Evaluation:
     scores: DataFrame
     examples: DataFrame
     comparison: DataFrame
+    summary: DataFrame
 
 
 def evaluate(
@@ -43,14 +44,14 @@ def evaluate(
     Give either one generator factory per model or a finished table
     ``(example_id, model, prediction)``. Predictions are stored before they are used, since they
     are the expensive part, and a model whose predictions are complete is not run again. Finished
-    results are kept unless forced; a comparison at ``report_path`` is never replaced.
+    results are kept unless forced; a report (comparison and split summary) is never replaced.
     """
     wanted = params.evaluation
     if wanted is None:
         raise ValueError("evaluate needs the 'evaluation' parameters")
     root = wanted.results_dir.rstrip("/")
     scores_dir, examples_dir = f"{root}/metrics", f"{root}/qualitative_examples"
-    report_dir = wanted.report_path or f"{root}/comparison"
+    report_dir = wanted.report_path or f"{root}/report"
 
     splits_dir = wanted.test_file or params.dataset.processed_dir
     test = load_split(spark, splits_dir, "test").select(KEY, "prompt", "target")
@@ -66,8 +67,15 @@ def evaluate(
         write_small(side_by_side(test, made, wanted.num_qualitative_examples), examples_dir)
         write_small(scores, scores_dir)
     scores = spark.read.schema("model string, metric string, value double").json(scores_dir)
-    if not exists(spark, report_dir):
-        write_small(compare_models(scores), report_dir, replace=False)
+    report = {
+        "comparison": lambda: compare_models(scores),
+        "summary": lambda: split_summary(
+            load_sizes(spark, splits_dir), params.dataset.name_or_path, params.dataset.planned
+        ),
+    }
+    for name, table in report.items():
+        if not finished(spark, f"{report_dir}/{name}"):
+            write_small(table(), f"{report_dir}/{name}")
     text = "prompt string, ground_truth string, base_model_response string"
     key_type = test.schema[KEY].dataType.simpleString()
     examples = spark.read.schema(
@@ -75,8 +83,11 @@ def evaluate(
     ).json(examples_dir)
     comparison = spark.read.schema(
         f"metric string, {BASE} double, {TUNED} double, delta double"
-    ).json(report_dir)
-    return Evaluation(scores, examples, comparison)
+    ).json(f"{report_dir}/comparison")
+    summary = spark.read.schema(
+        "dataset string, split string, planned_share double, rows long, actual_share double"
+    ).json(f"{report_dir}/summary")
+    return Evaluation(scores, examples, comparison, summary)
 
 
 def _stored_predictions(

@@ -77,7 +77,7 @@ def prepare_rows(
         split = splitting.assign_split(final, own_hash, borders).observe(
             written, *[F.count_if(F.col("split") == name).alias(name) for name in splitting.SPLITS]
         )
-        write_splits(split, params.processed_dir)
+        write_splits(split, params.processed_dir, sizes.as_dict())
         _check_written(spark, params.processed_dir, sizes.as_dict(), written.get)
     finally:
         storage.remove(spark, keys_dir)

@@ -171,7 +171,7 @@ def compared(mean: str) -> str:
 def profile(lengths: str) -> str:
     return f"""
         select count(*) as n_rows, round(avg(n_words), 6) as mean_words,
-               round(quantile_cont(n_words, 0.95), 6) as p95_words, max(n_words) as max_words
+               round(quantile_cont(n_words, 0.95), 6) as p95_words, max(n_words)::int as max_words
         from ({lengths})"""
 
 
@@ -216,10 +216,12 @@ ORACLES = {
     "formatted_rows": sql(
         TO_FORMATTED, "select example_id, instruction, text, prompt, target from formatted"
     ),
-    "token_count": f"select doc_id as example_id, {tokens('text')} as num_tokens from documents",
+    "token_count": f"""
+        select doc_id as example_id, {tokens('text')}::int as num_tokens from documents""",
     "within_limit_flag": sql(
         (*TO_FORMATTED, "measured"),
-        "select example_id, num_tokens, num_tokens <= 512 as within_limit from measured",
+        "select example_id, num_tokens::int as num_tokens, num_tokens <= 512 as within_limit "
+        "from measured",
     ),
     "prepared_rows": sql(
         TO_KEPT, "select example_id, instruction, text, prompt, target from kept"
@@ -231,7 +233,7 @@ ORACLES = {
         TO_PLACED, "select example_id, prompt, target from placed where split = 'test'"
     ),
     "word_lengths": sql(
-        ("instruction_rows",), f"select example_id, {WORDS} as n_words from instruction_rows"
+        ("instruction_rows",), f"select example_id, {WORDS}::int as n_words from instruction_rows"
     ),
     "preview_row": sql(
         TO_FORMATTED,
@@ -240,7 +242,7 @@ ORACLES = {
     "content_ids": """
         select sha256(length(text) || ':' || text || length(lang) || ':' || lang) || '-'
                || (row_number() over (partition by text, lang) - 1) as example_id,
-               length(text) as n_chars, lang
+               length(text)::int as n_chars, lang
         from documents""",
     "length_filter": sql(
         ("doc_measured",), "select example_id, text from doc_measured where num_tokens <= 2048"

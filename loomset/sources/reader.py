@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from loomset.errors import DatasetLoadError, MissingSplitError
 from loomset.sources.storage import exists, first_visible_byte, read_text
-from loomset.sources.writer import SCHEMA_FILE, splits_finished
+from loomset.sources.writer import SCHEMA_FILE, SIZES_FILE, splits_finished
 
 # The fields of an instruction row.
 FIELDS = ("instruction", "context", "response", "output")
@@ -85,3 +85,12 @@ def load_splits(spark: SparkSession, directory: str) -> DataFrame:
 def load_split(spark: SparkSession, directory: str, split: str) -> DataFrame:
     """One finished split."""
     return load_splits(spark, directory).where(F.col("split") == split)
+
+
+def load_sizes(spark: SparkSession, directory: str) -> DataFrame:
+    """``(split, rows)`` of finished splits, as saved with them or else counted."""
+    saved = f"{directory.rstrip('/')}/{SIZES_FILE}"
+    if not exists(spark, saved):
+        return load_splits(spark, directory).groupBy("split").agg(F.count("*").alias("rows"))
+    sizes = json.loads(read_text(spark, saved))
+    return spark.createDataFrame(list(sizes.items()), "split string, rows long")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 
 from loomset.errors import ConfigError
@@ -10,16 +12,17 @@ from loomset.sources.storage import exists, finished, write_text
 # The names of the splits.
 SPLITS = ("train", "validation", "test")
 SCHEMA_FILE = "_schema.json"
+SIZES_FILE = "_sizes.json"
 _OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
-def write_splits(rows: DataFrame, directory: str) -> None:
+def write_splits(rows: DataFrame, directory: str, sizes: dict[str, int] | None = None) -> None:
     """JSON Lines below ``split=<name>``, null fields kept, replacing what was there.
 
     Rows stay in the task that computed them; nothing is shuffled, and with a file open per split
     nothing is sorted either. The schema goes into a file
     Spark's readers pass over, so that a reader needs no inference pass. It is written last and
-    marks the splits as complete.
+    marks the splits as complete. Known ``sizes`` are saved as well, to spare later counts.
     """
     spark, where = rows.sparkSession, directory.rstrip("/")
     before = spark.conf.get(_OPEN_FILES)
@@ -30,6 +33,8 @@ def write_splits(rows: DataFrame, directory: str) -> None:
         writer.option("partitionOverwriteMode", "static").partitionBy("split").json(where)
     finally:
         spark.conf.set(_OPEN_FILES, before)
+    if sizes is not None:
+        write_text(spark, f"{where}/{SIZES_FILE}", json.dumps(sizes))
     write_text(spark, f"{where}/{SCHEMA_FILE}", rows.schema.json())
 
 
@@ -44,7 +49,6 @@ def require_free_name(rows: DataFrame) -> None:
         raise ConfigError("The source has a column named 'split'; rename it before preparing.")
 
 
-def write_small(rows: DataFrame, directory: str, replace: bool = True) -> None:
-    """One JSON file for a table of a few rows; ``replace=False`` never touches an existing one."""
-    mode = "overwrite" if replace else "ignore"
-    rows.coalesce(1).write.mode(mode).option("ignoreNullFields", "false").json(directory)
+def write_small(rows: DataFrame, directory: str) -> None:
+    """One JSON file for a table of a few rows."""
+    rows.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(directory)

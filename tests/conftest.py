@@ -14,9 +14,9 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         **{
-            "spark.master": "local[8]",
+            "spark.master": "local[4]",
             "spark.driver.memory": "4g",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),

@@ -169,6 +169,10 @@ def test_evaluate_end_to_end(spark, tmp_path):
     assert sorted(r.metric for r in compared) == ["rouge1", "rouge2", "rougeL", "rougeLsum"]
     for row in compared:
         assert row.delta == pytest.approx(row[TUNED] - row[BASE])
+    summary = {r.split: (r.dataset, r.planned_share, r.rows, r.actual_share) for r in result.summary.collect()}
+    assert summary == {
+        "train": ("rows", 0.8, 40, 0.8), "validation": ("rows", 0.1, 5, 0.1), "test": ("rows", 0.1, 5, 0.1),
+    }
     shown = result.examples.orderBy("example_id").collect()
     test_rows = load_splits(spark, given.dataset.processed_dir).where("split = 'test'")
     first = test_rows.orderBy("example_id").limit(5).collect()
@@ -183,7 +187,7 @@ def test_results_and_report_are_kept(spark, tmp_path):
     first = evaluate(spark, given, {BASE: repeat_question, TUNED: answers}).scores.collect()
     kept = evaluate(spark, given, {BASE: answers, TUNED: answers}).scores.collect()
     assert sorted(map(tuple, kept)) == sorted(map(tuple, first))
-    report = [json.loads(t) for f in (tmp_path / "report").glob("*.json") for t in f.read_text().splitlines()]
+    report = [json.loads(t) for f in (tmp_path / "report" / "comparison").glob("*.json") for t in f.read_text().splitlines()]
     redone = evaluate(spark, given, {BASE: answers, TUNED: answers}, force=True)
     assert [r.value for r in redone.scores.collect()] == pytest.approx([2 / 3] * 2)
     assert [r.asDict() for r in redone.comparison.collect()] == report

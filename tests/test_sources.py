@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomset.errors import ConfigError, DatasetLoadError, MissingSplitError
 from loomset.params import DatasetParams
 from loomset.plans.prepare import prepare
-from loomset.sources.reader import load_rows, load_split, load_splits
+from loomset.sources.reader import load_rows, load_sizes, load_split, load_splits
 from loomset.sources.storage import scratch
 from loomset.sources.writer import require_free_name, write_small, write_splits
 
@@ -124,16 +124,26 @@ def test_overwrite_leaves_no_old_split(spark, tmp_path):
     assert [r.split for r in load_splits(spark, out).select("split").distinct().collect()] == ["train"]
 
 
+def test_sizes_saved_or_counted(spark, tmp_path):
+    rows = spark.range(4).withColumn("split", F.lit("test"))
+    for name, known in (("a", {"train": 0, "validation": 0, "test": 4}), ("b", None)):
+        write_splits(rows, str(tmp_path / name), known)
+        got = {r["split"]: r["rows"] for r in load_sizes(spark, str(tmp_path / name)).collect()}
+        assert got == (known or {"test": 4})
+
+
 def test_split_column_in_the_source_is_refused(spark):
     with pytest.raises(ConfigError, match="split"):
         require_free_name(spark.createDataFrame([("a",)], "Split string"))
 
 
-def test_small_table_is_not_replaced(spark, tmp_path):
-    out = str(tmp_path / "report")
-    for value in (1, 2):
-        write_small(spark.range(value, value + 1), out, replace=False)
-    assert spark.read.json(out).first().id == 1
+def test_small_table_is_one_file_with_nulls(spark, tmp_path):
+    write_small(spark.createDataFrame([(1, None), (2, 0.5)], "a int, b double"), str(tmp_path / "r"))
+    files = list((tmp_path / "r").glob("*.json"))
+    assert len(files) == 1
+    assert [json.loads(t) for t in files[0].read_text().splitlines()] == [
+        {"a": 1, "b": None}, {"a": 2, "b": 0.5},
+    ]
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
