@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.errors import DuplicateKeyError
+from loomset.errors import ConfigError, DuplicateKeyError
 from loomset.operators.identity import KEY
 from loomset.sources.storage import remove, scratch
 from loomset.sources.writer import SPLITS
@@ -59,11 +59,15 @@ def split_hash(seed: int, key: Column | None = None) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def count_kept(keys: DataFrame) -> tuple[int, int]:
-    """Rows before and after the length filter, from ``within_limit``, in one pass."""
-    row = keys.agg(
-        F.count("*").alias("rows"), F.count_if(F.col("within_limit")).alias("kept")
+def count_rows(hashes: DataFrame, kept: Column | None = None) -> tuple[int, int]:
+    """All rows and those ``kept``, in one pass that also refuses rows without a key."""
+    row = hashes.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.lit(True) if kept is None else kept).alias("kept"),
+        F.count_if(F.col("hash").isNull()).alias("keyless"),
     ).first()
+    if row["keyless"]:
+        raise ConfigError(f"{row['keyless']} rows have a null {KEY}; every row needs a key.")
     return row["rows"], row["kept"]
 
 
@@ -97,7 +101,8 @@ def split_rows(rows: DataFrame, validation: float, test: float, seed: int) -> Da
     try:
         rows.select(split_hash(seed).alias("hash")).write.parquet(directory)
         hashes = spark.read.parquet(directory)
-        borders = find_borders(hashes, SplitSizes.of(hashes.count(), validation, test))
+        total, _ = count_rows(hashes)
+        borders = find_borders(hashes, SplitSizes.of(total, validation, test))
     finally:
         remove(spark, directory)
     return assign_split(rows, split_hash(seed), borders)

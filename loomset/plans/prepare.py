@@ -64,7 +64,7 @@ def prepare_rows(
             measured.select(own_hash.alias("hash"), "within_limit").write.parquet(keys_dir)
         keys = spark.read.parquet(keys_dir)
 
-        total, kept = splitting.count_kept(keys)
+        total, kept = splitting.count_rows(keys, F.col("within_limit"))
         require_rows("in the dataset", total, params.min_examples)
         require_rows("after length filtering", kept, params.min_examples)
         sizes = splitting.SplitSizes.of(kept, params.val_split, params.test_split)

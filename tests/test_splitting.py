@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loomset.errors import DuplicateKeyError, EmptySplitError, TooFewExamplesError
+from loomset.errors import ConfigError, DuplicateKeyError, EmptySplitError, TooFewExamplesError
 from loomset.operators import gates, splitting
 from loomset.operators.splitting import SplitSizes, assign_split, split_hash, split_rows
 
@@ -81,6 +81,12 @@ def test_a_key_with_a_third_of_the_rows_is_an_error_not_a_wrong_split(spark, mon
     assert failed
 
 
+def test_a_row_without_a_key_is_refused(spark):
+    frame = spark.createDataFrame([(1,), (None,), (3,)], "example_id long")
+    with pytest.raises(ConfigError, match="1 rows have a null"):
+        split_rows(frame, 0.1, 0.1, 1)
+
+
 def test_assignment_is_a_projection(spark):
     frame = spark.range(1000).withColumnRenamed("id", "example_id")
     borders = splitting.SplitBorders("1" * 32, "2" * 32)
