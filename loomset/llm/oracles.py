@@ -37,4 +37,13 @@ select doc_id, cast(size as bigint) as size, source_size, cast(target as double)
 from rounds
 """
 
-ORACLES: dict[str, str] = {"op6_mix_sources": OP6}
+OP8 = """
+with docs as (select doc_id, coalesce(text, '') as text from documents)
+select doc_id, max(doc_id) over (partition by text) as keep_id,
+       count(*) over (partition by text) as group_size,
+       doc_id = max(doc_id) over (partition by text) as kept,
+       sha256(text) as text_sha256
+from docs
+"""
+
+ORACLES: dict[str, str] = {"op6_mix_sources": OP6, "op8_exact_dedup": OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import mixing, sharding
+from loomset.llm import exact_dedup, mixing, sharding, warc
 from loomset.llm.common import table
 from loomset.sources.storage import scratch
 
@@ -35,7 +35,19 @@ def op7_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = scratch(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), where)
+    return warc.read_archive(spark, where).withColumnRenamed("id", "page_id")
+
+
 QUERIES: dict[str, Query] = {
     "op6_mix_sources": op6_mix_sources,
     "op7_shard_documents": op7_shard_documents,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_warc_archive": op9_warc_archive,
 }
