@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import exact_dedup, mixing, sharding, warc
-from loomset.llm.common import table
+from loomset.llm import exact_dedup, mixing, packing, sharding, simhash, warc
+from loomset.llm.common import stored, table
 from loomset.sources.storage import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = stored(packing.tokenize_pieces(docs, with_ids=False).drop("ids"), "pieces")
+    return packing.pack(pieces).withColumnRenamed("key", "doc_id")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
@@ -46,6 +56,8 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_simhash": op5_simhash,
     "op6_mix_sources": op6_mix_sources,
     "op7_shard_documents": op7_shard_documents,
     "op8_exact_dedup": op8_exact_dedup,
