@@ -7,13 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import exact_dedup, mixing, packing, sharding, simhash, warc
-from loomset.llm.common import stored, table
+from loomset.llm import (
+    exact_dedup,
+    language_id,
+    mixing,
+    packing,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
+from loomset.llm.common import fold, stored, table
 from loomset.sources.storage import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = fold(F.col("doc_id"), 3)
+    known = toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), remainder != 1)
+    return toxicity.score(docs, toxicity.fit(known), ["doc_id"]).select(
+        F.col("__row.doc_id").alias("doc_id"),
+        (fold(F.col("__row.doc_id"), 3) == 1).alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = stored(packing.tokenize_pieces(docs, with_ids=False).drop("ids"), "pieces")
@@ -55,11 +76,20 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, where).withColumnRenamed("id", "page_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
+    model = language_id.fit(docs.where("not held_out"))
+    return language_id.predict(docs, model, ["doc_id", "held_out"])
+
+
 QUERIES: dict[str, Query] = {
+    "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_mix_sources": op6_mix_sources,
     "op7_shard_documents": op7_shard_documents,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc_archive": op9_warc_archive,
+    "op10_language_id": op10_language_id,
 }

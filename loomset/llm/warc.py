@@ -85,40 +85,35 @@ def _header_block(refers: Column) -> Column:
 def write_archive(pages: DataFrame, location: str, least: int = 0, key: str = "page_id", payload: str = "html") -> None:
     """Store ``payloads`` (address, bytes once) and ``headers`` (one per page) below ``location``.
 
-    The response of a payload is the largest id among its copies, found by a partial aggregate
-    before any row moves. The joins' keys repeat on one side only, where adaptive execution splits
-    a skewed partition; payload bytes move only for the one page that holds them.
+    One aggregate finds a payload's bytes and the largest id among its copies; copies within an
+    input partition meet before any row moves. Headers then take the holder by a narrow join whose
+    key repeats on one side only, where adaptive execution splits a skewed partition.
     """
     spark = pages.sparkSession
     source = pages.select(
         F.col(key).cast("long").alias("id"), F.col("url").cast("string").alias("url"), text_bytes(F.col(payload)).alias("payload")
     )
-    _digested(source).write.parquet(f"{location}/staged")
-    staged = spark.read.parquet(f"{location}/staged")
+    digested = _digested(source)
     order = F.struct(F.col("id").isNotNull().alias("known"), F.col("id").alias("id"))
-    holders = staged.groupBy("address").agg(F.max(order)["id"].alias("holder"))
-    narrow = staged.drop("payload").withColumn("row", F.struct("id", "url"))
-    narrow = narrow.join(holders, "address")
+    digested.groupBy("address").agg(
+        F.first("payload").alias("payload"), F.max(order)["id"].alias("holder")
+    ).write.parquet(f"{location}/payloads")
+    holders = spark.read.parquet(f"{location}/payloads").select("address", "holder")
+    narrow = digested.drop("payload").join(holders, "address")
     at_holder = F.col("id").eqNullSafe(F.col("holder"))
     small = F.col("payload_bytes") < least
     # A holder's row may be repeated: one of its rows is the response.
     several = Window.partitionBy("address", "id").orderBy(F.col("url").desc())
-    response = narrow.where(at_holder & ~small).withColumn("turn", F.row_number().over(several))
-    rest = narrow.where(~(at_holder & ~small)).withColumn("turn", F.lit(0))
-    typed = response.unionByName(rest).withColumn(
+    turn = F.when(at_holder & ~small, F.row_number().over(several)).otherwise(F.lit(0))
+    typed = narrow.withColumn("turn", turn).withColumn(
         "record_type", F.when(small | (F.col("turn") == 1), "response").otherwise("revisit")
     )
     typed.select(
-        "id", "address", "payload_bytes",
+        "id", "address",
         F.encode(_header_block(F.col("holder")), "UTF-8").alias("header"),
         "record_type",
         F.when(F.col("record_type") == "revisit", F.col("holder")).alias("refers_to"),
     ).write.parquet(f"{location}/headers")
-    holding = holders.select("address", F.col("holder"))
-    same = (staged["address"] == holding["address"]) & staged["id"].eqNullSafe(holding["holder"])
-    staged.join(holding, same, "left_semi").groupBy("address").agg(
-        F.first("payload").alias("payload"), F.first("payload_bytes").alias("payload_bytes")
-    ).write.parquet(f"{location}/payloads")
 
 
 def read_records(spark: SparkSession, location: str) -> DataFrame:
@@ -128,7 +123,7 @@ def read_records(spark: SparkSession, location: str) -> DataFrame:
     ``payload`` is the page's payload in either case.
     """
     headers = spark.read.parquet(f"{location}/headers")
-    payloads = spark.read.parquet(f"{location}/payloads").drop("payload_bytes")
+    payloads = spark.read.parquet(f"{location}/payloads").drop("holder")
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return headers.join(payloads, "address").select(
         "id", "address", "refers_to", "payload",
