@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Windows that training uses per language at most, and their bytes.
-FIT_WINDOWS = 1_200
+FIT_WINDOWS = 2_000
 WINDOW = 64
 #: States per direction.
 STATES = 8
@@ -31,8 +31,6 @@ CORE, MARGIN = 112, 8
 #: Windows that are run at once.
 SLAB = 2048
 PAD = 256
-#: Neighbouring positions agree; so many count as one independent vote.
-CORRELATED = 6.0
 
 _LETTER = regex.compile(r"\p{L}")
 
@@ -85,6 +83,7 @@ class Direction:
             gates += old.T @ both
             candidate += old.T @ dinner
             carry = grad * z + both @ self.gates.T + dinner @ self.candidate.T
+        table[PAD] = 0
         return [table, gates, candidate]
 
 
@@ -100,15 +99,16 @@ class LanguageModel:
         own = [w for d in (self.ahead, self.behind) for w in (d.table, d.gates, d.candidate)]
         return [*own, self.out, self.bias]
 
-    def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
+    def probabilities(self, codes: np.ndarray) -> np.ndarray:
         """(time, batch, languages) for codes (time, batch)."""
         both = np.concatenate([self.ahead.run(codes)[1:], self.behind.run(codes[::-1])[:0:-1]], 2)
         logits = both @ self.out + self.bias
-        logits -= logits.max(2, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(2, keepdims=True))
+        p = np.exp(logits - logits.max(2, keepdims=True))
+        p /= p.sum(2, keepdims=True)
+        return p
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
-        """(texts, languages): sums of the log probabilities of all positions of each text."""
+        """(texts, languages): mean probabilities over all positions of each text."""
         total = np.zeros((len(texts), len(self.languages)))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         flat = np.frombuffer(b"".join(texts), np.uint8)
@@ -122,21 +122,22 @@ class LanguageModel:
             place = nth[at : at + SLAB, None] * CORE + reach  # within the text
             inside = (place >= 0) & (place < sizes[who, None])
             codes = np.where(inside, flat[np.where(inside, begins[who, None] + place, 0)], PAD).T
-            scores = self.log_probabilities(np.ascontiguousarray(codes, np.int64))[MARGIN : MARGIN + CORE]
+            scores = self.probabilities(np.ascontiguousarray(codes, np.int64))[MARGIN : MARGIN + CORE]
             counted = inside.T[MARGIN : MARGIN + CORE]
             sums = np.einsum("tbl,tb->bl", scores, counted.astype(np.float32))
             for k in range(total.shape[1]):
                 total[:, k] += np.bincount(who, sums[:, k], len(texts))
-        return total
+        return total / np.maximum(1, sizes)[:, None]
 
 
-def train(windows: list[bytes], labels: np.ndarray, languages: list[str], epochs: int = 10, batch: int = 64, rate: float = 0.02, seed: int = 3) -> LanguageModel:
+def train(windows: list[bytes], labels: np.ndarray, languages: list[str], epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 3) -> LanguageModel:
     """Back-propagation through time with Adam; every position of a window bears its label."""
     rng = np.random.default_rng(seed)
     h = STATES
 
     def direction() -> Direction:
         table = rng.normal(0, 0.3, (257, 3 * h))
+        table[PAD] = [-30.0] * (2 * h) + [0.0] * h  # closed gates: outside the text the state is zero
         return Direction(*(w.astype(np.float32) for w in (table, rng.normal(0, 0.3, (h, 2 * h)), rng.normal(0, 0.3, (h, h)))))
 
     out = rng.normal(0, 0.3, (2 * h, len(languages))).astype(np.float32)
@@ -226,9 +227,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: LanguageModel | None) ->
         rows = [i for i, t in enumerate(texts) if model and t is not None and _LETTER.search(t)]
         if rows:
             raw = [texts[i].encode("utf-8", "replace") for i in rows]
-            votes = model.pooled(raw) / CORRELATED
-            p = np.exp(votes - votes.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
+            p = np.clip(model.pooled(raw), 0, 1)
             for i, best, row in zip(rows, p.argmax(1), p):
                 found[i], scores[i] = model.languages[best], float(row[best])
         names = [n for n in batch.schema.names if n != "__text"]

@@ -115,24 +115,38 @@ def _to_tiles(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Rec
 
 
 class Forest:
-    """Union-find over positions; keeps the links that joined two trees."""
+    """Trees over positions by label; keeps the links that joined two trees."""
 
     def __init__(self, size: int):
-        self.parent = np.arange(size)
+        self.label = np.arange(size)
         self.links: list[tuple[int, int]] = []
 
-    def root(self, node: int) -> int:
-        parent = self.parent
-        while parent[node] != node:
-            parent[node] = parent[parent[node]]
-            node = parent[node]
-        return node
-
-    def join(self, a: int, b: int) -> None:
-        ra, rb = self.root(a), self.root(b)
-        if ra != rb:
-            self.parent[max(ra, rb)] = min(ra, rb)
-            self.links.append((a, b))
+    def join(self, left: np.ndarray, right: np.ndarray) -> None:
+        """Take in many links at once: one of each pair of trees is looked at, in numpy but for those."""
+        a, b = self.label[left], self.label[right]
+        apart = np.flatnonzero(a != b)
+        if not len(apart):
+            return
+        low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+        _, first = np.unique(low * len(self.label) + high, return_index=True)
+        parent: dict[int, int] = {}
+
+        def root(node: int) -> int:
+            while (up := parent.get(node, node)) != node:
+                parent[node] = parent.get(up, up)
+                node = up
+            return node
+
+        for at in first.tolist():
+            x, y = root(int(low[at])), root(int(high[at]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                link = apart[at]
+                self.links.append((int(left[link]), int(right[link])))
+        new = np.arange(len(self.label))
+        for node in list(parent):
+            new[node] = root(node)
+        self.label = new[self.label]
 
 
 def compare_tiles(hosts: np.ndarray, guests: np.ndarray, radius: int = RADIUS, block: int = BLOCK) -> list[tuple[int, int]]:
@@ -162,9 +176,7 @@ def compare_tiles(hosts: np.ndarray, guests: np.ndarray, radius: int = RADIUS, b
                 continue
             near = np.bitwise_count(every[a0:a1, None] ^ every[None, b0:b1]) <= radius
             left, right = np.nonzero(near)
-            for a, b in zip((left + a0).tolist(), (right + b0).tolist()):
-                if a < b:
-                    forest.join(a, b)
+            forest.join(left + a0, right + b0)
     signed = every.view(np.int64)
     return [(int(signed[a]), int(signed[b])) for a, b in forest.links]
 
