@@ -45,3 +45,24 @@ def fold(key: Column, modulus: int) -> Column:
 def split_words(text: str | None) -> list[bytes]:
     """Words of a text as UTF-8."""
     return (text or "").encode("utf-8", "replace").split()
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that none can clash with an operator's own."""
+    return F.struct(*(docs[f"`{c}`"] for c in docs.columns))
+
+
+def keep_one(rows: DataFrame, stays: DataFrame, on: list[str]) -> DataFrame:
+    """Unpack ``__row`` of one row (the largest) for each combination of ``on`` that ``stays`` has.
+
+    Equal combinations meet within a task before they are shuffled; the semi-join then finds the
+    rows where the aggregate left them. Columns of ``on`` must not be null.
+    """
+    one = rows.groupBy(*on).agg(F.max("__row").alias("__row"))
+    return one.join(stays.select(*on).distinct(), on, "left_semi").select("__row.*")
+
+
+def never_null(key: Column) -> list[Column]:
+    """A long key as two columns without nulls: ``__null`` and ``__key``."""
+    long = key.cast("long")
+    return [long.isNull().alias("__null"), F.coalesce(long, F.lit(0)).alias("__key")]

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import stored
+from loomset.llm.common import keep_one, never_null, stored, text_bytes, whole_row
 
 #: Bytes of content that a bucket's table may hold at once.
 TABLE_BYTES = 32 << 20
@@ -217,13 +217,7 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Rows with equal key and text differ in other columns at most; the largest one of them stays.
     """
-    kept = find_copies(docs, key, text).where("kept").select(
-        F.col(key).alias("__kept_key"), F.col("text_sha256").alias("__kept_sha")
-    )
-    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    whole = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
-    rows = docs.select(whole.alias("__row"), F.col(key).cast("long").alias("__key"), digest.alias("__sha"))
-    same = rows["__key"].eqNullSafe(kept["__kept_key"]) & (rows["__sha"] == kept["__kept_sha"])
-    found = rows.join(kept, same, "left_semi")
-    one = found.groupBy("__key", "__sha").agg(F.max("__row").alias("__row"))
-    return one.select("__row.*")
+    stays = find_copies(docs, key, text).where("kept").select(*never_null(F.col(key)), F.col("text_sha256").alias("__sha"))
+    digest = F.sha2(text_bytes(F.col(text)), 256)
+    rows = docs.select(whole_row(docs).alias("__row"), *never_null(F.col(key)), digest.alias("__sha"))
+    return keep_one(rows, stays, ["__null", "__key", "__sha"])

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from loomset.llm import (
     exact_dedup,
     language_id,
+    lm_scoring,
     mixing,
     packing,
+    quality_rules,
     sharding,
     simhash,
     toxicity,
@@ -23,6 +25,17 @@ from loomset.sources.storage import scratch
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality_rules.judge(docs, table(spark, sf_dir, "labels"))
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
+    return lm_scoring.score_texts(docs, ["doc_id", "held_out"], "not held_out")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     remainder = fold(F.col("doc_id"), 3)
@@ -84,6 +97,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import stored
+from loomset.llm.common import keep_one, never_null, stored, whole_row
 
 SHINGLE = 3
 RADIUS = 3
@@ -241,19 +241,49 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` (smallest key it reaches)."""
-    rows = stored(fingerprints(docs, shingle, SEED, key, text), "fingerprints")
-    classes = rows.groupBy("print").agg(F.min("key").alias("first"))
-    classes = stored(classes, "fingerprint-classes")
+def fingerprint_classes(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``(print, root, component_id)`` of every distinct fingerprint of ``rows`` (key, print)."""
+    classes = stored(rows.groupBy("print").agg(F.min("key").alias("first")), "fingerprint-classes")
     roots = components(link_forest(classes.select("print"), radius))
     grouped = classes.join(roots, classes["print"] == roots["node"], "left").select(
         "print", "first", F.coalesce("root", "print").alias("root")
     )
     named = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    verdict = grouped.join(named, "root").select("print", "component_id")
-    return rows.join(verdict, "print").select(
+    return grouped.join(named, "root").select("print", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` (smallest key it reaches)."""
+    rows = stored(fingerprints(docs, shingle, SEED, key, text), "fingerprints")
+    return rows.join(fingerprint_classes(rows, radius), "print").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def _with_print(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [n for n in batch.schema.names if n != "__text"]
+        prints = [
+            _signed(fingerprint(t.as_buffer().to_pybytes(), shingle) if t.is_valid else 0) for t in batch.column("__text")
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(n) for n in names), pa.array(prints, pa.int64())], names=[*names, "__print"]
+        )
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: the one with the smallest key.
+
+    Which key and fingerprint stay is found on narrow rows, per component by a partial aggregate;
+    components are never gathered. Null keys come last.
+    """
+    rows = stored(fingerprints(docs, shingle, SEED, key, text), "fingerprints")
+    order = F.struct(F.col("key").isNull().alias("missing"), F.col("key"), F.col("print"))
+    stays = rows.join(fingerprint_classes(rows, radius), "print").groupBy("root").agg(F.min(order).alias("first"))
+    stays = stays.select(*never_null(F.col("first.key")), F.col("first.print").alias("__print"))
+    narrow = docs.select(whole_row(docs).alias("__row"), *never_null(F.col(key)), F.col(text).cast("string").alias("__text"))
+    schema = narrow.drop("__text").schema.add("__print", "long")
+    printed = narrow.mapInArrow(lambda b: _with_print(b, shingle), schema)
+    return keep_one(printed, stays, ["__null", "__key", "__print"])
