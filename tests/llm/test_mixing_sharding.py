@@ -1,0 +1,98 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from loomset.llm import mixing, sharding
+from loomset.sources.storage import scratch
+
+from .conftest import ODD_TEXTS
+
+
+def plain_targets(sizes, share=1.5, most=2.0):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {name: (3, 1, 2)[i % 3] for i, name in enumerate(names)}
+    left, open_names, out = share * sum(sizes.values()), set(names), {}
+    while open_names:
+        level = left / sum(weights[n] for n in open_names)
+        full = {n for n in open_names if level * weights[n] > most * sizes[n]}
+        if not full:
+            return out | {n: level * weights[n] for n in open_names}
+        for n in full:
+            out[n] = most * sizes[n]
+            left -= out[n]
+        open_names -= full
+    return out
+
+
+def test_budgets_are_met_to_the_word(spark, documents):
+    rng = random.Random(2)
+    sources = ["b", "a", "ä", None, "Z", "big"]
+    rows = [(i, " ".join("w" * rng.randrange(1, 40)), "en", rng.choice([*sources, "big", "big"])) for i in range(300)]
+    rows += [(1000 + i, t, "en", "odd") for i, t in enumerate(ODD_TEXTS)] + [(7, "twice", "en", "a")] * 3
+    mixed = mixing.mix(documents(*rows)).collect()
+    sizes = {}
+    for row in rows:
+        sizes[row[3]] = sizes.get(row[3], 0) + len((row[1] or "").encode().split())
+    targets = plain_targets(sizes)
+    assert len(mixed) == len(rows)
+    for name in sizes:
+        own = [r for r in mixed if r.source == name]
+        assert {r.source_size for r in own} == {sizes[name]}
+        assert own[0].target == pytest.approx(targets[name])
+        assert sum(r.taken for r in own) == int(targets[name] + 0.5)
+        assert all(0 <= r.taken <= 2 * r.size for r in own)
+
+
+def test_rounds_and_reruns(documents):
+    docs = documents(*((i, "a b c d e", "en", f"s{i % 3}") for i in range(60)))
+    first = sorted(map(tuple, mixing.mix(docs.repartition(7)).select("doc_id", "taken").collect()))
+    assert first == sorted(map(tuple, mixing.mix(docs).select("doc_id", "taken").collect()))
+    out = mixing.materialise(mixing.mix(docs), docs.columns)
+    assert out.columns == docs.columns
+    taken = dict(first)
+    for doc_id, words in out.groupBy("doc_id").agg(F.sum(F.size(F.split("text", " ")))).collect():
+        assert words == taken.pop(doc_id)
+    assert not any(taken.values())
+
+
+def test_sources_without_words(documents):
+    rows = mixing.mix(documents((1, "", "en", "a"), (2, None, "en", "b"))).collect()
+    assert {(r.size, r.target, r.taken) for r in rows} == {(0, 0.0, 0)}
+    assert mixing.mix(documents((1, "x")).where("false")).count() == 0
+
+
+def test_no_python_in_the_plan(documents):
+    docs = documents((1, "x"))
+    plan = mixing.materialise(mixing.mix(docs), docs.columns)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_shards_are_even_and_places_gapless(spark, documents):
+    rng = random.Random(4)
+    docs = documents(*((i, "ü" * rng.randrange(1, 400)) for i in range(4000)), *((i, t) for i, t in enumerate(ODD_TEXTS[:6])), (3, None))
+    rows = sharding.shard(docs, scratch(spark, "map"), shards=8).toPandas()
+    assert len(rows) == 4007
+    sums = rows.groupby("shard")["size"].sum()
+    assert sums.max() - sums.min() <= rows["size"].max()
+    for _, own in rows.groupby("shard"):
+        assert sorted(own.slot) == list(range(len(own)))
+    where = scratch(spark, "map")
+    assert sharding.shard(docs.where("false"), where, shards=8).count() == 0
+    assert sharding.read_map(spark, where, 1).count() == sharding.SLOTS
+
+
+def test_rebalancing_moves_few_slots(spark):
+    weights = np.random.default_rng(1).integers(1, 100, 1000)
+    old = sharding.place_slots(weights, 10)
+    new = sharding.rebalance(old, weights, 11)
+    assert (new[new != old] == 10).all()
+    load = np.bincount(new, weights)
+    assert load.max() < 1.15 * load.mean()
+    back = sharding.rebalance(new, weights, 10)
+    assert (back[new < 10] == new[new < 10]).all() and back.max() == 9
+    where = scratch(spark, "map")
+    for version, placed in ((1, old), (2, new)):
+        sharding.write_map(spark, where, version, placed, np.stack([weights, weights], 1))
+    assert [r.shard for r in sharding.read_map(spark, where, 2).orderBy("vslot").collect()] == new.tolist()
