@@ -111,7 +111,7 @@ class LanguageModel:
         """(texts, languages): mean probabilities over all positions of each text."""
         total = np.zeros((len(texts), len(self.languages)))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        flat = np.frombuffer(b"".join(texts), np.uint8)
+        flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.int16)
         begins = np.cumsum(sizes) - sizes
         parts = -(-sizes // CORE)
         owner = np.repeat(np.arange(len(texts)), parts)
@@ -121,7 +121,7 @@ class LanguageModel:
             who = owner[at : at + SLAB]
             place = nth[at : at + SLAB, None] * CORE + reach  # within the text
             inside = (place >= 0) & (place < sizes[who, None])
-            codes = np.where(inside, flat[np.where(inside, begins[who, None] + place, 0)], PAD).T
+            codes = np.where(inside, flat[np.where(inside, begins[who, None] + place, 0)], np.int16(PAD)).T
             scores = self.probabilities(np.ascontiguousarray(codes, np.int64))[MARGIN : MARGIN + CORE]
             counted = inside.T[MARGIN : MARGIN + CORE]
             sums = np.einsum("tbl,tb->bl", scores, counted.astype(np.float32))
