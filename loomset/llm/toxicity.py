@@ -168,20 +168,14 @@ def _feature_rows(batches: Iterator[pa.RecordBatch], stems: dict[bytes, float])
         )
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS, seed: int = 7) -> ToxicityModel:
-    """Fit on at most ``rows`` distinct texts of ``labelled`` (label 0 or 1, text), drawn by hash.
+def fit(labelled: DataFrame, seed: int = 7) -> ToxicityModel:
+    """Fit on a bounded sample (label 0 or 1, text), as :func:`labelled_rows` draws it.
 
     For the trees, each half of the sample is described by the stems of the other half, so that the
     trees see how far stems carry beyond the texts they come from; documents are then scored with
     the stems of both. Calibration uses out-of-fold margins.
     """
-    draw = F.xxhash64("text")
-    sample = (
-        labelled.where("label is not null").select(F.col("label").cast("int").alias("label"), "text")
-        .groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(F.max("label").alias("label"))
-        .orderBy(draw, "text").limit(rows)
-    )
-    sample = stored(sample.repartition(24, draw), "toxicity-sample")
+    sample = stored(labelled.repartition(24, "text"), "toxicity-sample")
     half = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(2))
     tables = []
     for k in (0, 1):
@@ -224,8 +218,21 @@ def score(docs: DataFrame, model: ToxicityModel, columns: list[str], text: str =
     return rows.mapInArrow(lambda batches: _score_rows(batches, model), schema)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, where: Column, key: str = "doc_id") -> DataFrame:
-    """``(label, text)`` of the documents that may be learned from."""
-    known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(key).alias("__label_key")).agg(F.max("toxic").alias("label"))
-    wanted = docs.where(where)
-    return wanted.join(known, wanted[key] == known["__label_key"]).select("label", "text")
+def labelled_rows(docs: DataFrame, labels: DataFrame, where: Column, rows: int = FIT_ROWS, key: str = "doc_id") -> DataFrame:
+    """``(label, text)`` of at most ``rows`` distinct texts that may be learned from, drawn by hash.
+
+    Labels meet keys and text hashes only; the texts of the draw, whose size is bounded, are then
+    picked out by a broadcast.
+    """
+    known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+        F.max("toxic").cast("int").alias("label")
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    wanted = docs.where(where).select(F.col(key).alias("__key"), F.xxhash64(text).alias("__draw"), text.alias("text"))
+    drawn = (
+        wanted.select("__key", "__draw").join(known, "__key")
+        .groupBy("__draw").agg(F.max("label").alias("label"), F.min("__key").alias("__key"))
+        .orderBy("__draw").limit(rows)
+    )
+    found = wanted.join(F.broadcast(drawn), ["__key", "__draw"])
+    return found.groupBy("__draw").agg(F.first("label").alias("label"), F.first("text").alias("text")).drop("__draw")
