@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         generators = {BASE: _factory(args.base), TUNED: _factory(args.tuned)}
         evaluate(spark, params, generators, force=args.force).comparison.show()
     else:
-        rows = load_rows(spark, params.dataset.name_or_path)
+        rows = load_rows(spark, params.dataset.name_or_path, params.dataset.schema)
         profile = explore(
             rows,
             params.dataset.key,

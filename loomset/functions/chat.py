@@ -17,7 +17,8 @@ class ChatTemplate:
     """How one model family writes a message list.
 
     ``opening`` maps a role to the text before its content, ``closing`` follows every message,
-    ``generation_opening`` asks for an answer, ``end_of_text`` ends a complete conversation.
+    ``generation_opening`` asks for an answer. A complete conversation has ``last_closing`` after
+    its last message (None: the same closing) and ends with ``end_of_text``.
     """
 
     name: str
@@ -25,6 +26,7 @@ class ChatTemplate:
     closing: str
     generation_opening: str
     end_of_text: str = ""
+    last_closing: str | None = None
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "opening", MappingProxyType(dict(self.opening)))
@@ -43,6 +45,7 @@ CHATML = ChatTemplate(
     opening={role: f"<|im_start|>{role}\n" for role in ROLES},
     closing="<|im_end|>\n",
     generation_opening="<|im_start|>assistant\n",
+    last_closing="<|im_end|>",
 )
 TEMPLATES = {template.name: template for template in (PHI3, CHATML)}
 
@@ -73,23 +76,23 @@ def render(messages: Column, template: ChatTemplate, ask: bool) -> Column:
             chosen = F.when(role == name, F.lit(text)).otherwise(chosen.cast("string"))
         return chosen
 
-    written = F.transform(
-        messages,
-        lambda m: F.concat(opening(m["role"]), m["content"], F.lit(template.closing)),
-    )
+    written = F.transform(messages, lambda m: F.concat(opening(m["role"]), m["content"]))
+    last = template.closing if ask or template.last_closing is None else template.last_closing
     ending = template.generation_opening if ask else template.end_of_text
-    return F.concat(F.array_join(written, ""), F.lit(ending))
+    closed = F.when(F.size(messages) > 0, F.lit(last)).otherwise(F.lit(""))
+    return F.concat(F.array_join(written, template.closing), closed, F.lit(ending))
 
 
 def chatml_prompt(system_prompt: str, user: Column) -> Column:
     """Prompt for a model without a template of its own."""
+    opening, closing = CHATML.opening, CHATML.closing
     return F.concat(
-        F.lit(f"<|im_start|>system\n{system_prompt}<|im_end|>\n<|im_start|>user\n"),
+        F.lit(f"{opening['system']}{system_prompt}{closing}{opening['user']}"),
         user,
-        F.lit("<|im_end|>\n<|im_start|>assistant\n"),
+        F.lit(f"{closing}{CHATML.generation_opening}"),
     )
 
 
 def chatml_text(prompt: Column, reply: Column) -> Column:
     """Complete ChatML conversation; no line break after the last marker."""
-    return F.concat(prompt, reply, F.lit("<|im_end|>"))
+    return F.concat(prompt, reply, F.lit(CHATML.last_closing))

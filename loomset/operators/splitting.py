@@ -71,6 +71,13 @@ def count_rows(hashes: DataFrame, kept: Column | None = None) -> tuple[int, int]
     return row["rows"], row["kept"]
 
 
+def require_unique(hashes: DataFrame) -> None:
+    """Refuse rows that share a key. Equal hashes meet within a task first; 16 bytes are shuffled."""
+    shared = hashes.groupBy(F.unhex("hash").alias("hash")).count().where("count > 1").take(1)
+    if shared:
+        raise DuplicateKeyError(f"{shared[0]['count']} rows share one {KEY}; keys must be unique.")
+
+
 def find_borders(hashes: DataFrame, sizes: SplitSizes) -> SplitBorders:
     """The border hashes of a table with one ``hash`` per kept row.
 
@@ -102,6 +109,7 @@ def split_rows(rows: DataFrame, validation: float, test: float, seed: int) -> Da
         rows.select(split_hash(seed).alias("hash")).write.parquet(directory)
         hashes = spark.read.parquet(directory)
         total, _ = count_rows(hashes)
+        require_unique(hashes)
         borders = find_borders(hashes, SplitSizes.of(total, validation, test))
     finally:
         remove(spark, directory)

@@ -46,6 +46,8 @@ class DatasetParams:
     template: str | None = None
     # Column that identifies a row; None derives the key from the content.
     key: str | None = None
+    # Columns of a JSON source as DDL ("row_id long, instruction string"); None infers all of them.
+    schema: str | None = None
     # False saves only key, text, prompt and target.
     keep_source: bool = True
 
@@ -75,7 +77,8 @@ class EvaluationParams:
 
     results_dir: str
     report_path: str | None = None
-    # Directory of finished splits; None means the dataset's processed_dir.
+    # JSON Lines file of the test split, or a directory of finished splits; None means the dataset's
+    # processed_dir.
     test_file: str | None = None
     max_new_tokens: int = 128
     num_qualitative_examples: int = 5

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -9,22 +10,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.errors import EmptySplitError
+from loomset.errors import AlignmentError, EmptySplitError, MissingSplitError
 from loomset.operators.comparing import BASE, TUNED, compare_models, side_by_side, split_summary
 from loomset.operators.identity import KEY
 from loomset.operators.predicting import Generator, batch_predict
 from loomset.operators.rouge import corpus_scores, pair_up, require_alignment, rouge_scores
 from loomset.params import JobParams
-from loomset.sources.reader import load_sizes, load_split
-from loomset.sources.storage import finished
-from loomset.sources.writer import write_small
+from loomset.sources.reader import JSON_SUFFIXES, load_sizes, load_split, load_test_file
+from loomset.sources.storage import changed, exists, finished, read_text, write_text
+from loomset.sources.writer import JOB_FILE, splits_finished, splits_mark, write_small
 
 MODELS = (BASE, TUNED)
 
 
 @dataclass(frozen=True)
 class Evaluation:
-    """Result tables, read back from where the job wrote them."""
+    """Result tables: scores and examples as stored, comparison and summary computed from them."""
 
     scores: DataFrame
     examples: DataFrame
@@ -44,7 +45,8 @@ def evaluate(
     Give either one generator factory per model or a finished table
     ``(example_id, model, prediction)``. Predictions are stored before they are used, since they
     are the expensive part, and a model whose predictions are complete is not run again. Finished
-    results are kept unless forced; a report (comparison and split summary) is never replaced.
+    results are kept unless forced or made from other splits or with other parameters. What is
+    returned belongs to the scores; a stored report (comparison and summary) is never replaced.
     """
     wanted = params.evaluation
     if wanted is None:
@@ -53,43 +55,57 @@ def evaluate(
     scores_dir, examples_dir = f"{root}/metrics", f"{root}/qualitative_examples"
     report_dir = wanted.report_path or f"{root}/report"
 
-    splits_dir = wanted.test_file or params.dataset.processed_dir
-    test = load_split(spark, splits_dir, "test").select(KEY, "prompt", "target")
-    done = finished(spark, scores_dir) and finished(spark, examples_dir)
+    test, sizes, source = _test_split(spark, params)
+    job = json.dumps([source, wanted.metrics, wanted.num_qualitative_examples, wanted.max_new_tokens])
+    mark = f"{root}/{JOB_FILE}"
+    same = exists(spark, mark) and read_text(spark, mark) == job
+    done = same and predictions is None and finished(spark, scores_dir) and finished(spark, examples_dir)
     if force or not done:
         if test.isEmpty():
             raise EmptySplitError({"test": 0})
         made = _stored_predictions(
-            test, params, generators, predictions, f"{root}/predictions", force
+            test, params, generators, predictions, f"{root}/predictions", force, source
         )
         require_alignment(test, made, MODELS)
         scores = corpus_scores(rouge_scores(pair_up(test, made), wanted.metrics))
         write_small(side_by_side(test, made, wanted.num_qualitative_examples), examples_dir)
         write_small(scores, scores_dir)
+        write_text(spark, mark, job)
     scores = spark.read.schema("model string, metric string, value double").json(scores_dir)
-    report = {
-        "comparison": lambda: compare_models(scores),
-        "summary": lambda: split_summary(
-            load_sizes(spark, splits_dir), params.dataset.name_or_path, params.dataset.planned
-        ),
-    }
-    for name, table in report.items():
+    comparison = compare_models(scores)
+    summary = split_summary(sizes, params.dataset.name_or_path, params.dataset.planned)
+    for name, table in (("comparison", comparison), ("summary", summary)):
         if not finished(spark, f"{report_dir}/{name}"):
-            write_small(table(), f"{report_dir}/{name}")
+            write_small(table, f"{report_dir}/{name}")
     text = "prompt string, ground_truth string, base_model_response string"
     key_type = test.schema[KEY].dataType.simpleString()
     examples = spark.read.schema(
         f"{KEY} {key_type}, {text}, fine_tuned_response string"
     ).json(examples_dir)
-    comparison = spark.read.schema(
-        f"metric string, {BASE} double, {TUNED} double, delta double"
-    ).json(f"{report_dir}/comparison")
-    summary = spark.read.schema(
-        "dataset string, split string, planned_share double, rows long, actual_share double"
-    ).json(f"{report_dir}/summary")
     return Evaluation(scores, examples, comparison, summary)
 
 
+def _test_split(spark: SparkSession, params: JobParams) -> tuple[DataFrame, DataFrame, str]:
+    """Test rows, sizes of all splits, and what names this state of them.
+
+    A test file may lie apart from the splits; their sizes are then those of the splits, if there
+    are any, and else of the file alone.
+    """
+    named, processed = params.evaluation.test_file, params.dataset.processed_dir
+    if named is None or not named.rstrip("/").endswith(JSON_SUFFIXES):
+        where = named or processed
+        test = load_split(spark, where, "test").select(KEY, "prompt", "target")
+        return test, load_sizes(spark, where), f"{where} {splits_mark(spark, where)}"
+    if not exists(spark, named):
+        raise MissingSplitError(named)
+    test = load_test_file(spark, named, params.dataset.key)
+    if splits_finished(spark, processed):
+        sizes = load_sizes(spark, processed)
+    else:
+        sizes = test.agg(F.lit("test").alias("split"), F.count("*").alias("rows"))
+    return test, sizes, f"{named} {changed(spark, named)}"
+
+
 def _stored_predictions(
     test: DataFrame,
     params: JobParams,
@@ -97,17 +113,27 @@ def _stored_predictions(
     predictions: DataFrame | None,
     directory: str,
     force: bool,
+    source: str,
 ) -> DataFrame:
-    """Write predictions and read them back; a model that finished earlier is not run again."""
+    """Write predictions and read them back.
+
+    A model that finished earlier on the same prompts is not run again. Rows of other models in a
+    given table are an error.
+    """
     spark = test.sparkSession
     if predictions is not None:
-        kept = predictions.where(F.col("model").isin(*MODELS))
-        kept.select(KEY, "model", "prediction").write.mode("overwrite").parquet(f"{directory}/given")
+        other = predictions.where(~F.coalesce(F.col("model").isin(*MODELS), F.lit(False))).take(1)
+        if other:
+            raise AlignmentError(f"Predictions of model '{other[0]['model']}'; known: {MODELS}")
+        predictions.select(KEY, "model", "prediction").write.mode("overwrite").parquet(f"{directory}/given")
         return spark.read.parquet(f"{directory}/given")
     if generators is None or set(generators) != set(MODELS):
         raise ValueError(f"give predictions, or one generator factory each for {MODELS}")
+    job = json.dumps([source, params.evaluation.max_new_tokens])
     for model in MODELS:
-        if force or not finished(spark, f"{directory}/{model}"):
+        mark = f"{directory}/{model}-{JOB_FILE.lstrip('_')}"
+        same = exists(spark, mark) and read_text(spark, mark) == job
+        if force or not same or not finished(spark, f"{directory}/{model}"):
             batch_predict(
                 test,
                 generators[model],
@@ -115,6 +141,7 @@ def _stored_predictions(
                 max_new_tokens=params.evaluation.max_new_tokens,
                 partitions=params.evaluation.partitions,
             ).write.mode("overwrite").parquet(f"{directory}/{model}")
+            write_text(spark, mark, job)
     return reduce(
         DataFrame.unionByName, [spark.read.parquet(f"{directory}/{model}") for model in MODELS]
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
 from loomset.errors import SplitMismatchError
 from loomset.functions.tokens import token_count
 from loomset.operators import splitting
@@ -16,7 +16,7 @@ from loomset.operators.gates import require_rows
 from loomset.operators.identity import KEY, with_example_id
 from loomset.params import DatasetParams
 from loomset.sources import storage
-from loomset.sources.reader import EXAMPLE_SCHEMA, load_rows, load_splits, loading
+from loomset.sources.reader import load_rows, load_splits, loading
 from loomset.sources.writer import require_free_name, splits_finished, write_splits
 
 # At most this many hashes of long rows (32 characters each) are broadcast.
@@ -27,17 +27,26 @@ def prepare(
     spark: SparkSession,
     params: DatasetParams,
     force: bool = False,
-    schema: StructType | None = EXAMPLE_SCHEMA,
     counter: Callable[[Column], Column] = token_count,
     reuse_counts: bool = False,
 ) -> DataFrame:
-    """Load the dataset by name and write its splits; finished splits are kept unless forced."""
-    if splits_finished(spark, params.processed_dir) and not force:
+    """Load the dataset by name and write its splits.
+
+    Finished splits are kept unless forced, or made with other parameters or another counter.
+    """
+    if splits_finished(spark, params.processed_dir, job_name(params, counter)) and not force:
         return load_splits(spark, params.processed_dir)
-    rows = load_rows(spark, params.name_or_path, schema)
+    rows = load_rows(spark, params.name_or_path, params.schema)
     return prepare_rows(rows, params, counter, reuse_counts)
 
 
+def job_name(params: DatasetParams, counter: Callable[[Column], Column]) -> str:
+    """What decides the content of the splits, besides the source's rows."""
+    given = {k: v for k, v in asdict(params).items() if k not in ("processed_dir", "raw_dir")}
+    name = f"{counter.__module__}.{getattr(counter, '__qualname__', type(counter).__name__)}"
+    return json.dumps(given | {"counter": name}, sort_keys=True)
+
+
 def prepare_rows(
     rows: DataFrame,
     params: DatasetParams,
@@ -65,6 +74,8 @@ def prepare_rows(
         keys = spark.read.parquet(keys_dir)
 
         total, kept = splitting.count_rows(keys, F.col("within_limit"))
+        if params.key is not None:
+            splitting.require_unique(keys)
         require_rows("in the dataset", total, params.min_examples)
         require_rows("after length filtering", kept, params.min_examples)
         sizes = splitting.SplitSizes.of(kept, params.val_split, params.test_split)
@@ -77,8 +88,13 @@ def prepare_rows(
         split = splitting.assign_split(final, own_hash, borders).observe(
             written, *[F.count_if(F.col("split") == name).alias(name) for name in splitting.SPLITS]
         )
-        write_splits(split, params.processed_dir, sizes.as_dict())
-        _check_written(spark, params.processed_dir, sizes.as_dict(), written.get)
+        write_splits(
+            split,
+            params.processed_dir,
+            sizes.as_dict(),
+            lambda: _check_written(split, params.processed_dir, sizes.as_dict(), written.get),
+            job_name(params, counter),
+        )
     finally:
         storage.remove(spark, keys_dir)
         storage.remove(spark, keyed_dir)
@@ -112,13 +128,14 @@ def _kept_rows(
 
 
 def _check_written(
-    spark: SparkSession, directory: str, planned: dict[str, int], observed: dict[str, int]
+    written: DataFrame, directory: str, planned: dict[str, int], observed: dict[str, int]
 ) -> None:
     """Written rows must be the planned ones; a recount settles a count blurred by task retries."""
     if observed == planned:
         return
-    rows = splitting.split_sizes(load_splits(spark, directory)).collect()
-    found = {name: 0 for name in planned} | {row["split"]: row["rows"] for row in rows}
+    rows = written.sparkSession.read.schema(written.schema).json(directory.rstrip("/"))
+    counts = splitting.split_sizes(rows).collect()
+    found = {name: 0 for name in planned} | {row["split"]: row["rows"] for row in counts}
     if found != planned:
         raise SplitMismatchError(
             f"Planned {planned} but wrote {found}: the source changed while it was read, or "

@@ -13,17 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from loomset.errors import DatasetLoadError, MissingSplitError
+from loomset.operators.identity import KEY, content_key
 from loomset.sources.storage import exists, first_visible_byte, read_text
 from loomset.sources.writer import SCHEMA_FILE, SIZES_FILE, splits_finished
 
 # The fields of an instruction row.
 FIELDS = ("instruction", "context", "response", "output")
+# For tables made in code; reading JSON infers its own columns.
 EXAMPLE_SCHEMA = StructType([StructField(name, StringType()) for name in FIELDS])
 JSON_SUFFIXES = (".json", ".jsonl")
 # What Spark calls a failed read, as opposed to a failure of the work done on the rows.
 _READ_FAILURES = (
     "FAILED_READ_FILE",
     "MALFORMED_RECORD_IN_PARSING",
+    "MALFORMED_RECORD_DETECTED_IN_RECORD_PARSING",
+    "Malformed records are detected",
     "PATH_NOT_FOUND",
     "TABLE_OR_VIEW_NOT_FOUND",
     "UNABLE_TO_INFER_SCHEMA",
@@ -49,13 +53,14 @@ def loading(name: str) -> Iterator[None]:
 def load_rows(
     spark: SparkSession,
     name: str,
-    schema: StructType | None = EXAMPLE_SCHEMA,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """Read instruction rows from a JSON file, a Parquet path or a catalog table.
 
-    ``schema`` is used for JSON. ``None`` lets Spark infer it, which keeps columns the schema
-    does not list and costs one more pass over the input. Missing fields become null columns.
-    A ``.json`` file that holds one array cannot be split between tasks; lines can.
+    All columns of the source are kept. For JSON, Spark infers them with one more pass over the
+    input; a ``schema`` spares that pass and keeps the columns it lists. Missing fields become null
+    columns, and the four fields are text whatever was inferred. A ``.json`` file that holds one
+    array cannot be split between tasks; lines can.
     """
     with loading(name):
         if not exists(spark, name):
@@ -66,11 +71,28 @@ def load_rows(
             rows = (reader if schema is None else reader.schema(schema)).json(name)
         else:
             rows = spark.read.parquet(name)
-    present = {column.lower() for column in rows.columns}
-    missing = {
-        field: F.lit(None).cast("string") for field in FIELDS if field.lower() not in present
+    present = {name.lower(): kind for name, kind in rows.dtypes}
+    made = {
+        field: (F.col(field) if field in present else F.lit(None)).cast("string")
+        for field in FIELDS
+        if present.get(field) != "string"
     }
-    return rows.withColumns(missing) if missing else rows
+    return rows.withColumns(made) if made else rows
+
+
+def load_test_file(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """A test split that lies in one JSON Lines file: key, prompt and target.
+
+    Rows without an ``example_id`` are keyed by the column ``key`` if there is one, else by content.
+    """
+    with loading(path):
+        rows = spark.read.option("mode", "FAILFAST").json(path)
+    missing = sorted({"prompt", "target"} - set(rows.columns))
+    if missing:
+        raise DatasetLoadError(path, ValueError(f"no column {', '.join(missing)}"))
+    if KEY not in rows.columns:
+        rows = rows.withColumn(KEY, F.col(key) if key in rows.columns else content_key(rows))
+    return rows.select(KEY, "prompt", "target")
 
 
 def load_splits(spark: SparkSession, directory: str) -> DataFrame:

@@ -23,6 +23,13 @@ def finished(spark: SparkSession, directory: str) -> bool:
     return exists(spark, f"{directory.rstrip('/')}/_SUCCESS")
 
 
+def changed(spark: SparkSession, location: str) -> str:
+    """Length and time of the last change of a file."""
+    filesystem, path = _path(spark, location)
+    status = filesystem.getFileStatus(path)
+    return f"{status.getLen()} {status.getModificationTime()}"
+
+
 def write_text(spark: SparkSession, location: str, text: str) -> None:
     filesystem, path = _path(spark, location)
     stream = filesystem.create(path, True)

@@ -3,26 +3,36 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from loomset.errors import ConfigError
-from loomset.sources.storage import exists, finished, write_text
+from loomset.sources.storage import exists, finished, read_text, write_text
 
 # The names of the splits.
 SPLITS = ("train", "validation", "test")
 SCHEMA_FILE = "_schema.json"
 SIZES_FILE = "_sizes.json"
+JOB_FILE = "_job.json"
 _OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
-def write_splits(rows: DataFrame, directory: str, sizes: dict[str, int] | None = None) -> None:
+def write_splits(
+    rows: DataFrame,
+    directory: str,
+    sizes: dict[str, int] | None = None,
+    check: Callable[[], None] | None = None,
+    job: str = "",
+) -> None:
     """JSON Lines below ``split=<name>``, null fields kept, replacing what was there.
 
     Rows stay in the task that computed them; nothing is shuffled, and with a file open per split
     nothing is sorted either. The schema goes into a file
-    Spark's readers pass over, so that a reader needs no inference pass. It is written last and
-    marks the splits as complete. Known ``sizes`` are saved as well, to spare later counts.
+    Spark's readers pass over, so that a reader needs no inference pass. It is written last, after
+    ``check`` has passed, and marks the splits as complete. Known ``sizes`` are saved as well, to
+    spare later counts, and what the ``job`` was, with a name of its own for this writing.
     """
     spark, where = rows.sparkSession, directory.rstrip("/")
     before = spark.conf.get(_OPEN_FILES)
@@ -33,14 +43,26 @@ def write_splits(rows: DataFrame, directory: str, sizes: dict[str, int] | None =
         writer.option("partitionOverwriteMode", "static").partitionBy("split").json(where)
     finally:
         spark.conf.set(_OPEN_FILES, before)
+    if check is not None:
+        check()
+    write_text(spark, f"{where}/{JOB_FILE}", json.dumps({"job": job, "written": uuid.uuid4().hex}))
     if sizes is not None:
         write_text(spark, f"{where}/{SIZES_FILE}", json.dumps(sizes))
     write_text(spark, f"{where}/{SCHEMA_FILE}", rows.schema.json())
 
 
-def splits_finished(spark, directory: str) -> bool:
+def splits_finished(spark, directory: str, job: str | None = None) -> bool:
+    """Whether complete splits lie there, and were made by that ``job`` if one is named."""
     where = directory.rstrip("/")
-    return finished(spark, where) and exists(spark, f"{where}/{SCHEMA_FILE}")
+    if not (finished(spark, where) and exists(spark, f"{where}/{SCHEMA_FILE}")):
+        return False
+    return job is None or json.loads(splits_mark(spark, where) or "{}").get("job") == job
+
+
+def splits_mark(spark, directory: str) -> str:
+    """What names this writing of the splits; empty if they carry no such mark."""
+    mark = f"{directory.rstrip('/')}/{JOB_FILE}"
+    return read_text(spark, mark) if exists(spark, mark) else ""
 
 
 def require_free_name(rows: DataFrame) -> None:

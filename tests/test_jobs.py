@@ -1,6 +1,7 @@
 import json
 import os
 import sys
+from dataclasses import replace
 
 import pytest
 from pyspark import cloudpickle
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 from loomset import DatasetParams, EvaluationParams, JobParams, evaluate, explore, prepare
 from loomset import prepare_rows, training_text
 from loomset.errors import AlignmentError, ConfigError, EmptySplitError, MissingSplitError
-from loomset.errors import SplitMismatchError, TooFewExamplesError
+from loomset.errors import DuplicateKeyError, SplitMismatchError, TooFewExamplesError
 from loomset.functions.tokens import token_count
 from loomset.operators.comparing import BASE, TUNED
+from loomset.operators.splitting import split_rows
 from loomset.sources.reader import load_splits
 from loomset.sources.storage import exists
 
@@ -117,12 +119,47 @@ def test_unequal_passes_are_noticed(spark, tmp_path):
     prepare_rows(rows_of(spark, 50), params(tmp_path, min_examples=1))
     written = str(tmp_path / "splits")
     planned = {"train": 40, "validation": 5, "test": 5}
-    prepare_module._check_written(spark, written, planned, {"train": 41, "validation": 5, "test": 5})
+    done = load_splits(spark, written)
+    prepare_module._check_written(done, written, planned, {"train": 41, "validation": 5, "test": 5})
     with pytest.raises(SplitMismatchError):
-        prepare_module._check_written(spark, written, planned | {"train": 39}, planned)
+        prepare_module._check_written(done, written, planned | {"train": 39}, planned)
     assert not exists(spark, out)
 
 
+def test_refused_splits_are_not_served_later(spark, tmp_path, monkeypatch):
+    rows_of(spark, 50).write.parquet(str(tmp_path / "a.parquet"))
+    given = DatasetParams(str(tmp_path / "a.parquet"), str(tmp_path / "s"), min_examples=10, key="row")
+
+    def refuse(*_):
+        raise SplitMismatchError("changed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(prepare_module, "_check_written", refuse)
+        for _ in range(2):
+            with pytest.raises(SplitMismatchError):
+                prepare(spark, given)
+    with pytest.raises(MissingSplitError):
+        load_splits(spark, given.processed_dir)
+    assert prepare(spark, given).count() == 50
+
+
+def test_other_parameters_redo_the_splits(spark, tmp_path):
+    rows_of(spark, 50, long_every=5).write.parquet(str(tmp_path / "a.parquet"))
+    given = DatasetParams(str(tmp_path / "a.parquet"), str(tmp_path / "s"), min_examples=10, key="row")
+    assert prepare(spark, given).count() == 50
+    assert prepare(spark, replace(given, max_seq_length=60)).count() == 40
+
+
+@pytest.mark.parametrize("few, reuse", [(100, False), (0, False), (0, True)])
+def test_repeated_keys_are_refused_on_every_way(spark, tmp_path, monkeypatch, few, reuse):
+    monkeypatch.setattr(prepare_module, "BROADCAST_ROWS", few)
+    twice = rows_of(spark, 50, long_every=10).union(rows_of(spark, 1, long_every=2))
+    with pytest.raises(DuplicateKeyError, match="2 rows share one example_id"):
+        prepare_rows(twice, params(tmp_path), reuse_counts=reuse)
+    with pytest.raises(DuplicateKeyError, match="2 rows share one example_id"):
+        split_rows(twice.withColumnRenamed("row", "example_id"), 0.1, 0.1, 42)
+
+
 def test_training_text(spark, tmp_path):
     given = params(tmp_path)
     with pytest.raises(MissingSplitError):
@@ -190,7 +227,32 @@ def test_results_and_report_are_kept(spark, tmp_path):
     report = [json.loads(t) for f in (tmp_path / "report" / "comparison").glob("*.json") for t in f.read_text().splitlines()]
     redone = evaluate(spark, given, {BASE: answers, TUNED: answers}, force=True)
     assert [r.value for r in redone.scores.collect()] == pytest.approx([2 / 3] * 2)
-    assert [r.asDict() for r in redone.comparison.collect()] == report
+    after = [json.loads(t) for f in (tmp_path / "report" / "comparison").glob("*.json") for t in f.read_text().splitlines()]
+    assert after == report
+    assert [(r[BASE], r[TUNED], r.delta) for r in redone.comparison.collect()] == [pytest.approx((2 / 3, 2 / 3, 0))]
+
+
+def test_other_metrics_and_other_splits_are_computed(spark, tmp_path):
+    given = job(tmp_path, metrics=("rouge1",))
+    prepare_rows(rows_of(spark, 50), given.dataset)
+    assert evaluate(spark, given, {BASE: answers, TUNED: answers}).scores.count() == 2
+    more = evaluate(spark, job(tmp_path), {BASE: repeat_question, TUNED: repeat_question}).scores.collect()
+    values = {(r.model, r.metric): r.value for r in more}
+    assert len(values) == 8 and values[BASE, "rouge1"] == pytest.approx(2 / 3)
+    prepare_rows(rows_of(spark, 50), given.dataset)
+    again = evaluate(spark, job(tmp_path), {BASE: repeat_question, TUNED: repeat_question}).scores.collect()
+    assert {r.value for r in again if r.metric == "rouge1"} == {0.5}
+
+
+def test_test_file(spark, tmp_path):
+    file = tmp_path / "test.jsonl"
+    file.write_text("".join(json.dumps({"prompt": f"p{i}", "target": f"answer {i}", "id": i}) + "\n" for i in range(4)))
+    given = JobParams(params(tmp_path), EvaluationParams(str(tmp_path / "r"), test_file=str(file), metrics=("rouge1",)))
+    result = evaluate(spark, given, {BASE: answers, TUNED: answers})
+    assert [r.value for r in result.scores.collect()] == pytest.approx([2 / 3] * 2)
+    assert [(r.split, r.rows) for r in result.summary.where("rows > 0").collect()] == [("test", 4)]
+    with pytest.raises(MissingSplitError):
+        evaluate(spark, replace(given, evaluation=replace(given.evaluation, test_file=str(tmp_path / "no.jsonl"))), {BASE: answers, TUNED: answers})
 
 
 def test_supplied_predictions_must_pair_up(spark, tmp_path):
@@ -204,6 +266,8 @@ def test_supplied_predictions_must_pair_up(spark, tmp_path):
         with pytest.raises(AlignmentError):
             evaluate(spark, given, predictions=broken)
     assert evaluate(spark, given, predictions=made).scores.count() == 2
+    with pytest.raises(AlignmentError, match="other_model"):
+        evaluate(spark, given, predictions=made.union(made.limit(1).withColumn("model", F.lit("other_model"))))
 
 
 def test_empty_test_split(spark, tmp_path):
@@ -216,6 +280,14 @@ def test_empty_test_split(spark, tmp_path):
         evaluate(spark, given, {BASE: repeat_question, TUNED: answers})
 
 
+def test_explore_without_a_key_writes_nothing(spark, examples):
+    root = spark.conf.get("spark.checkpoint.dir") + "/loomset"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    profile = explore(examples(("a b", "c", "d"), ("a b", "c", "d"), ("x", None, None), keyed=False), sample=2)
+    assert (profile.rows, profile.word_lengths.first().n_rows, profile.preview.count()) == (3, 2, 1)
+    assert (set(os.listdir(root)) if os.path.isdir(root) else set()) == before
+
+
 def test_explore(spark, examples):
     profile = explore(examples(("a b", "c", "d"), ("x", None, None)), key="example_id")
     lengths = profile.word_lengths.first()

@@ -45,9 +45,18 @@ def test_compressed_array_and_directory(spark, tmp_path):
 
 def test_inferred_schema_keeps_other_columns(spark, tmp_path):
     path = lines(tmp_path / "a.jsonl", ROWS)
-    rows = load_rows(spark, path, schema=None)
+    rows = load_rows(spark, path)
     assert {"category", "instruction", "context", "response", "output"} == set(rows.columns)
-    assert "category" not in load_rows(spark, path).columns
+    given = load_rows(spark, path, "category string, instruction string")
+    assert given.columns == ["category", "instruction", "context", "response", "output"]
+    assert given.where("response is null").count() == given.count() == len(ROWS)
+
+
+def test_key_column_of_json_rows(spark, tmp_path):
+    path = lines(tmp_path / "a.jsonl", [{"row_id": i, "instruction": i, "response": "r", "tags": ["x"]} for i in range(9)])
+    done = prepare(spark, DatasetParams(path, str(tmp_path / "s"), min_examples=1, key="row_id"))
+    rows = sorted(map(tuple, done.select("example_id", "row_id", "instruction", "tags").collect()))
+    assert rows == [(i, i, str(i), ["x"]) for i in range(9)]
 
 
 def test_parquet_and_catalog_table(spark, tmp_path):
