@@ -28,13 +28,16 @@ def first_tokens(value: str, limit: int) -> str:
 # The statements below are chained as common table expressions, each on the ones it names.
 STEPS = {
     "instruction_rows": """
-        select conv_id * 1000 + a.turn as example_id, a.text as instruction, d.text as context,
+        select conv_id * 1000 + a.turn as example_id, a.text as instruction,
+               coalesce(d.text, s.text) as context,
                case when conv_id % 7 = 0 then '' else r.text end as response,
                case when conv_id % 7 = 0 then r.text end as output
         from (select conv_id, turn, text from conversations where role = 'user') a
-        join (select conv_id as c, turn - 1 as turn, text from conversations
-              where role = 'assistant') r on r.c = a.conv_id and r.turn = a.turn
-        left join documents d on d.doc_id = conv_id and d.lang = 'en' and d.n_chars <= 2000""",
+        left join (select conv_id as c, turn - 1 as turn, text from conversations
+                   where role = 'assistant') r on r.c = a.conv_id and r.turn = a.turn
+        left join documents d on d.doc_id = conv_id
+        left join (select conv_id as c, text from conversations where role = 'system') s
+               on s.c = conv_id""",
     "turns": f"""
         select *, {stripped("coalesce(instruction, '')")} as ins,
                {stripped("coalesce(context, '')")} as ctx,
@@ -72,13 +75,17 @@ STEPS = {
     "doc_measured": f"""
         select doc_id as example_id, text, {tokens('text')} as num_tokens from documents""",
     "replies": """
-        select *, string_split(coalesce(nullif(response, ''), output, ''), ' ') as words
+        select *, list_filter(string_split(coalesce(nullif(response, ''), output, ''), ' '),
+                              lambda w, i: (i - 1) % 7 <> 5) as words
         from asked""",
     "predictions": """
         select example_id, 'base_model' as model, user_turn as prediction from replies
         union all
         select example_id, 'fine_tuned_model',
-               array_to_string(words[1:ceil(len(words) / 2)::int], ' ') from replies""",
+               array_to_string(list_concat(list_concat(
+                   list_filter(words, lambda w, i: (i - 1) % 3 = 1),
+                   list_filter(words, lambda w, i: (i - 1) % 3 = 0)),
+                   list_filter(words, lambda w, i: (i - 1) % 3 = 2)), ' ') from replies""",
     "pairs": """
         select p.example_id, p.model, p.prediction, a.target
         from predictions p join asked a using (example_id)""",
@@ -117,17 +124,23 @@ def grams(order: int, source: str) -> str:
 
 
 def longest(source: str) -> str:
-    """CTEs that score the longest common subsequence with one table row per target token."""
+    """CTEs that score the longest common subsequence with one table row per target token.
+
+    Predicted tokens that the target lacks cannot match and are left out of the table.
+    """
     return f"""
     toksL as (
         select example_id, model,
                regexp_extract_all(lower(prediction), '[a-z0-9]+') as p,
                regexp_extract_all(lower(target), '[a-z0-9]+') as t from {source}),
+    matchL as (
+        select example_id, model, len(p) as size, t,
+               list_filter(p, lambda x: list_contains(t, x)) as p from toksL),
     rowsL as (
-        select example_id, model, p, t, 0 as i,
-               list_transform(range(0, len(p) + 1), lambda x: 0::bigint) as d from toksL
+        select example_id, model, size, p, t, 0 as i,
+               list_transform(range(0, len(p) + 1), lambda x: 0::bigint) as d from matchL
         union all
-        select example_id, model, p, t, i + 1,
+        select example_id, model, size, p, t, i + 1,
                list_reduce(
                    list_transform(range(1, len(p) + 1), lambda j: [j::bigint]),
                    lambda acc, x: list_append(acc,
@@ -137,10 +150,68 @@ def longest(source: str) -> str:
         from rowsL where i < len(t)),
     scoredL as (
         select example_id, model, 'rougeL' as metric, d[-1]::bigint as hits,
-               len(p)::bigint as predicted, len(t)::bigint as expected
+               size::bigint as predicted, len(t)::bigint as expected
         from rowsL where i = len(t))"""
 
 
+def summary_longest(source: str) -> str:
+    """CTEs that score the union of line-wise longest common subsequences.
+
+    One recursion keeps the whole table of each pair of lines, a second walks it back, one target
+    token a step: it takes the last column from which that token is matched or dropped.
+    """
+    lower = "regexp_extract_all(lower({}), '[a-z0-9]+')"
+    return f"""
+    linesS as (
+        select example_id, model, tl, pl, {lower.format('x')} as t, {lower.format('y')} as p
+        from (select example_id, model, unnest(string_split(target, chr(10))) as x,
+                     unnest(range(len(string_split(target, chr(10))))) as tl from {source})
+        join (select example_id, model, unnest(string_split(prediction, chr(10))) as y,
+                     unnest(range(len(string_split(prediction, chr(10))))) as pl from {source})
+        using (example_id, model)),
+    tableS as (
+        select example_id, model, tl, pl, p, t, 0 as i,
+               [list_transform(range(0, len(p) + 1), lambda x: 0::int)] as d
+        from linesS where len(p) > 0 and len(t) > 0
+        union all
+        select example_id, model, tl, pl, p, t, i + 1,
+               list_append(d, list_reduce(
+                   list_transform(range(1, len(p) + 1), lambda j: [j::int]),
+                   lambda acc, x: list_append(acc,
+                       case when p[x[1]] = t[i + 1] then d[i + 1][x[1]] + 1
+                            else greatest(d[i + 1][x[1] + 1], acc[-1]) end),
+                   [0::int]))
+        from tableS where i < len(t)),
+    walkS as (
+        select example_id, model, tl, pl, p, t, d, len(t)::bigint as i, len(p)::bigint as j,
+               null::bigint as hit
+        from tableS where i = len(t)
+        union all
+        select example_id, model, tl, pl, p, t, d, i - 1,
+               case when p[k] = t[i] then k - 1 else k end,
+               case when p[k] = t[i] then i end
+        from (select *, list_last(list_filter(range(1, j + 1), lambda x:
+                  p[x] = t[i] or d[i][x + 1] >= d[i + 1][x])) as k
+              from walkS where i > 0 and j > 0 and d[i + 1][j + 1] > 0)),
+    matchedS as (
+        select example_id, model, token, count(*) as m
+        from (select distinct example_id, model, tl, hit, t[hit] as token
+              from walkS where hit is not null) group by all),
+    sizesS as (
+        select example_id, model, {lower.format('prediction')} as p, {lower.format('target')} as t
+        from {source}),
+    saidS as (
+        select example_id, model, token, count(*) as n
+        from (select example_id, model, unnest(p) as token from sizesS) group by all),
+    hitsS as (
+        select example_id, model, sum(least(m, n))::bigint as hits
+        from matchedS join saidS using (example_id, model, token) group by all),
+    scoredS as (
+        select example_id, model, 'rougeLsum' as metric, coalesce(hits, 0)::bigint as hits,
+               len(p)::bigint as predicted, len(t)::bigint as expected
+        from sizesS left join hitsS using (example_id, model))"""
+
+
 F1 = "case when hits > 0 then 2.0::double * hits / (predicted + expected) else 0.0::double end"
 SCORES = f"""select example_id, model, metric, hits, predicted, expected,
     round(case when predicted > 0 then hits::double / predicted else 0.0 end, 6) as "precision",
@@ -155,7 +226,7 @@ BY_TEST_PAIR = (*TO_PLACED, "replies", "predictions", "pairs", "test_pairs")
 
 def sql(steps: tuple[str, ...], select: str, extra: tuple[str, ...] = ()) -> str:
     parts = [f"{name} as ({STEPS[name]})" for name in steps] + list(extra)
-    recursive = "recursive " if any("rowsL" in part for part in extra) else ""
+    recursive = "recursive " if any("rowsL" in part or "tableS" in part for part in extra) else ""
     return (f"with {recursive}" + ",\n".join(parts) + "\n" if parts else "") + select
 
 
@@ -183,6 +254,11 @@ PADDED = (
 )
 ECHO_PROMPT = f"select example_id, {first_tokens('prompt', 64)} as fed from formatted"
 
+DOCUMENTS_AS_ROWS = """
+    select doc_id as example_id, doc_id, text as instruction, lang, source, n_chars,
+           null::varchar as context, null::varchar as response, null::varchar as output
+    from documents"""
+
 ORACLES = {
     "load_table": "select doc_id, text, lang, source, n_chars from documents",
     "jsonl_roundtrip": sql(
@@ -281,12 +357,9 @@ ORACLES = {
         f"""select len(regexp_extract_all(text, '{SPACE.replace("[", "[^", 1)}+')) as n_words
         from documents"""
     ),
-    "word_length_sample": sql(
-        ("instruction_rows",),
-        profile(
-            f"""select {WORDS} as n_words
-            from (select * from instruction_rows order by example_id limit 500)"""
-        ),
+    "word_length_sample": profile(
+        f"""select len(regexp_extract_all(text, '{SPACE.replace("[", "[^", 1)}+')) as n_words
+        from (select text from documents order by doc_id limit 500)"""
     ),
     "prompt_truncate": f"""
         select doc_id as example_id, {first_tokens('text', 2048)} as prompt from documents""",
@@ -317,11 +390,13 @@ ORACLES = {
     "rouge1": sql(BY_PAIR, f"{SCORES} from scored1", (grams(1, "pairs"),)),
     "rouge2": sql(BY_PAIR, f"{SCORES} from scored2", (grams(2, "pairs"),)),
     "rougeL": sql(BY_PAIR, f"{SCORES} from scoredL", (longest("pairs"),)),
+    "rougeLsum": sql(BY_PAIR, f"{SCORES} from scoredS", (summary_longest("pairs"),)),
     "model_scores": sql(
         BY_PAIR,
         f"""select model, metric, round(avg({F1}), 6) as value
-        from (from scored1 union all from scored2 union all from scoredL) group by all""",
-        (grams(1, "pairs"), grams(2, "pairs"), longest("pairs")),
+        from (from scored1 union all from scored2 union all from scoredL union all from scoredS)
+        group by all""",
+        (grams(1, "pairs"), grams(2, "pairs"), longest("pairs"), summary_longest("pairs")),
     ),
     "model_compare": sql(
         BY_PAIR,
@@ -341,7 +416,44 @@ ORACLES = {
     ),
     "evaluation_job": sql(
         BY_TEST_PAIR,
-        compared("(from scored1 union all from scored2 union all from scoredL)"),
-        (grams(1, "test_pairs"), grams(2, "test_pairs"), longest("test_pairs")),
+        compared(
+            """(from scored1 union all from scored2 union all from scoredL
+                union all from scoredS)"""
+        ),
+        (
+            grams(1, "test_pairs"),
+            grams(2, "test_pairs"),
+            longest("test_pairs"),
+            summary_longest("test_pairs"),
+        ),
+    ),
+    "evaluation_rerun": sql(
+        BY_TEST_PAIR,
+        f"""select metric, fine_tuned_model as base_model, base_model as fine_tuned_model,
+        -delta as delta from ({compared("scored1")})""",
+        (grams(1, "test_pairs"),),
     ),
+    "written_examples": sql(
+        (*TO_PLACED, "replies", "predictions"),
+        """select f.example_id, f.prompt, f.target as ground_truth,
+               b.prediction as base_model_response, t.prediction as fine_tuned_response
+        from (select * from placed where split = 'test' order by example_id limit 5) f
+        join predictions b on b.example_id = f.example_id and b.model = 'base_model'
+        join predictions t on t.example_id = f.example_id and t.model = 'fine_tuned_model'""",
+    ),
+    "explore_job": f"""
+        with instruction_rows as ({DOCUMENTS_AS_ROWS}),
+        turns as ({STEPS["turns"]}), asked as ({STEPS["asked"]}),
+        formatted as ({STEPS["formatted"]}),
+        profile as ({profile(f"""
+            select len(regexp_extract_all(text, '{SPACE.replace("[", "[^", 1)}+')) as n_words
+            from (select text from documents order by doc_id limit 500)""")})
+        select profile.*, example_id, prompt, text, (select count(*) from documents) as all_rows
+        from profile, (select * from formatted order by example_id limit 1)""",
+    "json_passthrough": f"""
+        with instruction_rows as ({DOCUMENTS_AS_ROWS}),
+        turns as ({STEPS["turns"]}), asked as ({STEPS["asked"]}),
+        formatted as ({STEPS["formatted"]})
+        select example_id, doc_id, instruction, lang, source, n_chars, prompt, target, text
+        from formatted""",
 }

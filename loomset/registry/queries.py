@@ -13,6 +13,7 @@ from loomset.operators.formatting import drop_long_rows, format_rows, measure_ro
 from loomset.operators.identity import KEY, with_example_id
 from loomset.params import DatasetParams, EvaluationParams, JobParams
 from loomset.plans.evaluate import MODELS, evaluate
+from loomset.plans.explore import explore
 from loomset.plans.prepare import prepare_rows
 from loomset.plans.training import training_text
 from loomset.registry.adapters import (
@@ -288,7 +289,11 @@ def word_length_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def word_length_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exploration's own sample of the first 500 rows."""
-    return _rounded_profile(profiling.length_profile(instruction_rows(spark, sf_dir)))
+    rows = document_rows(spark, sf_dir).withColumnRenamed("text", "instruction")
+    empty = F.lit(None).cast("string")
+    return _rounded_profile(
+        profiling.length_profile(rows.withColumns({"context": empty, "response": empty}))
+    )
 
 
 def _rounded_profile(profile: DataFrame) -> DataFrame:
@@ -361,8 +366,7 @@ def rougeLsum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = ("rouge1", "rouge2", "rougeL")
-    scores = rouge.corpus_scores(rouge.rouge_scores(_pairs(spark, sf_dir), metrics))
+    scores = rouge.corpus_scores(rouge.rouge_scores(_pairs(spark, sf_dir)))
     return scores.withColumn("value", F.round("value", 6))
 
 
@@ -387,9 +391,54 @@ def qualitative_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evaluation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepare and evaluate jobs end to end; the comparison table of the test split."""
     dataset = _prepared(spark, sf_dir)
-    scored = EvaluationParams(scratch(spark, "results"), metrics=("rouge1", "rouge2", "rougeL"))
+    scored = EvaluationParams(scratch(spark, "results"))
     test = load_split(spark, dataset.processed_dir, "test")
     result = evaluate(spark, JobParams(dataset, scored), predictions=predictions(test))
-    return result.comparison.select(
+    return _rounded_comparison(result.comparison)
+
+
+@query
+def evaluation_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluate, then again with the two models' predictions exchanged: the second comparison."""
+    dataset = _prepared(spark, sf_dir)
+    job = JobParams(dataset, EvaluationParams(scratch(spark, "results"), metrics=("rouge1",)))
+    made = predictions(load_split(spark, dataset.processed_dir, "test"))
+    evaluate(spark, job, predictions=made)
+    other = F.when(F.col("model") == MODELS[0], MODELS[1]).otherwise(MODELS[0])
+    result = evaluate(spark, job, predictions=made.withColumn("model", other), force=True)
+    return _rounded_comparison(result.comparison)
+
+
+@query
+def written_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side-by-side sample of the evaluate job, as stored and read back."""
+    dataset = _prepared(spark, sf_dir)
+    job = JobParams(dataset, EvaluationParams(scratch(spark, "results"), metrics=("rouge1",)))
+    test = load_split(spark, dataset.processed_dir, "test")
+    return evaluate(spark, job, predictions=predictions(test)).examples
+
+
+@query
+def explore_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count, word lengths of the first 500 rows and the first formatted row of the documents."""
+    rows = document_rows(spark, sf_dir).withColumnRenamed("text", "instruction")
+    empty = F.lit(None).cast("string")
+    rows = rows.withColumns({name: empty for name in ("context", "response", "output")})
+    profile = explore(rows, KEY, system_prompt=SYSTEM)
+    lengths = _rounded_profile(profile.word_lengths)
+    return lengths.crossJoin(profile.preview).withColumn("all_rows", F.lit(profile.rows))
+
+
+@query
+def json_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON Lines, loaded by name with a key column and formatted: no column is lost."""
+    where = f"{scratch(spark, 'documents')}.jsonl"
+    table(spark, sf_dir, "documents").withColumnRenamed("text", "instruction").write.json(where)
+    rows = with_example_id(load_rows(spark, where), "doc_id")
+    return format_rows(rows, SYSTEM).drop("context", "response", "output")
+
+
+def _rounded_comparison(comparison: DataFrame) -> DataFrame:
+    return comparison.select(
         "metric", *[F.round(name, 6).alias(name) for name in (*MODELS, "delta")]
     )

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import check_queries  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
-from loomset.registry import adapters, queries  # noqa: E402
+from loomset.registry import adapters, oracles, queries  # noqa: E402
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
@@ -21,7 +21,7 @@ def database():
     return check_queries.open_tables(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_equals_sql(spark, database, name):
     ours = contract.queries()[name](spark, SMALL).toPandas()
     assert len(ours)
@@ -31,8 +31,8 @@ def test_query_equals_sql(spark, database, name):
         assert check_queries.normal(ours) == check_queries.normal(theirs)
 
 
-def test_only_the_union_lcs_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"rougeLsum"}
+def test_every_query_of_the_library_has_sql():
+    assert set(queries.QUERIES) == set(oracles.ORACLES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -42,15 +42,16 @@ def test_entry(spark):
 
 def test_golden_values(spark):
     rows = adapters.instruction_rows(spark, MIDDLE)
-    assert rows.count() == 233
-    assert rows.where("context is not null").count() == 89
+    assert rows.count() == 279
+    assert rows.where("context is not null").count() == 279
     assert rows.where("output is not null").count() == 31
+    assert rows.where("response is null").count() == 39
     report = queries.length_drop_report(spark, MIDDLE).first()
     assert (report.rows_before, report.rows_dropped) == (1000, 29)
     gates = {r.stage: (r.n, r.passed) for r in queries.row_gate(spark, MIDDLE).collect()}
     assert gates == {"raw": (1000, True), "kept": (971, False)}
     counted = queries.within_limit_flag(spark, MIDDLE)
     totals = counted.selectExpr("min(num_tokens)", "max(num_tokens)", "sum(num_tokens)").first()
-    assert tuple(totals) == (42, 1127, 74577)
+    assert tuple(totals) == (95, 2678, 198733)
     base = queries.rougeL(spark, MIDDLE).where("model = 'base_model'")
     assert base.agg({"hits": "sum"}).first()[0] > 0
