@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from math import isqrt
 
 import pandas as pd
 from pyspark.sql import Column
@@ -55,6 +56,11 @@ def _lcs_length(left: Sequence[str], right: Sequence[str]) -> int:
     return len(left) - row.bit_count()
 
 
+def _advance(row: int, hit_mask: int, full: int) -> int:
+    hit = row & hit_mask
+    return ((row + hit) | (row - hit)) & full
+
+
 def _lcs_positions(
     expected: Sequence[str], predicted: Sequence[str], masks: dict[str, int]
 ) -> list[int]:
@@ -63,29 +69,39 @@ def _lcs_positions(
     Which one is fixed: from the end, take equal tokens; else step to the longer neighbour,
     and on a tie drop the expected token. Row i of the table is kept as a bit vector whose
     zero bits count the LCS length of each prefix of ``predicted``; ``masks`` are the latter's.
+    Only every n-th row is kept, n the root of their number; those between are made again while
+    walking back, one stretch at a time, so memory grows with the root only.
     """
     # An expected token that was not predicted always ties, so its row can be left out.
     places = [i for i, token in enumerate(expected) if token in masks]
     full = (1 << len(predicted)) - 1
-    rows = [full]
-    for place in places:
-        row = rows[-1]
-        hit = row & masks[expected[place]]
-        rows.append(((row + hit) | (row - hit)) & full)
+    step = max(1, isqrt(len(places)))
+    row, kept = full, [full]
+    for number, place in enumerate(places, 1):
+        row = _advance(row, masks[expected[place]], full)
+        if number % step == 0:
+            kept.append(row)
 
     found = []
     i, j = len(places), len(predicted)
-    length = j - rows[i].bit_count()
+    length = j - row.bit_count()
+    start, rows = len(places), []
     while length:
+        if i - 1 < start:
+            start = (i - 1) // step * step
+            rows = [kept[start // step]]
+            for place in places[start : start + step]:
+                rows.append(_advance(rows[-1], masks[expected[place]], full))
+        own, above = rows[i - start], rows[i - 1 - start]
         if expected[places[i - 1]] == predicted[j - 1]:
             i, j, length = i - 1, j - 1, length - 1
             found.append(places[i])
         # A set bit: without the last predicted token the LCS is as long as with it.
-        elif rows[i] >> (j - 1) & 1 and j - (rows[i - 1] & ((1 << j) - 1)).bit_count() < length:
+        elif own >> (j - 1) & 1 and j - (above & ((1 << j) - 1)).bit_count() < length:
             j -= 1
         else:
             i -= 1
-            length = j - (rows[i] & ((1 << j) - 1)).bit_count()
+            length = j - (above & ((1 << j) - 1)).bit_count()
     return found
 
 
