@@ -119,6 +119,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and vocabulary."""
-    return WordEncoder(path)
+def encoder(path: str, limit: int = 600_000) -> WordEncoder:
+    """One encoder per worker process, vocabulary and size of the cache."""
+    return WordEncoder(path, limit)
