@@ -66,3 +66,24 @@ def never_null(key: Column) -> list[Column]:
     """A long key as two columns without nulls: ``__null`` and ``__key``."""
     long = key.cast("long")
     return [long.isNull().alias("__null"), F.coalesce(long, F.lit(0)).alias("__key")]
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, where: Column, label: str, rows: int, key: str = "doc_id") -> DataFrame:
+    """``(label, draw, text)`` of at most ``rows`` distinct texts that may be learned from, drawn by hash.
+
+    ``docs`` has the key and ``text``; ``labels`` the key and a column ``label`` of 0 and 1, nulls being
+    no labels. The lowest label of a text counts. Labels meet keys and text hashes only; the drawn
+    texts, at most ``rows``, are picked out by a broadcast of their hashes.
+    """
+    known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+        F.min(label).cast("int").alias("label")
+    )
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    wanted = docs.where(where).select(F.col(key).alias("__key"), F.xxhash64(text).alias("draw"), text.alias("text"))
+    drawn = (
+        wanted.select("__key", "draw").join(known, "__key").groupBy("draw")
+        .agg(F.min("label").alias("label"), F.min("__key").alias("__key"))
+        .orderBy("draw").limit(rows)
+    )
+    found = wanted.join(F.broadcast(drawn), ["__key", "draw"])
+    return found.groupBy("draw").agg(F.first("label").alias("label"), F.first("text").alias("text")).select("label", "draw", "text")
