@@ -1,12 +1,14 @@
 """Phrase collocations: frequent phrases of a few words and how firmly their words hold together.
 
 Every word occurrence is the pointer to a suffix of its piece of text, read to ``most`` words at most.
-A task counts the equal suffixes of its own portions first, so a phrase that is repeated a lot, copies
-of whole texts included, moves as one row per portion. Suffixes are then routed over the whole table by
-their leading words: by the first word; where that word alone is too frequent for one task, by the
-first two; and so on. Rows of one route are few by construction, whatever the skew: a word or phrase is
-routed deeper if it is counted more than ``max(GROUP, words / FANOUT)`` times, and there are at most
-``FANOUT`` such per length, which bounds the broadcast that tells them.
+Words are counted first. Suffixes are then routed over the whole table by their leading words: by the
+first word; where that word alone is too frequent for one task, by the first two; and so on. A word or
+phrase is routed deeper if it is counted more than ``max(GROUP, words / FANOUT)`` times; there are at
+most ``FANOUT`` such per length, which bounds the broadcast that tells them, and what shares a route is
+few, whatever the skew. Leading words that are infrequent are abandoned here, as far as a bitmap of
+fixed size can tell them. A task counts the equal suffixes of a portion before it sends them, so a
+phrase that is repeated a lot, copies of whole texts included, moves once per portion. A portion's
+suffixes for one task travel as one row: its words, once, and numbers into them.
 
 Each routed partition is sorted by multikey three-way quicksort of suffix pointers: a partition of
 pointers is split by its pivot's word into smaller, equal and greater; the equal ones agree in all words
@@ -25,10 +27,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,13 +44,17 @@ TOP = 2_000
 #: A longer phrase takes a shorter one's place from this share of its count on, in percent.
 INSIDE = 50
 SCALE = 1_000_000
-#: Pointers that a task counts at once.
-PORTION = 1 << 18
+#: Words that a task counts at once.
+PORTION = 1 << 19
 #: Pointers that may share a route in any case, and phrases per length that may be routed deeper.
 GROUP = 1 << 18
 FANOUT = 1 << 20
-#: Rows of counted suffixes that a sorting task gets on average.
-SORTED_ROWS = 1 << 19
+#: Words per sorting task.
+SORTED = 1 << 20
+#: Bits that tell frequent words, by hash; a word that shares its bit with a frequent one stays.
+BITS = 1 << 24
+_BITMAP = 1 << 15  # bits of one of Spark's bitmaps
+SEED = 42
 
 # The signs that end a piece. All become a full stop, which no word then holds.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -58,26 +66,40 @@ def _words_of(text: bytes) -> list[bytes]:
     return text.lower().translate(_TO_STOP).replace(b".", b" . ").split()
 
 
+def lang_seed(lang: str) -> int:
+    """The seed with which a word's XXH64 is what Spark's ``xxhash64`` gives for language and word."""
+    return xxhash.xxh64_intdigest(lang.encode(), SEED)
+
+
+class _Numbers(dict):
+    """Numbers of one language's words; a new word takes the portion's next one."""
+
+    def __init__(self, words: list[bytes]):
+        self[b"."] = 0
+        self.words = words
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        return number
+
+
 class _Portion:
-    """Suffixes of the texts of a few languages, as word numbers; 0 stands for the end of a piece."""
+    """Suffixes of some texts as word numbers; 0 stands for the end of a piece."""
 
     def __init__(self, most: int):
         self.most = most
-        self.numbers: dict[str, dict[bytes, int]] = {}
         self.words: list[bytes] = [b"."]
-        self.langs: list[str] = [""]
+        self.numbers: dict[str, _Numbers] = {}
         self.parts: list[np.ndarray] = []
         self.pointers: list[np.ndarray] = []
         self.size = 0
 
     def add(self, lang: str, words: list[bytes], own: int) -> None:
         """Words of one language; the first ``own`` of them are pointed at, the rest only read."""
-        numbers = self.numbers.setdefault(lang, {b".": 0})
-        for word in dict.fromkeys(words):
-            if word not in numbers:
-                numbers[word] = len(self.words)
-                self.words.append(word)
-                self.langs.append(lang)
+        numbers = self.numbers.get(lang)
+        if numbers is None:
+            numbers = self.numbers[lang] = _Numbers(self.words)
         ids = np.zeros(len(words) + self.most, np.int64)  # as if a piece ended after the words
         ids[: len(words)] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
         pointed = np.zeros(len(ids), bool)
@@ -86,37 +108,48 @@ class _Portion:
         self.pointers.append(pointed)
         self.size += len(words)
 
-    def counted(self) -> pa.RecordBatch:
-        """Each different suffix once, with how often it occurs."""
+    def langs(self) -> tuple[list[str], np.ndarray]:
+        """All languages, and which one each word is of."""
+        names, of = list(self.numbers), np.zeros(len(self.words), np.int64)
+        for number, name in enumerate(names):
+            of[np.fromiter(self.numbers[name].values(), np.int64)] = number
+        return names, of
+
+    def suffixes(self, wanted: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+        """Word numbers of each different suffix, and how often it occurs.
+
+        Of ``wanted`` words only: a suffix ends before the first other one, and one that has fewer than
+        two words then is left out.
+        """
         ids, pointed = np.concatenate(self.parts), np.concatenate(self.pointers)
+        if wanted is not None:
+            pointed &= wanted[ids]
+            ids = np.where(wanted[ids], ids, 0)
         at = np.flatnonzero(pointed)
-        base = len(self.words)
         columns, open_ = [ids[at]], np.ones(len(at), bool)
         for k in range(1, self.most):
             column = np.where(open_, ids[at + k], 0)
             open_ = column > 0
             columns.append(column)
-        if base**self.most < 1 << 62:
-            code = columns[0]
-            for column in columns[1:]:
-                code = code * base + column
-            code, n = np.unique(code, return_counts=True)
-            columns = []
-            for _ in range(self.most):
-                code, column = np.divmod(code, base)
-                columns.insert(0, column)
-        else:
+        if wanted is not None:
+            two = columns[1] > 0
+            columns = [column[two] for column in columns]
+        base = len(self.words)
+        if base**self.most >= 1 << 62:
             rows, n = np.unique(np.stack(columns, 1), axis=0, return_counts=True)
-            columns = list(rows.T)
-        words = pa.array([None, *self.words[1:]], pa.binary())
-        langs = pa.array(self.langs, pa.string())
-        return pa.RecordBatch.from_arrays(
-            [langs.take(pa.array(columns[0])), *(words.take(pa.array(c)) for c in columns), pa.array(n, pa.int64())],
-            names=["lang", *(f"w{k}" for k in range(1, self.most + 1)), "n"],
-        )
-
-
-def _suffixes(batches: Iterator[pa.RecordBatch], most: int, size: int) -> Iterator[pa.RecordBatch]:
+            return list(rows.T), n
+        code = columns[0]
+        for column in columns[1:]:
+            code = code * base + column
+        code, n = np.unique(code, return_counts=True)
+        columns = []
+        for _ in range(self.most):
+            code, column = np.divmod(code, base)
+            columns.insert(0, column)
+        return columns, n
+
+
+def _portions(batches: Iterator[pa.RecordBatch], most: int, size: int) -> Iterator[_Portion]:
     portion = _Portion(most)
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
@@ -124,22 +157,136 @@ def _suffixes(batches: Iterator[pa.RecordBatch], most: int, size: int) -> Iterat
             for at in range(0, len(words), size):
                 portion.add(lang, words[at : at + size + most - 1], min(size, len(words) - at))
                 if portion.size >= size:
-                    yield portion.counted()
+                    yield portion
                     portion = _Portion(most)
     if portion.size:
-        yield portion.counted()
+        yield portion
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
 
 
 def _names(most: int) -> list[str]:
     return [f"w{k}" for k in range(1, most + 1)]
 
 
-def count_suffixes(docs: DataFrame, most: int = MOST, size: int = PORTION) -> DataFrame:
-    """``(lang, w1, .., n)``: suffixes cut to ``most`` words, counted per portion of a task; null words
-    stand behind the end of a piece. ``docs``: lang, text."""
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    words = ", ".join(f"{name} binary" for name in _names(most))
-    return rows.mapInArrow(lambda b: _suffixes(b, most, size), f"lang string, {words}, n long")
+def _word_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for portion in _portions(batches, 1, size):
+        (own,), n = portion.suffixes()
+        names, of = portion.langs()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()).take(pa.array(of[own])), pa.array(portion.words, pa.binary()).take(pa.array(own)), pa.array(n)],
+            names=["lang", "w1", "n"],
+        )
+
+
+def count_words(docs: DataFrame, size: int = PORTION) -> DataFrame:
+    """``(lang, w1, n)`` of all words. ``docs``: lang, text."""
+    counted = _texts(docs).mapInArrow(lambda b: _word_rows(b, size), "lang string, w1 binary, n long")
+    return counted.groupBy("lang", "w1").agg(F.sum("n").alias("n"))
+
+
+def frequent_bits(words: DataFrame, least: int, bits: int = BITS) -> np.ndarray:
+    """A bit per hash value that a frequent word has: ``bits / 8`` bytes reach the driver."""
+    place = F.pmod(F.xxhash64("lang", "w1"), F.lit(bits))
+    found = words.where(F.col("n") >= least).select(
+        F.floor(place / _BITMAP).alias("bucket"), F.pmod(place, F.lit(_BITMAP)).alias("bit")
+    )
+    maps = found.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+    table = np.zeros(bits // 8, np.uint8)
+    for row in maps.toLocalIterator():
+        at = row["bucket"] * _BITMAP // 8
+        table[at : at + _BITMAP // 8] = np.frombuffer(row["map"], np.uint8)
+    return table
+
+
+@dataclass
+class Routing:
+    """What a task must know to route suffixes: frequent words' bits, and heavy phrases by length."""
+
+    bits: np.ndarray
+    tasks: int
+    heavy: list[set[tuple]] = field(default_factory=list)  # (lang, word, ..) of 1, 2, .. words
+
+    def marked(self, portion: _Portion, names: list[str], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of every word of a portion, and whether it may be frequent."""
+        seeds = [lang_seed(name) for name in names]
+        hashes = np.array([xxhash.xxh64_intdigest(w, seeds[k]) for w, k in zip(portion.words, of.tolist())], np.uint64)
+        place = (hashes % np.uint64(8 * len(self.bits))).astype(np.int64)
+        wanted = (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+        wanted[0] = False
+        return hashes, wanted
+
+    def depth(self, portion: _Portion, names: list[str], of: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+        """By how many leading words each suffix is routed."""
+        depth, words = np.ones(len(columns[0]), np.int64), portion.words
+        rows = np.arange(len(depth))
+        for length, heavy in enumerate(self.heavy, 1):
+            prefixes = zip(*(column[rows].tolist() for column in columns[:length]))
+            lang = of[columns[0][rows]].tolist()
+            deep = [(names[k], *(words[i] for i in own)) in heavy for k, own in zip(lang, prefixes)]
+            rows = rows[np.array(deep, bool)]
+            depth[rows] = length + 1
+        return depth
+
+
+def _heavier(batches: Iterator[pa.RecordBatch], routing: Routing, size: int) -> Iterator[pa.RecordBatch]:
+    """Counts of what follows the heavy phrases of greatest length, one word longer."""
+    length = len(routing.heavy) + 1
+    for portion in _portions(batches, length, size):
+        names, of = portion.langs()
+        _, wanted = routing.marked(portion, names, of)
+        columns, n = portion.suffixes(wanted)
+        if not len(n):
+            continue
+        rows = np.flatnonzero((routing.depth(portion, names, of, columns) == length) & (columns[-1] > 0))
+        words = pa.array(portion.words, pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names, pa.string()).take(pa.array(of[columns[0][rows]])),
+                *(words.take(pa.array(column[rows])) for column in columns),
+                pa.array(n[rows]),
+            ],
+            names=["lang", *_names(length), "n"],
+        )
+
+
+def _routed(batches: Iterator[pa.RecordBatch], routing: Routing, most: int, size: int) -> Iterator[pa.RecordBatch]:
+    """A row per portion, sorting task and language: words joined by blanks, and an int32 matrix of
+    route depths, word places (from 1; 0 is the end) and counts, column by column."""
+    for portion in _portions(batches, most, size):
+        names, of = portion.langs()
+        hashes, wanted = routing.marked(portion, names, of)
+        columns, n = portion.suffixes(wanted)
+        depth = routing.depth(portion, names, of, columns)
+        route = np.zeros(len(n), np.uint64)
+        whole = np.ones(len(n), bool)
+        for k, column in enumerate(columns):
+            used = depth > k
+            # A suffix that ends before the word it is routed by was counted with the heavy ones.
+            whole &= ~used | (column > 0)
+            route = np.where(used, (route ^ hashes[column]) * np.uint64(0x9E3779B97F4A7C15), route)
+        task = ((route >> np.uint64(20)) % np.uint64(routing.tasks)).astype(np.int64)
+        cell = np.where(whole, task * len(names) + of[columns[0]], -1)
+        order = np.argsort(cell, kind="stable")
+        order = order[np.searchsorted(cell[order], 0) :]
+        cuts = np.flatnonzero(np.diff(cell[order], prepend=-1, append=-1)) if len(order) else []
+        out: list[list] = [[], [], [], []]
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            rows = order[first:last]
+            used, at = np.unique(np.stack([column[rows] for column in columns]), return_inverse=True)
+            at = at.reshape(most, -1)
+            if used[0] > 0:
+                at, used = at + 1, np.concatenate([[0], used])
+            task_of, lang = divmod(int(cell[rows[0]]), len(names))
+            matrix = np.concatenate([depth[rows][None], at, n[rows][None]]).astype("<i4")
+            for column, value in zip(out, (task_of, names[lang], b" ".join([portion.words[i] for i in used[1:]]), matrix.tobytes())):
+                column.append(value)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.string(), pa.binary(), pa.binary()))],
+            names=["task", "lang", "words", "suffixes"],
+        )
 
 
 def sort_pointers(keys: list[np.ndarray], weight: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -169,79 +316,69 @@ def sort_pointers(keys: list[np.ndarray], weight: np.ndarray, least: int) -> Ite
                     open_.append((rest, depth))
 
 
-def _numbers(column: pa.ChunkedArray) -> np.ndarray:
-    """Equal values get equal numbers; null is -1."""
-    coded = column.combine_chunks().dictionary_encode()
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.unify_dictionaries().combine_chunks()
-    return coded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def _sorted(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
     """Frequent phrases of one routed partition."""
-    rows = [batch for batch in batches if batch.num_rows]
-    if not rows:
-        return
-    table, names = pa.Table.from_batches(rows), _names(most)
-    # Routes of different depth are kept apart: they do not share phrases they can count.
-    group = _numbers(table.column("lang")) * (most + 1) + table.column("routed").to_numpy()
-    keys = [group, *(_numbers(table.column(name)) for name in names)]
-    routed = table.column("routed").to_numpy()
-    found = [
-        (pointer, depth, count)
-        for depth, pointer, count in sort_pointers(keys, table.column("n").to_numpy(), least)
-        if depth >= max(2, routed[pointer])
-    ]
-    if not found:
+    langs: dict[str, int] = {}
+    numbers: dict[str, _Numbers] = {}
+    words: list[bytes] = [b"."]
+    parts = []
+    for batch in batches:
+        for lang, own, blob in zip(batch.column("lang").to_pylist(), batch.column("words"), batch.column("suffixes")):
+            known = numbers.get(lang)
+            if known is None:
+                langs[lang] = len(langs)
+                known = numbers[lang] = _Numbers(words)
+            place = np.array([-1, *map(known.__getitem__, own.as_buffer().to_pybytes().split(b" "))], np.int32)
+            matrix = np.frombuffer(blob.as_buffer(), "<i4").reshape(most + 2, -1)
+            # Routes of different depth are kept apart: they do not share phrases they can count.
+            group = matrix[0] + langs[lang] * (most + 1)
+            parts.append(np.concatenate([group[None], place[matrix[1:-1]], matrix[-1:]]))
+    if not parts:
         return
-    at = table.take(pa.array([pointer for pointer, _, _ in found]))
-    words = zip(*(at.column(name).to_pylist() for name in names))
-    parts = [own[:depth] for own, (_, depth, _) in zip(words, found)]
+    table = np.concatenate(parts, 1)
+    del parts
+    names = list(langs)
+    found: list[list] = [[], [], []]
+    for depth, pointer, count in sort_pointers(list(table[:-1]), table[-1].astype(np.int64), least):
+        lang, routed = divmod(int(table[0, pointer]), most + 1)
+        if depth >= max(2, routed):
+            for column, value in zip(found, (names[lang], [words[i] for i in table[1 : depth + 1, pointer]], count)):
+                column.append(value)
     yield pa.RecordBatch.from_arrays(
-        [
-            at.column("lang").combine_chunks(),
-            pa.array(parts, pa.list_(pa.binary())),
-            pa.array([count for _, _, count in found], pa.int64()),
-        ],
-        names=["lang", "parts", "f"],
+        [pa.array(c, t) for c, t in zip(found, (pa.string(), pa.list_(pa.binary()), pa.int64()))], names=["lang", "parts", "f"]
     )
 
 
-def count_phrases(suffixes: DataFrame, words: DataFrame, total: int, most: int = MOST, least: int = LEAST, group: int = GROUP) -> DataFrame:
+def count_phrases(
+    docs: DataFrame, words: DataFrame, total: int, most: int = MOST, least: int = LEAST,
+    size: int = PORTION, group: int = GROUP, bits: int = BITS,
+) -> DataFrame:
     """``(lang, parts, f)`` of all phrases of 2 to ``most`` words counted ``least`` times or more.
 
-    ``suffixes`` as :func:`count_suffixes` gives them, stored; ``words``: lang, w1, n.
+    ``words`` as :func:`count_words` gives them, stored; ``total`` is the sum of their counts.
     """
-    spark, names = suffixes.sparkSession, _names(most)
-    limit = max(group, -(-total // FANOUT), least)
-    routed = suffixes.where("w2 is not null").withColumn("routed", F.lit(1))
-    heavy = words.where(F.col("n") >= limit).select("lang", "w1")
-    known = []
-    for depth in range(1, most):
-        if heavy.isEmpty():
+    texts, limit = _texts(docs), max(group, -(-total // FANOUT), least)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SORTED))
+    routing = Routing(frequent_bits(words, least, bits), tasks)
+    heavy, known = words.where(F.col("n") >= limit), []
+    for length in range(1, most):
+        rows = heavy.select("lang", *_names(length)).collect()  # at most FANOUT
+        if not rows:
             break
-        on = ["lang", *names[:depth]]
-        marks = F.broadcast(heavy.select(*on).withColumn("deep", F.lit(depth + 1)))
-        routed = routed.join(marks, on, "left").withColumn("routed", F.coalesce("deep", "routed")).drop("deep")
-        if depth + 1 < most:
-            longer = suffixes.where(F.col(names[depth]).isNotNull()).join(F.broadcast(heavy.select(*on)), on, "left_semi")
-            counted = longer.groupBy("lang", *names[: depth + 1]).agg(F.sum("n").alias("n")).where(F.col("n") >= limit)
-            heavy = stored(counted, f"heavy-{depth + 1}")
-            known.append(_as_phrases(heavy, depth + 1))
-    # A suffix that ends before the word it would be routed by has been counted with the heavy ones.
-    routes = F.xxhash64("lang", *[F.when(F.col("routed") >= k, F.col(n)) for k, n in enumerate(names, 1)])
-    for k, name in enumerate(names[1:], 2):
-        routed = routed.where((F.col("routed") < k) | F.col(name).isNotNull())
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(suffixes.count() / SORTED_ROWS))
-    spread = routed.withColumn("route", routes).repartition(tasks, "route").drop("route")
+        routing.heavy.append({(lang, *map(bytes, own)) for lang, *own in rows})
+        if length + 1 < most:
+            now = Routing(routing.bits, tasks, list(routing.heavy))
+            schema = ", ".join(["lang string", *(f"{name} binary" for name in _names(length + 1)), "n long"])
+            longer = texts.mapInArrow(lambda b, now=now: _heavier(b, now, size), schema)
+            counted = longer.groupBy("lang", *_names(length + 1)).agg(F.sum("n").alias("n")).where(F.col("n") >= limit)
+            heavy = stored(counted, "heavy-phrases")
+            known.append(heavy.select("lang", F.array(*_names(length + 1)).alias("parts"), F.col("n").alias("f")))
+    routed = texts.mapInArrow(lambda b: _routed(b, routing, most, size), "task int, lang string, words binary, suffixes binary")
+    spread = routed.repartitionById(tasks, "task")
     found = spread.mapInArrow(lambda b: _sorted(b, most, least), "lang string, parts array<binary>, f long")
     return reduce(DataFrame.unionByName, known, found)
 
 
-def _as_phrases(counted: DataFrame, size: int) -> DataFrame:
-    return counted.select("lang", F.array(*_names(size)).alias("parts"), F.col("n").alias("f"))
-
-
 def _phrase(words: Column) -> Column:
     """Words joined by blanks. Casts and joins leave the bytes as they are."""
     return F.array_join(words.cast("array<string>"), " ")
@@ -267,10 +404,9 @@ def mine(
     ``a`` counts the phrase, ``l`` and ``r`` the two sides of its weakest cut, ``n`` the language's words.
     ``docs`` has ``lang`` and ``text``.
     """
-    suffixes = stored(count_suffixes(docs, most, size), "suffixes")
-    words = stored(suffixes.groupBy("lang", "w1").agg(F.sum("n").alias("n")), "words")
+    words = stored(count_words(docs, size), "words")
     total = words.agg(F.sum("n")).first()[0] or 0
-    phrases = stored(count_phrases(suffixes, words, total, most, least, group), "phrases").select(
+    phrases = stored(count_phrases(docs, words, total, most, least, size, group), "phrases").select(
         "lang", _phrase(F.col("parts")).alias("phrase"), "parts", F.size("parts").alias("size"), F.col("f").alias("a")
     )
     single = words.where(F.col("n") >= least).select("lang", F.col("w1").cast("string").alias("phrase"), F.col("n").alias("f"))

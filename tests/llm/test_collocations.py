@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from loomset.llm import collocations as co
 
@@ -88,6 +89,25 @@ def test_large_products_are_exact(spark):
     assert cells.selectExpr("over div under").first()[0] == 1_000_000 * a * a // (left * right)
 
 
+def test_word_hashes_and_bits_are_those_of_the_table(spark):
+    rows = spark.createDataFrame([("en", b"abc", 10), ("und", "ü".encode(), 11), ("x" * 40, b"y" * 99, 9)], "lang string, w1 binary, n long")
+    hashed = rows.selectExpr("lang", "w1", "n", "xxhash64(lang, w1) as h").collect()
+    assert all(xxhash.xxh64_intdigest(bytes(r["w1"]), co.lang_seed(r["lang"])) == r["h"] % (1 << 64) for r in hashed)
+    table = co.frequent_bits(rows, 10, 1 << 16)
+    places = {r["h"] % (1 << 16) for r in hashed if r["n"] >= 10}
+    assert set(np.flatnonzero(np.unpackbits(table, bitorder="little")).tolist()) == places
+
+
+def test_a_full_bitmap_only_keeps_more(spark, documents):
+    rows = list(made(3, 30))
+    docs = documents(*((i, t, lang) for i, (lang, t) in enumerate(rows))).select("lang", "text")
+    words = co.count_words(docs)
+    total = words.agg({"n": "sum"}).first()[0]
+    few = co.count_phrases(docs, words, total, bits=1 << 15).collect()
+    many = co.count_phrases(docs, words, total).collect()
+    assert sorted(few) == sorted(many) and few
+
+
 def test_sorting_counts_equal_partitions():
     rng = np.random.default_rng(4)
     for least in (1, 3, 10):
