@@ -51,6 +51,8 @@ GROUP = 1 << 18
 FANOUT = 1 << 20
 #: Words per sorting task.
 SORTED = 1 << 20
+#: Pointers that are sorted without further partitioning.
+SMALL = 1 << 12
 #: Bits that tell frequent words, by hash; a word that shares its bit with a frequent one stays.
 BITS = 1 << 24
 _BITMAP = 1 << 15  # bits of one of Spark's bitmaps
@@ -289,24 +291,31 @@ def _routed(batches: Iterator[pa.RecordBatch], routing: Routing, most: int, size
         )
 
 
-def sort_pointers(keys: list[np.ndarray], weight: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
-    """Multikey three-way quicksort: ``(depth, pointer, count)`` of every frequent equal partition.
+Found = tuple[int, np.ndarray, np.ndarray]
+
+
+def sort_pointers(keys: list[np.ndarray], weight: np.ndarray, least: int, small: int = SMALL) -> Iterator[Found]:
+    """Multikey three-way quicksort: every frequent equal partition as depth, pointer and count.
 
     ``keys[d]`` is the word number at depth d of each suffix, negative behind its end; ``weight`` says
-    how often the suffix was counted. The pointer is one of the partition's.
+    how often the suffix was counted. The pointer is one of the partition's. Partitions of at most
+    ``small`` pointers are sorted at once by all the words they have left, as quicksorts do.
     """
     open_ = [(np.arange(len(weight)), 0)] if int(weight.sum()) >= least else []
     while open_:
         at, depth = open_.pop()
+        if len(at) <= small:
+            yield from _sort_small(keys, weight, least, at, depth)
+            continue
         words = keys[depth][at]
-        # The middle one of up to nine words spread over the partition.
-        sample = np.sort(words[:: max(1, len(words) // 9)])
+        # The middle one of some nine words spread over the partition.
+        sample = np.sort(words[:: len(words) // 9 or 1])
         pivot = sample[len(sample) // 2]
         equal = words == pivot
         same = at[equal]
         count = int(weight[same].sum())
         if count >= least and pivot >= 0:
-            yield depth, int(same[0]), count
+            yield depth, same[:1], np.array([count])
             if depth + 1 < len(keys):
                 open_.append((same, depth + 1))
         if len(same) < len(at):
@@ -316,6 +325,21 @@ def sort_pointers(keys: list[np.ndarray], weight: np.ndarray, least: int) -> Ite
                     open_.append((rest, depth))
 
 
+def _sort_small(keys: list[np.ndarray], weight: np.ndarray, least: int, at: np.ndarray, depth: int) -> Iterator[Found]:
+    left = [key[at] for key in keys[depth:]]
+    order = np.lexsort(left[::-1])
+    at, left = at[order], [column[order] for column in left]
+    new = np.zeros(len(at), bool)
+    new[:1] = True
+    for deeper, column in enumerate(left):
+        new[1:] |= column[1:] != column[:-1]
+        first = np.flatnonzero(new)
+        counts = np.add.reduceat(weight[at], first)
+        frequent = (counts >= least) & (column[first] >= 0)
+        if frequent.any():
+            yield depth + deeper, at[first[frequent]], counts[frequent]
+
+
 def _sorted(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
     """Frequent phrases of one routed partition."""
     langs: dict[str, int] = {}
@@ -339,11 +363,12 @@ def _sorted(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterato
     del parts
     names = list(langs)
     found: list[list] = [[], [], []]
-    for depth, pointer, count in sort_pointers(list(table[:-1]), table[-1].astype(np.int64), least):
-        lang, routed = divmod(int(table[0, pointer]), most + 1)
-        if depth >= max(2, routed):
-            for column, value in zip(found, (names[lang], [words[i] for i in table[1 : depth + 1, pointer]], count)):
-                column.append(value)
+    for depth, pointers, counts in sort_pointers(list(table[:-1]), table[-1].astype(np.int64), least):
+        told = depth >= np.maximum(2, table[0, pointers] % (most + 1))
+        rows = table[: depth + 1, pointers[told]].T.tolist()
+        found[0] += [names[group // (most + 1)] for group, *_ in rows]
+        found[1] += [[words[i] for i in own] for _, *own in rows]
+        found[2] += counts[told].tolist()
     yield pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(found, (pa.string(), pa.list_(pa.binary()), pa.int64()))], names=["lang", "parts", "f"]
     )

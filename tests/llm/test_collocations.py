@@ -108,15 +108,19 @@ def test_a_full_bitmap_only_keeps_more(spark, documents):
     assert sorted(few) == sorted(many) and few
 
 
-def test_sorting_counts_equal_partitions():
+@pytest.mark.parametrize("small", [0, 1, 30, 1000])
+def test_sorting_counts_equal_partitions(small):
     rng = np.random.default_rng(4)
     for least in (1, 3, 10):
         keys = [rng.integers(0, k, 500) for k in (2, 5, 9)]
         keys[2][rng.random(500) < 0.2] = -1
         weight = rng.integers(1, 4, 500)
         got = {}
-        for depth, pointer, count in co.sort_pointers(keys, weight, least):
-            got[tuple(int(keys[d][pointer]) for d in range(depth + 1))] = count
+        for depth, pointers, found_counts in co.sort_pointers(keys, weight, least, small):
+            for pointer, count in zip(pointers, found_counts):
+                prefix = tuple(int(keys[d][pointer]) for d in range(depth + 1))
+                assert prefix not in got
+                got[prefix] = count
         counts = collections.Counter()
         for i in range(500):
             for depth in range(3):
