@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from itertools import pairwise
 from math import isqrt
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 
 def score_tokens(text: Column) -> Column:
@@ -106,21 +107,70 @@ def _lcs_positions(
 
 
 def _summary_hits(predicted: Sequence[Sequence[str]], expected: Sequence[Sequence[str]]) -> int:
-    """Union-LCS hits over sentences; a token counts at most as often as each side has it."""
+    """Union-LCS hits over sentences; a token counts at most as often as the prediction has it.
+
+    Only a predicted sentence that holds a token can match it, so each expected token asks the
+    sentences listed for it, rarest token first, and stops as soon as it is matched; what else a
+    sentence matches counts too. Equal sentences are compared once. The union is the same as over
+    all pairs of sentences.
+    """
     left = Counter(token for sentence in predicted for token in sentence)
-    right = Counter(token for sentence in expected for token in sentence)
-    others = [(other, _match_masks(other)) for other in predicted]
+    others = [(other, _match_masks(other)) for other in dict.fromkeys(map(tuple, predicted))]
+    holding: dict[str, list[int]] = {}
+    for number, (_, masks) in enumerate(others):
+        for token in masks:
+            holding.setdefault(token, []).append(number)
     hits = 0
-    for sentence in expected:
-        matched = {i for other, masks in others for i in _lcs_positions(sentence, other, masks)}
-        for token in (sentence[i] for i in sorted(matched)):
-            if left[token] > 0 and right[token] > 0:
-                left[token] -= 1
-                right[token] -= 1
-                hits += 1
+    for sentence, times in Counter(map(tuple, expected)).items():
+        matched: set[int] = set()
+        asked: set[int] = set()
+        places = [i for i, token in enumerate(sentence) if token in holding]
+        for place in sorted(places, key=lambda i: len(holding[sentence[i]])):
+            for number in holding[sentence[place]]:
+                if place in matched:
+                    break
+                if number not in asked:
+                    asked.add(number)
+                    matched.update(_lcs_positions(sentence, *others[number]))
+        for token, n in Counter(sentence[i] for i in matched).items():
+            found = min(left[token], n * times)
+            left[token] -= found
+            hits += found
     return hits
 
 
+def _sentences(text: str) -> list[list[str]]:
+    return [line.split() for line in text.split("\n")]
+
+
+def _gram_hits(predicted: Sequence, expected: Sequence) -> int:
+    return (Counter(predicted) & Counter(expected)).total()
+
+
+# Hits of a predicted and an expected text, by metric; lines are sentences.
+_HITS = {
+    "rouge1": lambda p, e: _gram_hits(p.split(), e.split()),
+    "rouge2": lambda p, e: _gram_hits(list(pairwise(p.split())), list(pairwise(e.split()))),
+    "rougeL": lambda p, e: _lcs_length(p.split(), e.split()),
+    "rougeLsum": lambda p, e: _summary_hits(_sentences(p), _sentences(e)),
+}
+
+
+def all_hits(predicted: Column, expected: Column, metrics: Sequence[str]) -> Column:
+    """Hits of every metric and both token counts as one struct, from one pass over a row's texts."""
+    fields = [*metrics, "predicted", "expected"]
+
+    @F.pandas_udf(StructType([StructField(name, LongType()) for name in fields]))
+    def hits(left: pd.Series, right: pd.Series) -> pd.DataFrame:
+        rows = [
+            (*(_HITS[metric](p, e) for metric in metrics), len(p.split()), len(e.split()))
+            for p, e in zip(left, right)
+        ]
+        return pd.DataFrame(rows, columns=fields, dtype="int64")
+
+    return hits(predicted, expected)
+
+
 @F.pandas_udf(IntegerType())
 def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
     """LCS length of two blank-separated token strings."""
@@ -133,10 +183,7 @@ def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
 def summary_hits(predicted: pd.Series, expected: pd.Series) -> pd.Series:
     """Union-LCS hits of two texts with one sentence per line."""
 
-    def sentences(text: str) -> list[list[str]]:
-        return [line.split() for line in text.split("\n")]
-
     return pd.Series(
-        [_summary_hits(sentences(p), sentences(e)) for p, e in zip(predicted, expected)],
+        [_summary_hits(_sentences(p), _sentences(e)) for p, e in zip(predicted, expected)],
         dtype="int32",
     )

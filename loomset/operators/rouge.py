@@ -1,13 +1,12 @@
 """ROUGE scores of predictions against targets.
 
 ROUGE-1, -2, -L and -Lsum after Lin (2004): lower-case ASCII tokens, no stemming, F1 with equal
-weight on precision and recall, 0 when a side is empty, and a plain mean over the corpus.
+weight on precision and recall, 0 when a side is empty. A corpus score is the plain mean, with a
+bootstrap interval around it.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +17,11 @@ from loomset.operators.identity import KEY
 
 METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 _ORDERS = {"rouge1": 1, "rouge2": 2}
+# Resamples of an interval, and how many draws of 16 bits an MD5 gives.
+RESAMPLES = 200
+_DRAWS = 8
+# The distribution of Poisson(1) in parts of 65,536; a draw counts once per value reached.
+_POISSON = (24109, 48218, 60273, 64292, 65296, 65497, 65531, 65535)
 _PAIR = (KEY, "model")
 
 
@@ -156,17 +160,64 @@ def _row_scores(pairs: DataFrame, metric: str, hits: Column) -> DataFrame:
 
 
 def rouge_scores(pairs: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
-    """All wanted metrics, one row per pair and metric."""
-    parts = []
-    if counted := tuple(m for m in metrics if m in _ORDERS):
-        parts.append(ngram_scores(pairs, counted))
-    if "rougeL" in metrics:
-        parts.append(lcs_scores(pairs))
-    if "rougeLsum" in metrics:
-        parts.append(summary_scores(pairs))
-    return reduce(DataFrame.unionByName, parts)
+    """All wanted metrics, one row per pair and metric.
+
+    ROUGE-N alone stays in the JVM. With a subsequence metric the texts go to Python anyway: one
+    helper then counts all metrics of a row, and no n-gram is shuffled.
+    """
+    if set(metrics) <= set(_ORDERS):
+        return ngram_scores(pairs, metrics)
+    texts = [overlap.score_text(or_empty(F.col(side)), keep_lines=True) for side in ("prediction", "target")]
+    counted = pairs.select(*_PAIR, overlap.all_hits(*texts, metrics).alias("counts"))
+
+    def row(metric: str) -> Column:
+        shorter = _ORDERS.get(metric, 1) - 1
+        sizes = [F.greatest(F.col(f"counts.{s}") - shorter, F.lit(0)).cast("long").alias(s) for s in ("predicted", "expected")]
+        return F.struct(F.lit(metric).alias("metric"), F.col(f"counts.{metric}").alias("hits"), *sizes)
+
+    return _scored(counted.select(*_PAIR, F.inline(F.array(*map(row, metrics)))))
 
 
 def corpus_scores(scores: DataFrame) -> DataFrame:
     """Mean F1 per model and metric."""
     return scores.groupBy("model", "metric").agg(F.avg("f1").alias("value"))
+
+
+def resampled_scores(scores: DataFrame, resamples: int = RESAMPLES) -> DataFrame:
+    """``(model, metric, draw, value)``: the plain mean as draw 0 and a mean per bootstrap resample.
+
+    A row takes part in a resample as often as a Poisson(1) variable says, which is read off the MD5 of
+    the resample and the row's key. So no row is copied or shuffled for it, both models and all metrics
+    see the same resamples, and reruns agree. A resample without any row has no value.
+    """
+    blocks = F.sequence(F.lit(0), F.lit(max(0, -(-resamples // _DRAWS) - 1)))
+    digests = scores.select(
+        "model", "metric", "f1",
+        F.transform(blocks, lambda k: F.md5(F.concat(k.cast("string"), F.lit(":"), F.col(KEY).cast("string")))).alias("digests"),
+    )
+
+    def times(draw: Column) -> Column:
+        digest = F.element_at("digests", F.floor((draw - 1) / _DRAWS).cast("int") + 1)
+        place = F.conv(F.substr(digest, (draw - 1) % _DRAWS * 4 + 1, F.lit(4)), 16, 10).cast("int")
+        return sum((F.when(place >= least, 1).otherwise(0) for least in _POISSON[1:]), F.when(place >= _POISSON[0], 1).otherwise(0))
+
+    draws = F.sequence(F.lit(0), F.lit(resamples))
+    taken = digests.select(
+        "model", "metric", "f1",
+        F.explode(F.transform(draws, lambda d: F.struct(d.alias("draw"), F.when(d == 0, 1).otherwise(times(d)).alias("times")))).alias("d"),
+    ).where("d.times > 0")
+    weight = F.col("d.times")
+    return taken.groupBy("model", "metric", F.col("d.draw").alias("draw")).agg(
+        (F.sum(F.col("f1") * weight) / F.sum(weight)).alias("value")
+    )
+
+
+def corpus_intervals(resampled: DataFrame, level: float = 0.95) -> DataFrame:
+    """Mean score with the percentiles of the resamples around it: low, mid, high."""
+    edges = [(1 - level) / 2, 0.5, (1 + level) / 2]
+    found = resampled.groupBy("model", "metric").agg(
+        F.max(F.when(F.col("draw") == 0, F.col("value"))).alias("value"),
+        F.percentile(F.when(F.col("draw") > 0, F.col("value")), F.array(*map(F.lit, edges))).alias("cuts"),
+    )
+    cuts = [F.get("cuts", F.lit(i)).alias(name) for i, name in enumerate(("low", "mid", "high"))]
+    return found.select("model", "metric", "value", *cuts)

@@ -84,8 +84,16 @@ class EvaluationParams:
     num_qualitative_examples: int = 5
     metrics: tuple[str, ...] = METRICS
     partitions: int | None = None
+    # Prompts are run in so many parts, each stored when it is done; a rerun goes on after them.
+    buckets: int = 4
+    # Bootstrap resamples behind the intervals of the scores; 0 leaves them out.
+    resamples: int = 200
+    # Version of a model's generator, to run it again when its code has changed.
+    versions: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        if self.buckets < 1 or self.resamples < 0:
+            raise ConfigError("buckets must be at least 1 and resamples at least 0")
         wanted: list[str] = []
         for name in self.metrics:
             wanted += METRICS if name == "rouge" else (name,)

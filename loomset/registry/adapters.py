@@ -78,9 +78,18 @@ def predictions(rows: DataFrame) -> DataFrame:
 
 
 def make_echo():
-    """A deterministic stand-in for a model: repeats the last twelve words of the prompt."""
+    """A deterministic stand-in for a model: the words of the prompt in reverse."""
 
     def generate(prompts: list[str]) -> list[str]:
-        return [f"{p} {' '.join(p.split(' ')[-12:])}<|im_end|>" for p in prompts]
+        return [f"{p} {' '.join(reversed(p.split(' ')))}<|im_end|>" for p in prompts]
+
+    return generate
+
+
+def make_copy():
+    """Another stand-in: the prompt once more."""
+
+    def generate(prompts: list[str]) -> list[str]:
+        return [f"{p} {p}<|im_end|>" for p in prompts]
 
     return generate

@@ -252,7 +252,36 @@ WORDS = f"""len(regexp_extract_all(
 PADDED = (
     "chr(160) || chr(10) || ' ' || chr(8195) || text || chr(9) || chr(12288) || chr(28) || chr(133)"
 )
-ECHO_PROMPT = f"select example_id, {first_tokens('prompt', 64)} as fed from formatted"
+ECHO = "array_to_string(list_reverse(string_split(fed, ' ')), ' ')"
+
+
+def generated(continuation: str, source: str) -> str:
+    """Cleaned predictions of a model that writes ``continuation`` after the prompt it is fed."""
+    cleaned = stripped("regexp_replace(" + first_tokens("new", 128) + r", '<\|[a-z_]+\|>', '', 'g')")
+    return f"""
+        select example_id, {cleaned} as prediction
+        from (select example_id, ' ' || {continuation} || '<|im_end|>' as new
+              from (select example_id, {first_tokens('prompt', 2048)} as fed from {source}))"""
+
+
+def intervals(source: str, resamples: int) -> str:
+    """Plain mean and percentiles of Poisson resamples, drawn 16 bits at a time from MD5."""
+    least = (24109, 48218, 60273, 64292, 65296, 65497, 65531, 65535)
+    times = " + ".join(f"(u >= {n})::int" for n in least)
+    return f"""
+        select model, metric, round(max(value) filter (draw = 0), 6) as value,
+               round(quantile_cont(value, 0.025) filter (draw > 0), 6) as low,
+               round(quantile_cont(value, 0.5) filter (draw > 0), 6) as mid,
+               round(quantile_cont(value, 0.975) filter (draw > 0), 6) as high
+        from (select model, metric, draw, sum(f1 * times) / sum(times) as value
+              from (select model, metric, f1, draw, case when draw = 0 then 1 else {times} end as times
+                    from (select model, metric, {F1} as f1, draw,
+                                 ('0x' || substr(md5(((draw - 1) // 8)::varchar || ':' || example_id),
+                                                 (draw - 1) % 8 * 4 + 1, 4))::int as u
+                          from {source}, range(0, {resamples + 1}) r(draw)))
+              where times > 0 group by all)
+        group by all"""
+
 
 DOCUMENTS_AS_ROWS = """
     select doc_id as example_id, doc_id, text as instruction, lang, source, n_chars,
@@ -372,11 +401,7 @@ ORACLES = {
     ),
     "batch_predict": sql(
         TO_FORMATTED,
-        f"""select example_id, 'base_model' as model, {stripped(
-            "regexp_replace(" + first_tokens("new", 16) + r", '<\|[a-z_]+\|>', '', 'g')"
-        )} as prediction
-        from (select example_id, ' ' || array_to_string(string_split(fed, ' ')[-12:], ' ')
-                     || '<|im_end|>' as new from ({ECHO_PROMPT}))""",
+        f"select example_id, 'base_model' as model, prediction from ({generated(ECHO, 'formatted')})",
     ),
     "scored_pairs": sql(BY_PAIR, "select example_id, model, prediction, target from pairs"),
     "alignment_check": sql(
@@ -433,6 +458,25 @@ ORACLES = {
         -delta as delta from ({compared("scored1")})""",
         (grams(1, "test_pairs"),),
     ),
+    "evaluation_switch": sql(
+        TO_PLACED,
+        compared("scored1"),
+        (
+            "tested as (select * from placed where split = 'test')",
+            f"""switched as (
+                select example_id, 'base_model' as model, prediction, target
+                from ({generated(ECHO, 'tested')}) join tested using (example_id)
+                union all
+                select example_id, 'fine_tuned_model', prediction, target
+                from ({generated('fed', 'tested')}) join tested using (example_id))""",
+            grams(1, "switched"),
+        ),
+    ),
+    "score_intervals": sql(
+        BY_PAIR,
+        intervals("(from scored1 union all from scored2)", 200),
+        (grams(1, "pairs"), grams(2, "pairs")),
+    ),
     "written_examples": sql(
         (*TO_PLACED, "replies", "predictions"),
         """select f.example_id, f.prompt, f.target as ground_truth,

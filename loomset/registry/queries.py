@@ -22,6 +22,7 @@ from loomset.registry.adapters import (
     SYSTEM,
     document_rows,
     instruction_rows,
+    make_copy,
     make_echo,
     predictions,
     table,
@@ -321,9 +322,7 @@ def prediction_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predicting.batch_predict(
-        _formatted(spark, sf_dir), make_echo, "base_model", max_new_tokens=16, max_prompt_tokens=64
-    )
+    return predicting.batch_predict(_formatted(spark, sf_dir), make_echo, "base_model")
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -409,6 +408,25 @@ def evaluation_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_comparison(result.comparison)
 
 
+@query
+def evaluation_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluate a finished table, then two generators, unforced: the generators' comparison."""
+    dataset = _prepared(spark, sf_dir)
+    job = JobParams(dataset, EvaluationParams(scratch(spark, "results"), metrics=("rouge1",)))
+    test = load_split(spark, dataset.processed_dir, "test")
+    evaluate(spark, job, predictions=predictions(test))
+    result = evaluate(spark, job, dict(zip(MODELS, (make_echo, make_copy))))
+    return _rounded_comparison(result.comparison)
+
+
+@query
+def score_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus scores with the bootstrap interval around them."""
+    scores = rouge.rouge_scores(_pairs(spark, sf_dir), ("rouge1", "rouge2"))
+    found = rouge.corpus_intervals(rouge.resampled_scores(scores))
+    return found.withColumns({name: F.round(name, 6) for name in ("value", "low", "mid", "high")})
+
+
 @query
 def written_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side-by-side sample of the evaluate job, as stored and read back."""

@@ -14,6 +14,7 @@ from loomset.errors import DuplicateKeyError, SplitMismatchError, TooFewExamples
 from loomset.functions.tokens import token_count
 from loomset.operators.comparing import BASE, TUNED
 from loomset.operators.splitting import split_rows
+from loomset.plans.evaluate import generator_name, table_name
 from loomset.sources.reader import load_splits
 from loomset.sources.storage import exists
 
@@ -187,7 +188,7 @@ def answers():
 
 
 def job(tmp_path, **changes):
-    return JobParams(params(tmp_path), EvaluationParams(str(tmp_path / "results"), **changes))
+    return JobParams(params(tmp_path), EvaluationParams(str(tmp_path / "results"), **{"buckets": 1} | changes))
 
 
 def test_evaluate_end_to_end(spark, tmp_path):
@@ -222,7 +223,7 @@ def test_results_and_report_are_kept(spark, tmp_path):
     given = job(tmp_path, metrics=("rouge1",), report_path=str(tmp_path / "report"))
     prepare_rows(rows_of(spark, 50), given.dataset)
     first = evaluate(spark, given, {BASE: repeat_question, TUNED: answers}).scores.collect()
-    kept = evaluate(spark, given, {BASE: answers, TUNED: answers}).scores.collect()
+    kept = evaluate(spark, given, {BASE: repeat_question, TUNED: answers}).scores.collect()
     assert sorted(map(tuple, kept)) == sorted(map(tuple, first))
     report = [json.loads(t) for f in (tmp_path / "report" / "comparison").glob("*.json") for t in f.read_text().splitlines()]
     redone = evaluate(spark, given, {BASE: answers, TUNED: answers}, force=True)
@@ -238,12 +239,93 @@ def test_other_metrics_and_other_splits_are_computed(spark, tmp_path):
     assert evaluate(spark, given, {BASE: answers, TUNED: answers}).scores.count() == 2
     more = evaluate(spark, job(tmp_path), {BASE: repeat_question, TUNED: repeat_question}).scores.collect()
     values = {(r.model, r.metric): r.value for r in more}
-    assert len(values) == 8 and values[BASE, "rouge1"] == pytest.approx(2 / 3)
+    assert len(values) == 8 and values[BASE, "rouge1"] == 0.5
     prepare_rows(rows_of(spark, 50), given.dataset)
     again = evaluate(spark, job(tmp_path), {BASE: repeat_question, TUNED: repeat_question}).scores.collect()
     assert {r.value for r in again if r.metric == "rouge1"} == {0.5}
 
 
+def values_of(result):
+    return {(r.model, r.metric): r.value for r in result.scores.collect()}
+
+
+def test_scores_are_those_of_what_was_given(spark, tmp_path):
+    """Unforced calls with other predictions or generators must not return earlier scores."""
+    given = job(tmp_path, metrics=("rouge1",))
+    prepare_rows(rows_of(spark, 50), given.dataset)
+    test = load_splits(spark, given.dataset.processed_dir).where("split = 'test'")
+    both = F.explode(F.array(F.lit(BASE), F.lit(TUNED)))
+    right = test.select("example_id", both.alias("model"), F.col("target").alias("prediction"))
+    assert set(values_of(evaluate(spark, given, predictions=right)).values()) == {1.0}
+    halves = values_of(evaluate(spark, given, {BASE: repeat_question, TUNED: answers}))
+    assert halves == {(BASE, "rouge1"): 0.5, (TUNED, "rouge1"): pytest.approx(2 / 3)}
+    assert values_of(evaluate(spark, given, {BASE: answers, TUNED: answers}))[BASE, "rouge1"] == pytest.approx(2 / 3)
+    assert set(values_of(evaluate(spark, given, predictions=right)).values()) == {1.0}
+    wrong = right.withColumn("prediction", F.lit("nothing"))
+    assert set(values_of(evaluate(spark, given, predictions=wrong)).values()) == {0.0}
+
+
+def test_generators_are_told_apart_by_what_they_hold():
+    def made(word):
+        return lambda: lambda prompts: [word] * len(prompts)
+
+    one, other = generator_name(made("x")), generator_name(made("y"))
+    assert one != other and one == generator_name(made("x"))
+    assert generator_name(answers) != generator_name(answers, "2") != generator_name(repeat_question, "2")
+
+
+def test_equal_tables_are_not_scored_again(spark, tmp_path):
+    given = job(tmp_path, metrics=("rouge1",))
+    prepare_rows(rows_of(spark, 50), given.dataset)
+    test = load_splits(spark, given.dataset.processed_dir).where("split = 'test'")
+    made = test.select("example_id", F.explode(F.array(F.lit(BASE), F.lit(TUNED))).alias("model"), F.lit("answer").alias("prediction"))
+    evaluate(spark, given, predictions=made)
+    stamp = os.stat(tmp_path / "results" / "metrics" / "_SUCCESS").st_mtime_ns
+    evaluate(spark, given, predictions=made.orderBy("model"))
+    assert os.stat(tmp_path / "results" / "metrics" / "_SUCCESS").st_mtime_ns == stamp
+    assert table_name(made) == table_name(made.repartition(3)) != table_name(made.union(made))
+
+
+def test_inference_goes_on_where_it_stopped(spark, tmp_path):
+    """A generator that fails half-way is not asked again for finished prompts."""
+    given = job(tmp_path, metrics=("rouge1",), buckets=4, partitions=1)
+    prepare_rows(rows_of(spark, 200), given.dataset)
+    log, broken = tmp_path / "asked", tmp_path / "broken"
+    broken.write_text("")
+
+    def careful():
+        def generate(prompts):
+            if broken.exists() and log.exists() and len(log.read_text().splitlines()) > 8:
+                raise RuntimeError("out of memory")
+            with log.open("a") as file:
+                file.writelines(p.split("\n")[3] + "\n" for p in prompts)
+            return [p + "answer" for p in prompts]
+
+        return generate
+
+    generators = {BASE: careful, TUNED: answers}
+    with pytest.raises(Exception, match="out of memory"):
+        evaluate(spark, given, generators)
+    done = [d for d in (tmp_path / "results" / "predictions" / BASE).iterdir() if (d / "_SUCCESS").exists()]
+    kept = {r.example_id for d in done for r in spark.read.parquet(str(d)).collect()}
+    assert 1 <= len(done) < 4 and kept
+    broken.unlink()
+    log.unlink()
+    assert values_of(evaluate(spark, given, generators))[BASE, "rouge1"] == pytest.approx(2 / 3)
+    asked = log.read_text().splitlines()
+    assert len(asked) == 20 - len(kept) and len(set(asked)) == len(asked)
+
+
+def test_intervals_stand_around_the_scores(spark, tmp_path):
+    given = job(tmp_path, metrics=("rouge1",))
+    prepare_rows(rows_of(spark, 50), given.dataset)
+    result = evaluate(spark, given, {BASE: repeat_question, TUNED: answers})
+    for row in result.intervals.collect():
+        assert row.low <= row.mid <= row.high and row.value == pytest.approx(values_of(result)[row.model, "rouge1"])
+    none = evaluate(spark, job(tmp_path, metrics=("rouge1",), resamples=0), {BASE: repeat_question, TUNED: answers})
+    assert [(r.low, r.high) for r in none.intervals.collect()] == [(None, None)] * 2
+
+
 def test_test_file(spark, tmp_path):
     file = tmp_path / "test.jsonl"
     file.write_text("".join(json.dumps({"prompt": f"p{i}", "target": f"answer {i}", "id": i}) + "\n" for i in range(4)))

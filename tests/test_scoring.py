@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -250,3 +251,74 @@ def test_profile_percentile_is_linear(spark, examples):
         assert got.mean_words == pytest.approx(sum(used) / len(used))
         assert (got.n_rows, got.max_words) == (len(used), used[-1])
     assert lengths
+
+
+def plain_summary(predicted, expected):
+    """Union of line-wise LCS over all pairs of lines, none skipped."""
+    left = Counter(t for line in predicted for t in line)
+    hits = 0
+    for line in expected:
+        matched = set()
+        for other in predicted:
+            matched.update(overlap._lcs_positions(line, other, overlap._match_masks(other)))
+        for i in sorted(matched):
+            if left[line[i]] > 0:
+                left[line[i]] -= 1
+                hits += 1
+    return hits
+
+
+def test_indexed_lines_give_the_hits_of_all_pairs():
+    rng = random.Random(6)
+    for _ in range(200):
+        words = [f"w{i}" for i in range(rng.randrange(1, 12))]
+        sides = [
+            [[rng.choice(words) for _ in range(rng.randrange(7))] for _ in range(rng.randrange(8))] for _ in range(2)
+        ]
+        assert overlap._summary_hits(*sides) == plain_summary(*sides)
+
+
+def test_thousands_of_lines_take_seconds():
+    rng = random.Random(7)
+    words = ["the", "of", "and", *(f"w{i}" for i in range(3000))]
+    lines = [[[*rng.choices(words[:3], k=2), *rng.choices(words, k=8)] for _ in range(5000)] for _ in range(2)]
+    start = time.perf_counter()
+    hits = overlap._summary_hits(*lines)
+    assert time.perf_counter() - start < 40
+    assert 0 < hits <= 50_000
+
+
+def test_one_pass_equals_the_metrics_one_by_one(spark):
+    texts = [("the cat\nsat on\n\nthe mat", "the mat\nsat the cat"), (None, "x"), ("a b a b", "b a b"), ("", None)]
+    pairs = pairs_of(spark, *texts)
+    alone = [rouge.ngram_scores(pairs), rouge.lcs_scores(pairs), rouge.summary_scores(pairs)]
+    expected = sorted(tuple(r) for part in alone for r in part.select(*rouge.rouge_scores(pairs).columns).collect())
+    assert sorted(map(tuple, rouge.rouge_scores(pairs).collect())) == expected
+    assert rouge.rouge_scores(pairs, ("rougeL", "rouge1")).count() == 2 * len(texts)
+
+
+def test_all_metrics_share_one_join_and_shuffle_nothing_else(spark):
+    pairs = pairs_of(spark, ("a", "b"))
+    paired = rouge.pair_up(pairs.select("example_id", "target"), pairs.select("example_id", "model", "prediction"))
+    plan = plan_of(rouge.rouge_scores(paired))
+    assert plan.count("SortMergeJoin") == 1 and plan.count("ArrowEvalPython") == 1
+    assert plan.count("Exchange") == 2
+
+
+def test_intervals(spark):
+    """Resampled means lie around the plain mean, as far apart as the mean's standard error says."""
+    rng = random.Random(3)
+    rows = [(i, "m", "rouge1", rng.random()) for i in range(800)]
+    scores = spark.createDataFrame(rows, "example_id long, model string, metric string, f1 double")
+    resampled = rouge.resampled_scores(scores, 300)
+    values = [r["value"] for r in resampled.where("draw > 0").collect()]
+    mean = sum(r[3] for r in rows) / 800
+    assert len(values) == 300 and len(set(values)) > 290
+    spread = (sum((v - mean) ** 2 for v in values) / 300) ** 0.5
+    assert spread == pytest.approx((sum((r[3] - mean) ** 2 for r in rows) / 800) ** 0.5 / 800**0.5, rel=0.15)
+    row = rouge.corpus_intervals(resampled).first()
+    assert row["value"] == pytest.approx(mean) and abs(row["mid"] - mean) < spread / 2
+    assert mean - 2.5 * spread < row["low"] < mean - 1.4 * spread and mean + 1.4 * spread < row["high"] < mean + 2.5 * spread
+    again = rouge.resampled_scores(scores.repartition(3), 300).where("draw = 7").first()["value"]
+    assert again == pytest.approx(resampled.where("draw = 7").first()["value"])
+    assert rouge.corpus_intervals(rouge.resampled_scores(scores.limit(0))).collect() == []
