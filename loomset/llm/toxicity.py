@@ -58,7 +58,12 @@ LEET = bytes.maketrans(b"013457@$!|+", b"oieastasiit")
 
 _SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _CLEAN = bytes.maketrans(bytes(range(65, 91)) + _SIGNS, bytes(range(97, 123)) + b" " * len(_SIGNS))
-_ODD_WORD = re.compile(rb"[a-z]+(?:[0-9@$!|+*._-]+[a-z]+)+|[0-9@$!|+]+[a-z]+[0-9@$!|+a-z]*")
+# A run of letters, digits or signs is tried from its start only and never given back in part, so
+# texts without a break take linear time; runs tried from within would not match either.
+_ODD_WORD = re.compile(
+    rb"(?<![a-z])[a-z]++(?:[0-9@$!|+*._-]++[a-z]++)++"
+    rb"|(?<![0-9@$!|+])[0-9@$!|+]++[a-z]++[0-9@$!|+a-z]*+"
+)
 _SPACED = re.compile(rb"(?<![^\s.,;:*_-])(?:[a-z][\s.*_-]){3,}[a-z](?![^\s.,;:*_-])")
 _DROP = b"*._- \t\n\r\x0b\x0c"
 #: Kinds of bytes: other, capital, small letter, digit, exclamation or question mark, other sign.
