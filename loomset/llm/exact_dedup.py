@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from loomset.llm.common import keep_one, never_null, stored, text_bytes, whole_row
 
-#: Bytes of content that a bucket's table may hold at once.
-TABLE_BYTES = 32 << 20
+#: Bytes that a bucket's table may hold at once: contents, and what Python needs for an entry of the
+#: table and for a tag.
+TABLE_BYTES = 64 << 20
+ENTRY_BYTES, TAG_BYTES = 250, 120
 #: Spill files per level of the recursion.
 FAN_OUT = 16
 MAX_LEVEL = 12
@@ -95,9 +97,10 @@ def grace_groups(
 ) -> Iterator[tuple[bytes, list[object]]]:
     """``(content, tags)`` of each distinct content. ``records`` are (content, tag) pairs.
 
-    Distinct contents are held up to ``table_bytes``; once they exceed that, what the table holds
-    and all records still to come go to spill files by hash, and each file is treated alike. The
-    tags of one content must fit in memory.
+    Distinct contents and all tags are held up to ``table_bytes``; once they exceed that, what the
+    table holds and all records still to come go to spill files by hash, and each file is treated
+    alike. The tags of one content must fit in memory: they are the keys of one input partition, or
+    one tag per input partition.
     """
     with tempfile.TemporaryDirectory(prefix="grace-") as folder:
         hashed = ((content, _hash(content), [tag]) for content, tag in records)
@@ -110,11 +113,12 @@ def _groups(
     held, table, tags = 0, ContentTable(), []
     for content, digest, more in records:
         index = table.find_or_add(content, digest)
+        held += TAG_BYTES * len(more)
         if index < len(tags):
             tags[index].extend(more)
-            continue
-        tags.append(list(more))
-        held += len(content)
+        else:
+            tags.append(list(more))
+            held += ENTRY_BYTES + len(content)
         if held > table_bytes and len(tags) > 1 and level < MAX_LEVEL:
             break
     else:
