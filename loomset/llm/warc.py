@@ -5,7 +5,8 @@ put together again by a join. A page whose payload another page already has beco
 names the page that holds it. Both tables are Parquet below one location.
 
 Reading back verifies everything: payloads against the strong digest that they are stored by and
-the length beside it, and each record's header block against the SHA-1 and length it declares.
+the length beside it, and each record's header block against the SHA-1, the length, its own id and
+the record that it refers to.
 
 Defined results: a null payload is empty; of equal payloads the largest id is the response and
 null ids are smallest; rows that repeat id and payload are one response and revisits to the same
@@ -16,13 +17,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm.common import text_bytes
+from loomset.llm.common import stored, text_bytes
 
 # The format's line break, version line and revisit profile.
 CRLF = "\r\n"
@@ -32,50 +35,62 @@ HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"
 DATE = "1970-01-01T00:00:00Z"
 
 
-def _base32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_UNSAFE = re.compile(rb"[\x00-\x20\x7f]")
+_DIGESTED = "id long, place long, uri binary, payload binary, payload_bytes long, payload_digest string, address binary"
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Length, SHA-1 (base32) and SHA-256 of payloads; blanks and control signs of addresses escaped."""
     for batch in batches:
-        sha1, sha256, size = [], [], []
-        for payload in batch.column("payload"):
+        sha1, sha256, size, uri = [], [], [], []
+        for payload, url in zip(batch.column("payload"), batch.column("url")):
             data = payload.as_buffer()
             sha1.append(base64.b32encode(hashlib.sha1(data).digest()).decode())
             sha256.append(hashlib.sha256(data).digest())
             size.append(data.size)
+            raw = url.as_buffer().to_pybytes() if url.is_valid else b""
+            uri.append(_UNSAFE.sub(lambda sign: b"%%%02X" % sign[0][0], raw))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(size, pa.int64()), pa.array(sha1), pa.array(sha256, pa.binary())],
-            names=[*batch.schema.names, "payload_bytes", "payload_digest", "address"],
-        )
+            [
+                batch.column("id"), batch.column("place"), pa.array(uri, pa.binary()), batch.column("payload"),
+                pa.array(size, pa.int64()), pa.array(sha1, pa.string()), pa.array(sha256, pa.binary()),
+            ],
+            names=["id", "place", "uri", "payload", "payload_bytes", "payload_digest", "address"],
+        )
 
 
-def _digested(pages: DataFrame) -> DataFrame:
-    """Ids, urls and payloads with length, SHA-1 (base32) and SHA-256."""
-    schema = "id long, url string, payload binary, payload_bytes long, payload_digest string, address binary"
-    return pages.mapInArrow(_base32, schema)
+def record_name(key: int | None, address: bytes, place: int | None = None) -> str:
+    """A name-based record id. The record that holds a payload is named by page and payload, any other
+    also by its row's place in the input, so that no two records share an id."""
+    name = f"page:{'' if key is None else key}:{address.hex()}:{'' if place is None else place}"
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(name.encode()).digest())}>"
 
 
-def _record_id(key: Column) -> Column:
-    """A name-based id: the same page gets the same one in every run."""
-    digest = F.md5(F.concat(F.lit("page:"), F.coalesce(key.cast("string"), F.lit(""))))
+def _record_id(key: Column, address: Column, place: Column) -> Column:
+    """:func:`record_name` as a column."""
+    parts = [F.lit("page:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), F.lower(F.hex(address)), F.lit(":"), F.coalesce(place.cast("string"), F.lit(""))]
+    digest = F.md5(F.concat(*parts))
     cut = [F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
-def _header_block(refers: Column) -> Column:
+def _header_block() -> Column:
     """The record's header lines, each ended by a line break, and the HTTP head of its block."""
     revisit = F.col("record_type") == "revisit"
     http = F.concat(
         F.lit(HTTP_HEAD), F.lit("Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(CRLF + CRLF)
     )
     length = F.length(http) + F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))
-    uri = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\x00-\x20\x7F]", "")
+    own = F.when(~F.col("at_holder"), F.col("place"))
     lines = [
         F.lit(VERSION),
         F.concat(F.lit("WARC-Type: "), F.col("record_type")),
-        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("id"))),
-        F.concat(F.lit("WARC-Target-URI: "), uri),
+        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("id"), F.col("address"), own)),
+        F.concat(F.lit("WARC-Target-URI: "), F.col("uri").cast("string")),
         F.lit(f"WARC-Date: {DATE}"),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest")),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(refers))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("holder.id"), F.col("address"), F.lit(None)))),
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), length.cast("string")),
     ]
@@ -85,35 +100,36 @@ def _header_block(refers: Column) -> Column:
 def write_archive(pages: DataFrame, location: str, least: int = 0, key: str = "page_id", payload: str = "html") -> None:
     """Store ``payloads`` (address, bytes once) and ``headers`` (one per page) below ``location``.
 
-    One aggregate finds a payload's bytes and the largest id among its copies; copies within an
-    input partition meet before any row moves. Headers then take the holder by a narrow join whose
-    key repeats on one side only, where adaptive execution splits a skewed partition.
+    Payloads are digested once and stored beside. One aggregate finds a payload's bytes and the row
+    that holds it: of its copies the one with the largest id, then address of the page, then place in
+    the input; copies within an input partition meet before any row moves. Headers then take the holder
+    by a narrow join. Its key repeats on one side only and nothing after it needs that partitioning, so
+    adaptive execution may split a payload that a third of all pages share.
     """
     spark = pages.sparkSession
     source = pages.select(
-        F.col(key).cast("long").alias("id"), F.col("url").cast("string").alias("url"), text_bytes(F.col(payload)).alias("payload")
-    )
-    digested = _digested(source)
-    order = F.struct(F.col("id").isNotNull().alias("known"), F.col("id").alias("id"))
+        F.col(key).cast("long").alias("id"), F.monotonically_increasing_id().alias("place"),
+        F.col("url").cast("string").alias("url"), text_bytes(F.col(payload)).alias("payload"),
+    )
+    digested = stored(source.mapInArrow(_digests, _DIGESTED), "digested-pages")
+    order = F.struct(F.col("id").isNotNull().alias("known"), "id", "uri", "place")
     digested.groupBy("address").agg(
-        F.first("payload").alias("payload"), F.max(order)["id"].alias("holder")
+        F.first("payload").alias("payload"), F.max(order).alias("holder")
     ).write.parquet(f"{location}/payloads")
     holders = spark.read.parquet(f"{location}/payloads").select("address", "holder")
-    narrow = digested.drop("payload").join(holders, "address")
-    at_holder = F.col("id").eqNullSafe(F.col("holder"))
+    joined = digested.drop("payload").join(holders, "address")
+    at_holder = F.col("place") == F.col("holder.place")
     small = F.col("payload_bytes") < least
-    # A holder's row may be repeated: one of its rows is the response.
-    several = Window.partitionBy("address", "id").orderBy(F.col("url").desc())
-    turn = F.when(at_holder & ~small, F.row_number().over(several)).otherwise(F.lit(0))
-    typed = narrow.withColumn("turn", turn).withColumn(
-        "record_type", F.when(small | (F.col("turn") == 1), "response").otherwise("revisit")
+    typed = joined.withColumn("at_holder", at_holder).withColumn(
+        "record_type", F.when(small | at_holder, "response").otherwise("revisit")
     )
     typed.select(
         "id", "address",
-        F.encode(_header_block(F.col("holder")), "UTF-8").alias("header"),
+        F.when(~F.col("at_holder"), F.col("place")).alias("place"),
+        F.encode(_header_block(), "UTF-8").alias("header"),
         "record_type",
-        F.when(F.col("record_type") == "revisit", F.col("holder")).alias("refers_to"),
-    ).write.parquet(f"{location}/headers")
+        F.when(F.col("record_type") == "revisit", F.col("holder.id")).alias("refers_to"),
+    ).write.parquet(f"{location}/headers")
 
 
 def read_records(spark: SparkSession, location: str) -> DataFrame:
@@ -126,7 +142,7 @@ def read_records(spark: SparkSession, location: str) -> DataFrame:
     payloads = spark.read.parquet(f"{location}/payloads").drop("holder")
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return headers.join(payloads, "address").select(
-        "id", "address", "refers_to", "payload",
+        "id", "address", "place", "refers_to", "payload",
         F.concat(F.col("header"), body, F.lit(b"\r\n\r\n")).alias("record"),
     )
 
@@ -152,21 +168,24 @@ def parse_record(record: bytes) -> tuple[dict[str, str], bytes, bytes]:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        columns = (batch.column(c) for c in ("id", "address", "refers_to", "payload", "record"))
-        for key, address, refers, payload, record in zip(*columns):
+        narrow = (batch.column(c).to_pylist() for c in ("id", "address", "place", "refers_to"))
+        for key, address, place, refers, payload, record in zip(*narrow, batch.column("payload"), batch.column("record")):
             data = payload.as_py()
             fields, http, body = parse_record(record.as_py())
             digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
             kind = fields["WARC-Type"]
             stated = http.rpartition(b"Content-Length: ")[2]
+            holder = record_name(refers, address) if kind == "revisit" else None
             if (
-                hashlib.sha256(data).digest() != address.as_py()
+                hashlib.sha256(data).digest() != address
+                or fields["WARC-Record-ID"] != record_name(key, address, place)
+                or fields.get("WARC-Refers-To") != holder
                 or fields["WARC-Payload-Digest"] != f"sha1:{digest}"
                 or int(stated) != len(data)
                 or body != (data if kind == "response" else b"")
             ):
                 raise ValueError(f"record of page {key} does not match its payload")
-            out.append((key.as_py(), len(data), digest, kind, refers.as_py()))
+            out.append((key, len(data), digest, kind, refers))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), f.type) for c, f in zip(zip(*out), _PARSED_ARROW)] if out else [pa.array([], f.type) for f in _PARSED_ARROW],
             schema=_PARSED_ARROW,
