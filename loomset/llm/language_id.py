@@ -21,8 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Windows that training uses per language at most, and their bytes.
+from loomset.llm.common import stored
+
+#: Windows that training uses per language at most, and of all languages together; their bytes. A
+#: labelled text gives one window.
 FIT_WINDOWS = 2_000
+ALL_WINDOWS = 128_000
 WINDOW = 64
 #: States per direction.
 STATES = 8
@@ -195,29 +199,29 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.binary())], names=["lang", "window"])
 
 
-def fit(labelled: DataFrame, most: int = FIT_WINDOWS, languages: int = 64) -> LanguageModel | None:
-    """Train on at most ``most`` documents of each of the ``languages`` commonest labels.
+def fit(labelled: DataFrame, most: int = FIT_WINDOWS, total: int = ALL_WINDOWS) -> LanguageModel | None:
+    """Train on at most ``most`` texts of every label there is, ``total`` of all of them.
 
     ``labelled`` has ``lang`` and ``text``. None if there is nothing to learn from. The draw is a
-    threshold on a hash per label, so no label's rows meet in one task.
+    threshold on a hash per label, so no label's rows meet in one task. Every label keeps at least one
+    window.
     """
     usable = labelled.where("lang is not null and text rlike '\\\\p{L}'").select(
         "lang", "text", F.xxhash64("text", F.lit("window")).alias("draw")
     )
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(languages).collect()
-    if not counts:
+    counts = stored(usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")), "languages")
+    names = sorted(row["lang"] for row in counts.select("lang").collect())
+    if not names:
         return None
-    names = sorted(row["lang"] for row in counts)
-    chance = F.lit(False)
-    for row in counts:
-        # Half as many again as wanted; the rest is cut after the draw.
-        share = min(1.0, 1.5 * most / row["n"])
-        chance = chance | ((F.col("lang") == row["lang"]) & (F.pmod("draw", F.lit(1_000_003)) < share * 1_000_003))
-    drawn = usable.where(chance).mapInArrow(_windows, "lang string, window binary").distinct().toPandas()
-    drawn = drawn.sort_values(["lang", "window"]).reset_index(drop=True)
-    drawn = drawn.sample(frac=1, random_state=5).groupby("lang").head(most)
-    labels = drawn["lang"].map({name: k for k, name in enumerate(names)}).to_numpy()
-    return train([bytes(w) for w in drawn["window"]], labels, names)
+    most = max(1, min(most, total // len(names)))
+    # Half as many again as wanted; the rest is cut after the draw.
+    chosen = (F.pmod("draw", F.lit(1_000_003)) < F.least(F.lit(1.0), 1.5 * most / F.col("n")) * 1_000_003) | (F.col("draw") == F.col("least"))
+    drawn = usable.join(counts, "lang").where(chosen).select("lang", "text", "draw")
+    found = drawn.mapInArrow(_windows, "lang string, window binary").distinct().toPandas()
+    found = found.sort_values(["lang", "window"]).reset_index(drop=True)
+    found = found.sample(frac=1, random_state=5).groupby("lang").head(most)
+    labels = found["lang"].map({name: k for k, name in enumerate(names)}).to_numpy()
+    return train([bytes(w) for w in found["window"]], labels, names)
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: LanguageModel | None) -> Iterator[pa.RecordBatch]:
