@@ -10,8 +10,8 @@ no correction among its steps; the strata share the error probability by Holm's
 probability ``1 - alpha`` no stratum's cutoffs reject more than ``limit`` of its good rows.
 
 Defined results: a null text has no words and fails the base rule; a null stratum is a stratum of its
-own; a stratum without enough labels keeps all rows that pass the base rule; repeated rows get equal
-results; an empty table gives an empty table.
+own; a stratum without enough labels keeps all rows that pass the base rule; copies of a labelled text
+are one labelled text with their lowest label; repeated rows get equal results; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -237,13 +237,19 @@ def choose_cutoffs(labelled: DataFrame, limit: float = LIMIT, alpha: float = ALP
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", limit: float = LIMIT, alpha: float = ALPHA) -> DataFrame:
     """Counts, ``base_failed`` and ``kept`` of every document; ``labels`` has the key and ``quality``."""
     spark = docs.sparkSession
-    measured = stored(measure(docs.select(key, F.col(stratum).alias("stratum"), "text"), [key, "stratum"]), "quality-counts")
+    rows = docs.select(key, F.col(stratum).alias("stratum"), "text", F.xxhash64("text").alias("text_hash"))
+    measured = stored(measure(rows, [key, "stratum", "text_hash"]), "quality-counts")
     quality = labels.where("quality is not null").groupBy(F.col(key).alias("__key")).agg(F.min("quality").alias("quality"))
     labelled = (
         measured.where("not base_failed").join(quality, F.col(key) == F.col("__key"))
-        .withColumn("good", F.col("quality") == 1)
-        .withColumn("planning", F.pmod(F.xxhash64(key, F.lit("half")), F.lit(2)) == 0)
-    )
+        # Copies are one draw: they lie in one half and count once, as their worst label says.
+        .groupBy("text_hash")
+        .agg(
+            F.min("stratum").alias("stratum"), (F.min("quality") == 1).alias("good"),
+            *[F.first(f"level_{rule}").alias(f"level_{rule}") for rule in RULES],
+        )
+        .withColumn("planning", F.pmod(F.xxhash64("text_hash", F.lit("half")), F.lit(2)) == 0)
+    )
     chosen = choose_cutoffs(labelled, limit, alpha)
     cutoffs = spark.createDataFrame([(s, list(map(int, c))) for s, c in chosen], "cut_stratum string, cuts array<int>")
     if len(chosen) <= BROADCAST_STRATA:
