@@ -1,9 +1,9 @@
-"""A small causal self-attention model over subword classes, trained and run in numpy.
+"""A small causal self-attention model over subword ids, trained and run in numpy.
 
 Positions come in blocks. The window of a block is the block itself and the one before it, so
 windows overlap by half and each position is scored once, with between one and two blocks of
 context. A block attends to both by a batched product under a causal mask with a learned bias per
-distance. The output is the class of the next id; it starts from the log-probabilities of classes
+distance. Every id has an embedding of its own. The output is the class of the next id; it starts from the log-probabilities of classes
 after the last id, which are counted over the whole training corpus, and attention corrects them.
 """
 
@@ -26,7 +26,7 @@ class AttentionModel:
 
     prior: np.ndarray  # (ids + 1, classes): log probabilities; the last row is the text's start
     kind: np.ndarray  # (ids + 1,): class of an id; the text's start has one of its own
-    embed: np.ndarray  # (classes + 1, width)
+    embed: np.ndarray  # (ids + 1, width)
     query: np.ndarray
     key: np.ndarray
     value: np.ndarray
@@ -44,7 +44,7 @@ class AttentionModel:
             return rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
 
         return cls(
-            prior.astype(np.float32), kind, rng.normal(0, 0.5, (classes + 1, WIDTH)).astype(np.float32),
+            prior.astype(np.float32), kind, rng.normal(0, 0.5, (len(kind), WIDTH)).astype(np.float32),
             draw(WIDTH, WIDTH), draw(WIDTH, WIDTH), draw(WIDTH, WIDTH),
             np.linspace(0, -2, 2 * BLOCK).astype(np.float32), draw(2 * WIDTH, HIDDEN),
             np.zeros((HIDDEN, classes), np.float32), np.zeros(classes, np.float32),
@@ -63,15 +63,18 @@ class AttentionModel:
             at += w.size
         return AttentionModel(self.prior, self.kind, *parts)
 
-    def forward(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, keep: bool = False):
+    def tables(self) -> list[np.ndarray]:
+        """What each id contributes by itself: query, key, value and its own part of the hidden layer."""
+        return [self.embed @ w for w in (self.query, self.key, self.value, self.mix[:WIDTH])]
+
+    def forward(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray], keep: bool = False):
         """Log-probabilities (blocks, block, classes) of the class after each seen id.
 
         ``seen``: input ids of each block; ``before``: those of the block before it; ``real`` tells
-        which of them exist.
+        which of them exist. ``tables`` as :meth:`tables` gives them.
         """
-        x, past = self.embed[self.kind[seen]], self.embed[self.kind[before]]
-        both = np.concatenate([past, x], 1)
-        q, k, v = x @ self.query, both @ self.key, both @ self.value
+        both = np.concatenate([before, seen], 1)
+        q, k, v = (np.take(table, ids, axis=0) for table, ids in zip(tables, (seen, both, both)))
         back = (BLOCK + np.arange(BLOCK)[:, None]) - np.arange(2 * BLOCK)
         weight = np.matmul(q, k.transpose(0, 2, 1))
         weight *= np.float32(1 / np.sqrt(WIDTH))
@@ -80,8 +83,8 @@ class AttentionModel:
         weight -= weight.max(2, keepdims=True)
         np.exp(weight, out=weight)
         weight /= weight.sum(2, keepdims=True)
-        joined = np.concatenate([x, np.matmul(weight, v)], 2)
-        hidden = np.tanh(joined @ self.mix)
+        read = np.matmul(weight, v)
+        hidden = np.tanh(np.take(tables[3], seen, axis=0) + read @ self.mix[WIDTH:])
         logits = hidden @ self.out
         logits += self.bias
         logits += self.prior[seen]
@@ -89,12 +92,14 @@ class AttentionModel:
         logits -= top
         logits -= np.log(np.exp(logits).sum(2, keepdims=True))
         if keep:
-            return logits, (x, both, q, k, v, weight, joined, hidden, back)
+            return logits, (q, k, v, weight, read, hidden, back)
         return logits
 
     def gradients(self, seen, before, real, real_before, following) -> tuple[float, list[np.ndarray]]:
         """Mean loss of ``following`` over real positions, and its gradients."""
-        logs, (x, both, q, k, v, weight, joined, hidden, back) = self.forward(seen, before, real, real_before, True)
+        logs, (q, k, v, weight, read, hidden, back) = self.forward(seen, before, real, real_before, self.tables(), True)
+        x, past = self.embed[seen], self.embed[before]
+        both, joined = np.concatenate([past, x], 1), np.concatenate([x, read], 2)
         count = max(1, int(real.sum()))
         following = self.kind[following]
         picked = np.take_along_axis(logs, following[:, :, None], 2)[:, :, 0]
@@ -120,9 +125,13 @@ class AttentionModel:
         g_value = both.reshape(square).T @ dv.reshape(square)
         d_both = dk @ self.key.T + dv @ self.value.T
         dx += dq @ self.query.T + d_both[:, BLOCK:]
+        ids = np.concatenate([seen.ravel(), before.ravel()])
+        parts = np.concatenate([dx.reshape(square), d_both[:, :BLOCK].reshape(square)])
+        order = np.argsort(ids, kind="stable")
+        ids, parts = ids[order], parts[order]
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         g_embed = np.zeros_like(self.embed)
-        np.add.at(g_embed, self.kind[seen].ravel(), dx.reshape(square))
-        np.add.at(g_embed, self.kind[before].ravel(), d_both[:, :BLOCK].reshape(square))
+        g_embed[ids[first]] = np.add.reduceat(parts, first)
         return loss, [g_embed, g_query, g_key, g_value, g_distance, g_mix, g_out, g_bias]
 
 
@@ -157,9 +166,10 @@ def score(model: AttentionModel, within: np.ndarray, ids: np.ndarray, sizes: np.
     """
     total = np.zeros(len(sizes))
     owner, seen, before, real, real_before, following = blocks(ids, sizes, len(model.kind) - 1)
+    tables = model.tables()
     for at in range(0, len(owner), SLAB):
         part = slice(at, at + SLAB)
-        logs = model.forward(seen[part], before[part], real[part], real_before[part])
+        logs = model.forward(seen[part], before[part], real[part], real_before[part], tables)
         picked = np.take_along_axis(logs, model.kind[following[part]][:, :, None], 2)[:, :, 0]
         picked = picked + within[seen[part], following[part]]
         total += np.bincount(owner[part], np.where(real[part], picked, 0).sum(1), len(sizes))

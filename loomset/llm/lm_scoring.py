@@ -2,9 +2,9 @@
 
 Word counts are taken over all training texts by a distributed aggregate. From them come the word
 model, and, by encoding each distinct word once, the counts of subwords and of subword pairs inside
-words. A causal self-attention model (``attention``) learns on subword ids from a fixed share of
-the training texts: in each round every task trains on its texts, and the weights are averaged over
-all tasks in proportion to the positions they saw.
+words. A causal self-attention model (``attention``) learns on subword ids from all training texts: in
+each round every task trains on its texts, and the weights are averaged over all tasks in proportion
+to the positions they saw.
 
 The model predicts a class per position; which id of the class it is follows from the id before, by
 counts. Classes hold ids that stand in like surroundings. Ids beyond the ``KEPT`` most frequent ones
@@ -39,15 +39,14 @@ from loomset.llm.subwords import encoder, vocabulary_path
 #: A word is heavy if it makes up at least one in so many training tokens.
 HEAVY = 1 << 17
 #: Ids that the model tells apart by context, the text's end and the shared one included; classes.
-KEPT = 1280
+KEPT = 2048
 CLASSES = 96
 #: Dimensions that describe an id's neighbours for the classes.
 SKETCH = 24
 #: Weight of an id's plain frequency beside the counts after another id.
 SMOOTH = 10.0
-#: One in so many training texts trains the attention model; it takes so many rounds over them.
-TRAIN_SHARE = 16
-ROUNDS = 3
+#: Rounds over all training texts.
+ROUNDS = 1
 #: Words that a counting task holds before it passes them on.
 HELD_WORDS = 150_000
 #: Words whose ids a worker process remembers, beside the model and the counts it holds.
@@ -168,13 +167,13 @@ def _sketched(batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords,
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], names=["place", "weight"])
 
 
-def learn_classes(share: DataFrame, path: str, subwords: Subwords, counts: np.ndarray) -> np.ndarray:
+def learn_classes(texts: DataFrame, path: str, subwords: Subwords, counts: np.ndarray) -> np.ndarray:
     """Class of each kept id: k-means over random sketches of its neighbours; the end has its own.
 
     The driver gets a fixed number of sums.
     """
     codes = np.random.default_rng(2).normal(0, 1, (KEPT, SKETCH))
-    found = share.mapInArrow(lambda b: _sketched(b, path, subwords, codes), "place long, weight double")
+    found = texts.mapInArrow(lambda b: _sketched(b, path, subwords, codes), "place long, weight double")
     rows = found.groupBy("place").agg(F.sum("weight").alias("weight")).toArrow()
     sums = np.zeros(KEPT * 2 * SKETCH)
     sums[rows["place"].to_numpy()] = rows["weight"].to_numpy()
@@ -208,9 +207,12 @@ def _kept_ids(texts: list[bytes], path: str, subwords: Subwords) -> tuple[np.nda
     """Kept numbers and shares of all ids of lower-cased texts, ends included, and texts' sizes."""
     coder = encoder(path, CACHED_WORDS)
     end = len(subwords.kept) - 1
-    ids = [np.append(coder.encode_words(text.split())[0].astype(np.int64), end) for text in texts]
-    flat = np.concatenate(ids)
-    return subwords.kept[flat], subwords.other[flat], np.fromiter(map(len, ids), np.int64, len(ids))
+    words = [text.split() for text in texts]
+    ids, sizes = coder.encode_words([word for own in words for word in own])
+    after = np.concatenate([[0], np.cumsum(sizes)])
+    ends = after[np.cumsum([len(own) for own in words])]
+    flat = np.insert(ids.astype(np.int64), ends, end)
+    return subwords.kept[flat], subwords.other[flat], np.diff(ends, prepend=0) + 1
 
 
 def _train_part(batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords, model: attention.AttentionModel) -> Iterator[pa.RecordBatch]:
@@ -230,11 +232,9 @@ def _train_part(batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords
 
 
 def fit(texts: DataFrame, words: DataFrame, path: str) -> tuple[Subwords, np.ndarray, attention.AttentionModel]:
-    """Counts of ids from all word counts; classes and attention from a fixed share of the texts."""
+    """Counts of ids from all word counts; classes and attention from all texts."""
     subwords, counts, follow = learn_subwords(words, path)
-    draw = F.xxhash64("text", F.lit("train"))
-    share = stored(texts.where(F.pmod(draw, F.lit(TRAIN_SHARE)) == 0).select("text"), "training-texts")
-    kind = learn_classes(share, path, subwords, counts)
+    kind = learn_classes(texts, path, subwords, counts)
     chances = np.zeros((KEPT + 1, CLASSES))
     for k in range(CLASSES):
         chances[:, k] = np.exp(follow[:, kind == k]).sum(1)
@@ -243,7 +243,7 @@ def fit(texts: DataFrame, words: DataFrame, path: str) -> tuple[Subwords, np.nda
     model = attention.AttentionModel.fresh(prior, np.append(kind, CLASSES))
     for _ in range(ROUNDS):
         now = model
-        trained = share.mapInArrow(lambda b: _train_part(b, path, subwords, now), "place long, weight double, seen long")
+        trained = texts.mapInArrow(lambda b: _train_part(b, path, subwords, now), "place long, weight double, seen long")
         averaged = trained.groupBy("place").agg((F.sum("weight") / F.sum("seen")).alias("weight")).toArrow()
         flat = model.flat()
         flat[averaged["place"].to_numpy()] = averaged["weight"].to_numpy()
