@@ -18,3 +18,6 @@ ODD_TEXTS = (
     None, "", " \t\n", "a", "a", "Ärger im Büro, GROSS!!", "naïve café — 日本語 😀", "x y z " * 4, "word " * 30_000,
     "no break \x1c\x85 lines\nno break \x1c\x85 lines\n", "idiot you are", "<|endoftext|> it's I'LL 'S",
 )
+
+#: Very long texts without a break.
+UNBROKEN_TEXTS = ("a" * 1_000_000, "7" * 1_000_000, "a-" * 500_000, "a1" * 500_000, "a" + "-" * 1_000_000, "a b " * 250_000)

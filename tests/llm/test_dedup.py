@@ -116,3 +116,16 @@ def test_long_chain_is_one_component(spark):
 def test_rows_that_share_a_key(documents):
     docs = documents((1, "a b c d"), (1, "e f g h"), (None, "a b c d"), (None, "i j k l"), (None, "m n o p"))
     assert simhash.drop_near_copies(docs).count() == 4
+
+
+def test_tables_hold_what_they_may():
+    """Short contents and repeated keys count too: the table, not only its texts, is bounded."""
+    import tracemalloc
+
+    limit = 8 << 20
+    for records in (((b"%d" % i, i) for i in range(200_000)), ((b"%d" % (i % 50), i) for i in range(300_000))):
+        tracemalloc.start()
+        total = sum(len(tags) for _, tags in exact_dedup.grace_groups(records, limit))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert total in (200_000, 300_000) and peak < 2.5 * limit

@@ -3,6 +3,8 @@
 import collections
 import math
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from loomset.llm import attention, boosting, language_id, lm_scoring, quality_rules, toxicity
 from loomset.llm.common import fold
 
-from .conftest import ODD_TEXTS
+from .conftest import ODD_TEXTS, UNBROKEN_TEXTS
 
 
 def plain_counts(text):
@@ -261,3 +263,39 @@ def test_every_position_is_labelled_whatever_the_cut():
         if text:
             alone = model.probabilities(np.frombuffer(text, np.uint8).astype(np.int64)[:, None])[:, 0].mean(0)
             assert row == pytest.approx(alone, rel=1e-4) and row.sum() == pytest.approx(1, rel=1e-5)
+
+
+def test_odd_words_are_those_of_the_plain_pattern():
+    plain = re.compile(rb"[a-z]+(?:[0-9@$!|+*._-]+[a-z]+)+|[0-9@$!|+]+[a-z]+[0-9@$!|+a-z]*")
+    rng = random.Random(12)
+    for _ in range(3000):
+        text = bytes(rng.choice(b"ab1@-. *") for _ in range(rng.randrange(40)))
+        assert toxicity._ODD_WORD.findall(text) == plain.findall(text)
+
+
+def test_features_of_unbroken_texts_take_linear_time():
+    for text in UNBROKEN_TEXTS:
+        start = time.perf_counter()
+        toxicity.features(text.encode(), {b"aaaa": 3.0})
+        assert time.perf_counter() - start < 8
+
+
+def test_more_labels_than_a_network_is_wide(spark):
+    """Every label can be predicted, however many there are and however rare one is."""
+    rows = [(chr(0x4E00 + k) * 30 + str(i), f"l{k:03d}") for k in range(70) for i in range(3)]
+    labelled = spark.createDataFrame([*rows, ("rare \u1234 text", "once")], "text string, lang string")
+    model = language_id.fit(labelled)
+    assert model.languages == sorted({lang for _, lang in rows} | {"once"})
+    few = language_id.fit(labelled, total=71)
+    assert few.languages == model.languages
+
+
+def test_copies_count_once_and_never_lie_in_both_halves(spark, documents, monkeypatch):
+    texts = [f"word{i} " * 3 + " ".join(f"t{i}x{j}" for j in range(30)) for i in range(12)]
+    docs = documents(*((100 * c + i, t) for i, t in enumerate(texts) for c in range(5)))
+    labels = spark.createDataFrame([(100 * c + i, int(i < 6 or c > 0)) for i in range(12) for c in range(5)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_rules, "choose_cutoffs", lambda labelled, *_: seen.extend(labelled.collect()) or [])
+    quality_rules.judge(docs, labels)
+    assert len(seen) == len({r["text_hash"] for r in seen}) == 12
+    assert sum(r["good"] for r in seen) == 6  # one bad copy makes the text bad

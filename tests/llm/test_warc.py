@@ -69,3 +69,27 @@ def test_small_payloads_and_empty_tables(spark):
     where = scratch(spark, "warc")
     warc.write_archive(pages.where("false"), where)
     assert warc.read_archive(spark, where).count() == 0
+
+
+def test_record_ids_are_unique_and_references_are_checked(spark, archive):
+    parsed = [warc.parse_record(bytes(r.record))[0] for r in warc.read_records(spark, archive).collect()]
+    ids = [fields["WARC-Record-ID"] for fields in parsed]
+    assert len(set(ids)) == len(ids)
+    holders = {f["WARC-Record-ID"] for f in parsed if f["WARC-Type"] == "response"}
+    assert all(f["WARC-Refers-To"] in holders for f in parsed if f["WARC-Type"] == "revisit")
+    assert any(f["WARC-Target-URI"].startswith("http://a.b/0%0D%0AX:%20y") for f in parsed)
+    broken = scratch(spark, "broken")
+    spark.read.parquet(f"{archive}/payloads").write.parquet(f"{broken}/payloads")
+    headers = spark.read.parquet(f"{archive}/headers")
+    other = F.when(F.col("record_type") == "revisit", F.lit(12345)).cast("long")
+    headers.withColumn("refers_to", other).write.parquet(f"{broken}/headers")
+    with pytest.raises(PySparkException, match="does not match"):
+        warc.read_archive(spark, broken).collect()
+
+
+def test_rows_that_repeat_a_page_have_one_response(spark):
+    pages = spark.range(50).selectExpr("7 as page_id", "'u' as url", "'same' as html")
+    where = scratch(spark, "warc")
+    warc.write_archive(pages, where)
+    rows = warc.read_archive(spark, where).collect()
+    assert sorted((r.record_type, r.refers_to) for r in rows) == [("response", None)] + [("revisit", 7)] * 49
