@@ -36,7 +36,7 @@ DATE = "1970-01-01T00:00:00Z"
 
 
 _UNSAFE = re.compile(rb"[\x00-\x20\x7f]")
-_DIGESTED = "id long, place long, uri binary, payload binary, payload_bytes long, payload_digest string, address binary"
+_DIGESTED = "id long, place long, uri binary, payload_bytes long, payload_digest string, address binary"
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,10 +52,10 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             uri.append(_UNSAFE.sub(lambda sign: b"%%%02X" % sign[0][0], raw))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("id"), batch.column("place"), pa.array(uri, pa.binary()), batch.column("payload"),
+                batch.column("id"), batch.column("place"), pa.array(uri, pa.binary()),
                 pa.array(size, pa.int64()), pa.array(sha1, pa.string()), pa.array(sha256, pa.binary()),
             ],
-            names=["id", "place", "uri", "payload", "payload_bytes", "payload_digest", "address"],
+            names=["id", "place", "uri", "payload_bytes", "payload_digest", "address"],
         )
 
 
@@ -100,11 +100,11 @@ def _header_block() -> Column:
 def write_archive(pages: DataFrame, location: str, least: int = 0, key: str = "page_id", payload: str = "html") -> None:
     """Store ``payloads`` (address, bytes once) and ``headers`` (one per page) below ``location``.
 
-    Payloads are digested once and stored beside. One aggregate finds a payload's bytes and the row
-    that holds it: of its copies the one with the largest id, then address of the page, then place in
-    the input; copies within an input partition meet before any row moves. Headers then take the holder
-    by a narrow join. Its key repeats on one side only and nothing after it needs that partitioning, so
-    adaptive execution may split a payload that a third of all pages share.
+    One aggregate finds the bytes of each payload, another, on rows without payloads, the row that holds
+    it: of its copies the one with the largest id, then address of the page, then place in the input.
+    Copies within an input partition meet before any row moves. Headers then take the holder by a narrow
+    join. Its key repeats on one side only, both sides are read from storage and nothing after it needs
+    their partitioning, so adaptive execution may split a payload that a third of all pages share.
     """
     spark = pages.sparkSession
     source = pages.select(
@@ -112,12 +112,11 @@ def write_archive(pages: DataFrame, location: str, least: int = 0, key: str = "p
         F.col("url").cast("string").alias("url"), text_bytes(F.col(payload)).alias("payload"),
     )
     digested = stored(source.mapInArrow(_digests, _DIGESTED), "digested-pages")
+    payloads = source.select(F.unhex(F.sha2("payload", 256)).alias("address"), "payload")
+    payloads.groupBy("address").agg(F.first("payload").alias("payload")).write.parquet(f"{location}/payloads")
     order = F.struct(F.col("id").isNotNull().alias("known"), "id", "uri", "place")
-    digested.groupBy("address").agg(
-        F.first("payload").alias("payload"), F.max(order).alias("holder")
-    ).write.parquet(f"{location}/payloads")
-    holders = spark.read.parquet(f"{location}/payloads").select("address", "holder")
-    joined = digested.drop("payload").join(holders, "address")
+    holders = stored(digested.groupBy("address").agg(F.max(order).alias("holder")), "payload-holders")
+    joined = digested.join(holders, "address")
     at_holder = F.col("place") == F.col("holder.place")
     small = F.col("payload_bytes") < least
     typed = joined.withColumn("at_holder", at_holder).withColumn(
@@ -139,7 +138,7 @@ def read_records(spark: SparkSession, location: str) -> DataFrame:
     ``payload`` is the page's payload in either case.
     """
     headers = spark.read.parquet(f"{location}/headers")
-    payloads = spark.read.parquet(f"{location}/payloads").drop("holder")
+    payloads = spark.read.parquet(f"{location}/payloads")
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return headers.join(payloads, "address").select(
         "id", "address", "place", "refers_to", "payload",
