@@ -3,9 +3,9 @@
 Every word occurrence is the pointer to a suffix of its piece of text, read to ``most`` words at most.
 Words are counted first. Suffixes are then routed over the whole table by their leading words: by the
 first word; where that word alone is too frequent for one task, by the first two; and so on. A word or
-phrase is routed deeper if it is counted more than ``max(GROUP, words / FANOUT)`` times; there are at
-most ``FANOUT`` such per length, which bounds the broadcast that tells them, and what shares a route is
-few, whatever the skew. Leading words that are infrequent are abandoned here, as far as a bitmap of
+phrase is routed deeper if it makes up at least one in ``FANOUT`` of all words; there are at most so
+many per length, which bounds the broadcast that tells them, and no route has a larger share of the
+table, whatever the skew. Leading words that are infrequent are abandoned here, as far as a bitmap of
 fixed size can tell them. A task counts the equal suffixes of a portion before it sends them, so a
 phrase that is repeated a lot, copies of whole texts included, moves once per portion. A portion's
 suffixes for one task travel as one row: its words, once, and numbers into them.
@@ -46,9 +46,8 @@ INSIDE = 50
 SCALE = 1_000_000
 #: Words that a task counts at once.
 PORTION = 1 << 19
-#: Pointers that may share a route in any case, and phrases per length that may be routed deeper.
-GROUP = 1 << 18
-FANOUT = 1 << 20
+#: Phrases per length that may be routed deeper, since each is at least that share of all words.
+FANOUT = 1 << 17
 #: Words per sorting task.
 SORTED = 1 << 20
 #: Pointers that are sorted without further partitioning.
@@ -220,28 +219,35 @@ class Routing:
         wanted[0] = False
         return hashes, wanted
 
+    def hot(self, portion: _Portion, names: list[str], of: np.ndarray) -> np.ndarray:
+        """Which words of a portion are heavy."""
+        known = self.heavy[0] if self.heavy else ()
+        found = np.array([(names[k], w) in known for w, k in zip(portion.words, of.tolist())], bool)
+        found[0] = False
+        return found
+
     def depth(self, portion: _Portion, names: list[str], of: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
         """By how many leading words each suffix is routed."""
-        depth, words = np.ones(len(columns[0]), np.int64), portion.words
-        rows = np.arange(len(depth))
-        for length, heavy in enumerate(self.heavy, 1):
-            prefixes = zip(*(column[rows].tolist() for column in columns[:length]))
-            lang = of[columns[0][rows]].tolist()
-            deep = [(names[k], *(words[i] for i in own)) in heavy for k, own in zip(lang, prefixes)]
-            rows = rows[np.array(deep, bool)]
+        depth, hot = np.ones(len(columns[0]), np.int64), self.hot(portion, names, of)
+        rows = np.flatnonzero(hot[columns[0]])
+        depth[rows] = 1 + bool(self.heavy)
+        for length, heavy in enumerate(self.heavy[1:], 2):
+            # All words of a heavy phrase are heavy; equal prefixes are asked for once.
+            rows = rows[hot[columns[length - 1][rows]]]
+            prefixes, at = np.unique(np.stack([column[rows] for column in columns[:length]], 1), axis=0, return_inverse=True)
+            langs = of[prefixes[:, 0]].tolist()
+            deep = [(names[k], *(portion.words[i] for i in own)) in heavy for k, own in zip(langs, prefixes.tolist())]
+            rows = rows[np.array(deep, bool)[at.ravel()]]
             depth[rows] = length + 1
         return depth
 
 
 def _heavier(batches: Iterator[pa.RecordBatch], routing: Routing, size: int) -> Iterator[pa.RecordBatch]:
-    """Counts of what follows the heavy phrases of greatest length, one word longer."""
+    """Counts of the heavy phrases of greatest length with one heavy word more."""
     length = len(routing.heavy) + 1
     for portion in _portions(batches, length, size):
         names, of = portion.langs()
-        _, wanted = routing.marked(portion, names, of)
-        columns, n = portion.suffixes(wanted)
-        if not len(n):
-            continue
+        columns, n = portion.suffixes(routing.hot(portion, names, of))
         rows = np.flatnonzero((routing.depth(portion, names, of, columns) == length) & (columns[-1] > 0))
         words = pa.array(portion.words, pa.binary())
         yield pa.RecordBatch.from_arrays(
@@ -376,18 +382,18 @@ def _sorted(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterato
 
 def count_phrases(
     docs: DataFrame, words: DataFrame, total: int, most: int = MOST, least: int = LEAST,
-    size: int = PORTION, group: int = GROUP, bits: int = BITS,
+    size: int = PORTION, fanout: int = FANOUT, bits: int = BITS,
 ) -> DataFrame:
     """``(lang, parts, f)`` of all phrases of 2 to ``most`` words counted ``least`` times or more.
 
     ``words`` as :func:`count_words` gives them, stored; ``total`` is the sum of their counts.
     """
-    texts, limit = _texts(docs), max(group, -(-total // FANOUT), least)
+    texts, limit = _texts(docs), max(-(-total // fanout), least)
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SORTED))
     routing = Routing(frequent_bits(words, least, bits), tasks)
     heavy, known = words.where(F.col("n") >= limit), []
     for length in range(1, most):
-        rows = heavy.select("lang", *_names(length)).collect()  # at most FANOUT
+        rows = heavy.select("lang", *_names(length)).collect()  # at most fanout
         if not rows:
             break
         routing.heavy.append({(lang, *map(bytes, own)) for lang, *own in rows})
@@ -422,7 +428,7 @@ def _look_up(rows: DataFrame, part: str, counts: DataFrame, heavy: DataFrame, na
 
 def mine(
     docs: DataFrame, most: int = MOST, least: int = LEAST, top: int = TOP, inside: int = INSIDE,
-    size: int = PORTION, group: int = GROUP,
+    size: int = PORTION, fanout: int = FANOUT,
 ) -> DataFrame:
     """The ``top`` firmest phrases per language: lang, rank, phrase, a, l, r, n, score.
 
@@ -431,12 +437,12 @@ def mine(
     """
     words = stored(count_words(docs, size), "words")
     total = words.agg(F.sum("n")).first()[0] or 0
-    phrases = stored(count_phrases(docs, words, total, most, least, size, group), "phrases").select(
+    phrases = stored(count_phrases(docs, words, total, most, least, size, fanout), "phrases").select(
         "lang", _phrase(F.col("parts")).alias("phrase"), "parts", F.size("parts").alias("size"), F.col("f").alias("a")
     )
     single = words.where(F.col("n") >= least).select("lang", F.col("w1").cast("string").alias("phrase"), F.col("n").alias("f"))
     counts = single.unionByName(phrases.where(F.col("size") < most).select("lang", "phrase", F.col("a").alias("f")))
-    heavy = F.col("f") >= max(group, -(-total // FANOUT), least)
+    heavy = F.col("f") >= max(-(-total // fanout), least)
 
     cuts = phrases.select("lang", "phrase", "a", "parts", "size", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.select(
@@ -461,6 +467,6 @@ def mine(
             F.coalesce(100 * F.col("longer") < inside * F.col("cut.a"), F.lit(True))
         )
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = weakest.select("lang", "phrase", "cut.*").withColumn("rank", F.row_number().over(order).cast("long"))
+    ranked = weakest.select("lang", "phrase", "cut.*").withColumn("rank", F.row_number().over(order))
     per_lang = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    return ranked.where(F.col("rank") <= top).join(per_lang, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.where(F.col("rank") <= top).join(per_lang, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -55,27 +55,27 @@ def made(seed, n=90):
         yield rng.choice(["en", "de", None]), "".join(rng.choice(words) + rng.choice(signs) for _ in range(rng.randrange(160)))
 
 
-@pytest.mark.parametrize("group", [20, 60, 1 << 18])
-def test_equals_brute_force(spark, documents, group):
-    """Small groups send words and pairs into deeper routes; small portions cut texts."""
+@pytest.mark.parametrize("fanout", [1 << 17, 100, 1])
+def test_equals_brute_force(spark, documents, fanout):
+    """A large fan-out sends words and pairs into deeper routes; small portions cut texts."""
     rows = [*made(1), *((None, t) for t in ODD_TEXTS if t is None or len(t) < 1000), ("en", "The the THE " * 300)]
     docs = documents(*((i, t, lang) for i, (lang, t) in enumerate(rows)))
     expected = plain(rows)
     assert len(expected) > 20
-    assert found(docs, group=group, size=50 if group == 20 else 1 << 18) == expected
+    assert found(docs, fanout=fanout, size=50 if fanout == 100 else 1 << 18) == expected
 
 
 def test_longer_phrases_fewer_ranks_and_other_minima(spark, documents):
     rows = list(made(2))
     docs = documents(*((i, t, lang) for i, (lang, t) in enumerate(rows)))
     for most, least, top in ((2, 3, 7), (4, 5, 2000)):
-        assert found(docs, most=most, least=least, top=top, group=30) == plain(rows, most, least, top)
+        assert found(docs, most=most, least=least, top=top, fanout=200) == plain(rows, most, least, top)
 
 
 def test_one_phrase_is_a_third_of_all(spark, documents):
     rows = [("en", " ".join(f"hot pair w{i} x{i % 50}" for i in range(k, k + 400))) for k in range(0, 2000, 400)]
     docs = documents(*((i, t, lang) for i, (lang, t) in enumerate(rows)))
-    assert found(docs, group=100, size=300) == plain(rows)
+    assert found(docs, fanout=80, size=300) == plain(rows)
 
 
 def test_large_products_are_exact(spark):
