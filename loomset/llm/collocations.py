@@ -226,18 +226,21 @@ class Routing:
         found[0] = False
         return found
 
-    def depth(self, portion: _Portion, names: list[str], of: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
-        """By how many leading words each suffix is routed."""
-        depth, hot = np.ones(len(columns[0]), np.int64), self.hot(portion, names, of)
+    def depth(self, portion: _Portion, names: list[str], of: np.ndarray, columns: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
+        """By how many leading words each suffix is routed. Suffixes come sorted, so equal prefixes are
+        neighbours and each is asked for once."""
+        depth = np.ones(len(columns[0]), np.int64)
         rows = np.flatnonzero(hot[columns[0]])
         depth[rows] = 1 + bool(self.heavy)
         for length, heavy in enumerate(self.heavy[1:], 2):
-            # All words of a heavy phrase are heavy; equal prefixes are asked for once.
-            rows = rows[hot[columns[length - 1][rows]]]
-            prefixes, at = np.unique(np.stack([column[rows] for column in columns[:length]], 1), axis=0, return_inverse=True)
-            langs = of[prefixes[:, 0]].tolist()
-            deep = [(names[k], *(portion.words[i] for i in own)) in heavy for k, own in zip(langs, prefixes.tolist())]
-            rows = rows[np.array(deep, bool)[at.ravel()]]
+            rows = rows[hot[columns[length - 1][rows]]]  # all words of a heavy phrase are heavy
+            prefix = [column[rows] for column in columns[:length]]
+            new = np.ones(len(rows), bool)
+            new[1:] = np.any([column[1:] != column[:-1] for column in prefix], axis=0)
+            words = [column[new].tolist() for column in prefix]
+            langs = of[prefix[0][new]].tolist()
+            deep = [(names[k], *(portion.words[i] for i in own)) in heavy for k, *own in zip(langs, *words)]
+            rows = rows[np.repeat(np.array(deep, bool), np.diff(np.flatnonzero(new), append=len(rows)))]
             depth[rows] = length + 1
         return depth
 
@@ -247,8 +250,9 @@ def _heavier(batches: Iterator[pa.RecordBatch], routing: Routing, size: int) ->
     length = len(routing.heavy) + 1
     for portion in _portions(batches, length, size):
         names, of = portion.langs()
-        columns, n = portion.suffixes(routing.hot(portion, names, of))
-        rows = np.flatnonzero((routing.depth(portion, names, of, columns) == length) & (columns[-1] > 0))
+        hot = routing.hot(portion, names, of)
+        columns, n = portion.suffixes(hot)
+        rows = np.flatnonzero((routing.depth(portion, names, of, columns, hot) == length) & (columns[-1] > 0))
         words = pa.array(portion.words, pa.binary())
         yield pa.RecordBatch.from_arrays(
             [
@@ -267,7 +271,7 @@ def _routed(batches: Iterator[pa.RecordBatch], routing: Routing, most: int, size
         names, of = portion.langs()
         hashes, wanted = routing.marked(portion, names, of)
         columns, n = portion.suffixes(wanted)
-        depth = routing.depth(portion, names, of, columns)
+        depth = routing.depth(portion, names, of, columns, routing.hot(portion, names, of))
         route = np.zeros(len(n), np.uint64)
         whole = np.ones(len(n), bool)
         for k, column in enumerate(columns):
