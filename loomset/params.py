@@ -10,6 +10,7 @@ from typing import Any
 from loomset.errors import ConfigError
 from loomset.functions.chat import TEMPLATES, ChatTemplate
 from loomset.operators.rouge import METRICS
+from loomset.sources.writer import COMPRESSIONS
 
 # The defaults of the jobs.
 SYSTEM_PROMPT = (
@@ -50,6 +51,10 @@ class DatasetParams:
     schema: str | None = None
     # False saves only key, text, prompt and target.
     keep_source: bool = True
+    # Form of the splits: "json" is JSON Lines; of "parquet", a job reads only the columns it needs.
+    file_format: str = "json"
+    # None is Spark's own choice. Lines under gzip or deflate cannot be split between tasks.
+    compression: str | None = None
 
     def __post_init__(self) -> None:
         shares = (self.train_split, self.val_split, self.test_split)
@@ -57,6 +62,11 @@ class DatasetParams:
             raise ConfigError(f"Split shares must be positive and sum to 1, not {shares}")
         if self.template is not None and self.template not in TEMPLATES:
             raise ConfigError(f"Unknown template '{self.template}'; known: {sorted(TEMPLATES)}")
+        if self.file_format not in COMPRESSIONS:
+            raise ConfigError(f"Unknown file_format '{self.file_format}'; known: {sorted(COMPRESSIONS)}")
+        known = COMPRESSIONS[self.file_format]
+        if self.compression is not None and self.compression not in known:
+            raise ConfigError(f"Unknown compression '{self.compression}'; known: {known}")
 
     @property
     def chat_template(self) -> ChatTemplate | None:

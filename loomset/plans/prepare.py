@@ -92,8 +92,10 @@ def prepare_rows(
             split,
             params.processed_dir,
             sizes.as_dict(),
-            lambda: _check_written(split, params.processed_dir, sizes.as_dict(), written.get),
+            lambda found: _check_written(found, sizes.as_dict(), written.get),
             job_name(params, counter),
+            params.file_format,
+            params.compression,
         )
     finally:
         storage.remove(spark, keys_dir)
@@ -127,13 +129,10 @@ def _kept_rows(
     return hashed.join(passed, "_hash", "left_semi").drop("_hash")
 
 
-def _check_written(
-    written: DataFrame, directory: str, planned: dict[str, int], observed: dict[str, int]
-) -> None:
+def _check_written(rows: DataFrame, planned: dict[str, int], observed: dict[str, int]) -> None:
     """Written rows must be the planned ones; a recount settles a count blurred by task retries."""
     if observed == planned:
         return
-    rows = written.sparkSession.read.schema(written.schema).json(directory.rstrip("/"))
     counts = splitting.split_sizes(rows).collect()
     found = {name: 0 for name in planned} | {row["split"]: row["rows"] for row in counts}
     if found != planned:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomset.errors import SplitMismatchError
 from loomset.functions import chat, text, tokens
 from loomset.operators import comparing, gates, predicting, profiling, rouge, splitting
 from loomset.operators.formatting import drop_long_rows, format_rows, measure_rows
@@ -71,9 +74,9 @@ def _params(directory: str) -> DatasetParams:
     )
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> DatasetParams:
+def _prepared(spark: SparkSession, sf_dir: str, **form: str) -> DatasetParams:
     """Run the prepare job into a new scratch directory."""
-    params = _params(scratch(spark, "splits"))
+    params = replace(_params(scratch(spark, "splits")), **form)
     prepare_rows(instruction_rows(spark, sf_dir), params)
     return params
 
@@ -123,6 +126,27 @@ def split_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_splits(spark, params.processed_dir).select(KEY, "split", "text", "prompt", "target")
 
 
+@query
+def split_reload_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with splits in compressed Parquet, of which only these columns are read."""
+    params = _prepared(spark, sf_dir, file_format="parquet", compression="zstd")
+    return load_splits(spark, params.processed_dir).select(KEY, "split", "text", "prompt", "target")
+
+
+@query
+def split_redo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forced redo that fails after writing; the splits of the job before it are read."""
+    params = _prepared(spark, sf_dir, compression="gzip")
+    rows = load_splits(spark, params.processed_dir)
+
+    def refuse(_written: DataFrame) -> None:
+        raise SplitMismatchError("the source changed")
+
+    with suppress(SplitMismatchError):
+        write_splits(rows.where(F.col("split") != "train"), params.processed_dir, check=refuse)
+    return load_splits(spark, params.processed_dir).select(KEY, "split", "text", "prompt", "target")
+
+
 # --- projections ---------------------------------------------------------------------------
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,8 +13,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from loomset.errors import DatasetLoadError, MissingSplitError
 from loomset.operators.identity import KEY, content_key
-from loomset.sources.storage import exists, first_visible_byte, read_text
-from loomset.sources.writer import SCHEMA_FILE, SIZES_FILE, splits_finished
+from loomset.sources.storage import exists, first_visible_byte
+from loomset.sources.writer import last_commit, read_commit
 
 # The fields of an instruction row.
 FIELDS = ("instruction", "context", "response", "output")
@@ -96,12 +95,11 @@ def load_test_file(spark: SparkSession, path: str, key: str | None = None) -> Da
 
 
 def load_splits(spark: SparkSession, directory: str) -> DataFrame:
-    """All finished splits; filter on ``split`` to read only that part's files."""
-    where = directory.rstrip("/")
-    if not splits_finished(spark, where):
+    """All splits of the last finished writing; filter on ``split`` to read only that part's files."""
+    commit = last_commit(spark, directory)
+    if commit is None:
         raise MissingSplitError(directory)
-    schema = StructType.fromJson(json.loads(read_text(spark, f"{where}/{SCHEMA_FILE}")))
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(where)
+    return read_commit(spark, directory, commit)
 
 
 def load_split(spark: SparkSession, directory: str, split: str) -> DataFrame:
@@ -111,8 +109,7 @@ def load_split(spark: SparkSession, directory: str, split: str) -> DataFrame:
 
 def load_sizes(spark: SparkSession, directory: str) -> DataFrame:
     """``(split, rows)`` of finished splits, as saved with them or else counted."""
-    saved = f"{directory.rstrip('/')}/{SIZES_FILE}"
-    if not exists(spark, saved):
+    commit = last_commit(spark, directory)
+    if commit is None or commit.sizes is None:
         return load_splits(spark, directory).groupBy("split").agg(F.count("*").alias("rows"))
-    sizes = json.loads(read_text(spark, saved))
-    return spark.createDataFrame(list(sizes.items()), "split string, rows long")
+    return spark.createDataFrame(list(commit.sizes.items()), "split string, rows long")

@@ -48,8 +48,32 @@ def read_text(spark: SparkSession, location: str) -> str:
         stream.close()
 
 
+def publish(spark: SparkSession, location: str, text: str) -> None:
+    """Write a file that is seen whole or not at all; one that is there is an error.
+
+    It is written under a hidden name and renamed.
+    """
+    folder, name = location.rsplit("/", 1)
+    hidden = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    write_text(spark, hidden, text)
+    filesystem, path = _path(spark, location)
+    source = spark._jvm.org.apache.hadoop.fs.Path(hidden)
+    if filesystem.exists(path) or not filesystem.rename(source, path):
+        filesystem.delete(source, False)
+        raise FileExistsError(f"{location} was written by another job meanwhile")
+
+
+def names_in(spark: SparkSession, directory: str) -> list[str]:
+    """Names in a directory, but for hidden ones; none if there is no such directory."""
+    filesystem, path = _path(spark, directory)
+    if not filesystem.exists(path):
+        return []
+    names = [status.getPath().getName() for status in filesystem.listStatus(path)]
+    return sorted(name for name in names if name[0] not in "._")
+
+
 def remove(spark: SparkSession, directory: str) -> None:
-    """Delete a scratch directory made by :func:`scratch`."""
+    """Delete a file, or a directory with all it holds."""
     filesystem, path = _path(spark, directory)
     filesystem.delete(path, True)
 

@@ -87,7 +87,7 @@ def test_finished_splits_are_kept_unless_forced(spark, tmp_path):
     assert prepare(spark, given).count() == 50
     rows_of(spark, 60).write.mode("overwrite").parquet(str(tmp_path / "a.parquet"))
     assert prepare(spark, given).count() == 50
-    (tmp_path / "s" / "_SUCCESS").unlink()
+    (tmp_path / "s" / "_commits" / "00000001.json").unlink()
     assert prepare(spark, given).count() == 60
     rows_of(spark, 70).write.mode("overwrite").parquet(str(tmp_path / "a.parquet"))
     assert prepare(spark, given, force=True).count() == 70
@@ -121,9 +121,9 @@ def test_unequal_passes_are_noticed(spark, tmp_path):
     written = str(tmp_path / "splits")
     planned = {"train": 40, "validation": 5, "test": 5}
     done = load_splits(spark, written)
-    prepare_module._check_written(done, written, planned, {"train": 41, "validation": 5, "test": 5})
+    prepare_module._check_written(done, planned, {"train": 41, "validation": 5, "test": 5})
     with pytest.raises(SplitMismatchError):
-        prepare_module._check_written(done, written, planned | {"train": 39}, planned)
+        prepare_module._check_written(done, planned | {"train": 39}, planned)
     assert not exists(spark, out)
 
 

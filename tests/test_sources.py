@@ -9,8 +9,8 @@ from loomset.errors import ConfigError, DatasetLoadError, MissingSplitError
 from loomset.params import DatasetParams
 from loomset.plans.prepare import prepare
 from loomset.sources.reader import load_rows, load_sizes, load_split, load_splits
-from loomset.sources.storage import scratch
-from loomset.sources.writer import require_free_name, write_small, write_splits
+from loomset.sources.storage import publish, read_text, scratch
+from loomset.sources.writer import require_free_name, splits_mark, write_small, write_splits
 
 ROWS = [
     {"instruction": "a", "context": None, "response": "b", "category": "x"},
@@ -96,7 +96,7 @@ def test_round_trip_keeps_nulls_types_and_lines(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
     stored = [
         json.loads(line)
-        for file in (tmp_path / "splits").glob("split=*/*.json")
+        for file in (tmp_path / "splits").glob("data-*/split=*/*.json")
         for line in file.read_text(encoding="utf-8").splitlines()
     ]
     assert all(set(row) == {"example_id", "context", "text", "ids"} for row in stored)
@@ -117,7 +117,7 @@ def test_missing_or_half_written_splits(spark, tmp_path):
     with pytest.raises(MissingSplitError, match="prepare job"):
         load_splits(spark, str(tmp_path / "none"))
     write_splits(spark.range(3).withColumn("split", F.lit("train")), str(tmp_path / "half"))
-    (tmp_path / "half" / "_schema.json").unlink()
+    (tmp_path / "half" / "_commits" / "00000001.json").unlink()
     with pytest.raises(MissingSplitError):
         load_split(spark, str(tmp_path / "half"), "train")
 
@@ -133,6 +133,83 @@ def test_overwrite_leaves_no_old_split(spark, tmp_path):
     assert [r.split for r in load_splits(spark, out).select("split").distinct().collect()] == ["train"]
 
 
+@pytest.mark.parametrize("file_format, compression", [("json", "gzip"), ("json", "bzip2"), ("parquet", None), ("parquet", "zstd")])
+def test_form_and_compression(spark, tmp_path, file_format, compression):
+    frame = spark.createDataFrame(
+        [(1, None, "a\nb\u3000", [1, None], {"k": 1}, "train"), (2, "", None, None, None, "test")],
+        "example_id long, context string, text string, ids array<int>, m map<string, int>, split string",
+    )
+    out = str(tmp_path / "s")
+    write_splits(frame, out, file_format=file_format, compression=compression)
+    back = load_splits(spark, out)
+    assert back.schema.simpleString() == frame.schema.simpleString()
+    assert sorted(back.collect(), key=lambda r: r.example_id) == sorted(frame.collect(), key=lambda r: r.example_id)
+    ending = {"gzip": ".gz", "bzip2": ".bz2", "zstd": ".zstd.parquet", None: ".parquet"}[compression]
+    files = [f for f in (tmp_path / "s").glob("data-*/split=*/*") if f.name[0] != "."]
+    assert files and all(f.name.endswith(ending) for f in files)
+    write_splits(frame.where("false"), out, file_format=file_format)
+    assert load_splits(spark, out).count() == 0
+
+
+def test_parquet_splits_give_up_single_columns(spark, tmp_path):
+    frame = spark.range(10).select(
+        "id", F.lit("t").alias("text"), F.lit("p").alias("prompt"), F.lit("test").alias("split")
+    )
+    write_splits(frame, str(tmp_path / "s"), file_format="parquet")
+    plan = plan_of(load_split(spark, str(tmp_path / "s"), "test").select("text"))
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "ReadSchema: struct<text:string>" in scan and "split" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_unknown_form_or_compression(spark, tmp_path):
+    for given in ({"file_format": "csv"}, {"compression": "zip"}, {"file_format": "parquet", "compression": "bzip2"}):
+        with pytest.raises(ConfigError):
+            DatasetParams("a", "b", **given)
+    with pytest.raises(ConfigError):
+        write_splits(spark.range(1).withColumn("split", F.lit("test")), str(tmp_path / "s"), compression="zip")
+
+
+def test_a_writing_that_fails_leaves_the_old_splits(spark, tmp_path):
+    out = tmp_path / "s"
+    old = spark.range(4).withColumn("split", F.lit("test"))
+    write_splits(old, str(out))
+    mark = splits_mark(spark, str(out))
+
+    def refuse(rows):
+        assert rows.count() == 2
+        raise ValueError("refused")
+
+    with pytest.raises(ValueError, match="refused"):
+        write_splits(spark.range(2).withColumn("split", F.lit("train")), str(out), check=refuse)
+    broken = spark.range(9).select(F.raise_error(F.lit("lost")).cast("long").alias("id"), F.lit("test").alias("split"))
+    with pytest.raises(Exception, match="lost"):
+        write_splits(broken, str(out))
+    assert sorted(map(tuple, load_splits(spark, str(out)).collect())) == [(i, "test") for i in range(4)]
+    assert splits_mark(spark, str(out)) == mark and len(list(out.glob("data-*"))) == 1
+
+
+def test_a_killed_writing_is_passed_over_and_cleared(spark, tmp_path):
+    out = tmp_path / "s"
+    write_splits(spark.range(4).withColumn("split", F.lit("test")), str(out))
+    # What a killed writer leaves: part of its files, and a commit under its hidden name.
+    (out / "data-killed" / "split=test").mkdir(parents=True)
+    (out / "data-killed" / "split=test" / "part-0.json").write_text('{"id": 9')
+    (out / "_commits" / "_00000002.json.x").write_text('{"data": "data-kil')
+    assert load_splits(spark, str(out)).count() == 4
+    write_splits(spark.range(3).withColumn("split", F.lit("test")), str(out))
+    assert load_splits(spark, str(out)).count() == 3
+    assert len(list(out.glob("data-*"))) == 1
+    assert [f.name for f in (out / "_commits").glob("0*")] == ["00000002.json"]
+
+
+def test_two_commits_of_one_number_are_refused(spark, tmp_path):
+    where = f"{tmp_path}/c/1.json"
+    publish(spark, where, "a")
+    with pytest.raises(FileExistsError):
+        publish(spark, where, "b")
+    assert read_text(spark, where) == "a" and [f.name for f in (tmp_path / "c").iterdir() if f.name[0] != "."] == ["1.json"]
+
+
 def test_sizes_saved_or_counted(spark, tmp_path):
     rows = spark.range(4).withColumn("split", F.lit("test"))
     for name, known in (("a", {"train": 0, "validation": 0, "test": 4}), ("b", None)):
