@@ -4,7 +4,8 @@ Fingerprints are compared with exclusive-or and bit counts in numpy. Distinct fi
 tiled by the population counts of their four 16-bit quarters. The distance of two fingerprints is
 at least the sum of the differences of these counts, so a pair of tiles beyond the radius is never
 met; inside a pair of tiles the counts of the eight bytes rule out blocks in the same way. Nothing
-else is skipped, so no link is lost.
+else is skipped, so no link is lost. A tile with more than ``CHUNK`` fingerprints, or more that come to be
+compared with it, is dealt into chunks by hash, and every pair of chunks is a piece of work of its own.
 
 A task keeps of the links it finds a spanning forest only, enough for the components and never
 more than one link per fingerprint that it has seen. Components are then found by hooking and
@@ -33,6 +34,9 @@ SEED = 42
 _QUARTERS, _BYTES = 4, 8
 #: Rows of a tile that are compared at once: 2 MB of distances per step.
 BLOCK = 512
+#: Fingerprints of one side that a piece of work compares at most, but for the chance of the hash.
+CHUNK = 1 << 17
+_CHUNK_BITS = 21
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -94,24 +98,81 @@ def _steps(radius: int) -> np.ndarray:
     return near[len(near) // 2 :]  # lexicographic order is symmetric about the zero step
 
 
-def _to_tiles(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint as host in its own tile and as guest in the tiles it must be compared with."""
+def _occupied_tiles(prints: DataFrame, radius: int, chunk: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tiles that have hosts, sorted, and into how many chunks the hosts and the guests of each go.
+
+    Counts per tile reach the driver: there are 17^4 tiles at most, however many fingerprints.
+    """
+    quarters = [F.bit_count(F.shiftrightunsigned("print", 16 * k).bitwiseAND(F.lit(0xFFFF))) for k in range(_QUARTERS)]
+    named = [q.alias(f"q{k}") for k, q in enumerate(quarters)]
+    hosts = np.zeros([17 + 2 * radius] * _QUARTERS, np.int64)
+    for *place, n in prints.groupBy(*named).agg(F.count("*")).collect():
+        hosts[tuple(radius + c for c in place)] = n
+    guests = np.zeros_like(hosts)
+    for step in _steps(radius)[1:]:
+        # The margin as wide as the radius is empty, so nothing comes round at the other end.
+        guests += np.roll(hosts, step, axis=tuple(range(_QUARTERS)))
+    place = np.nonzero(hosts)
+    tiles = _tile(np.stack(place, 1) - radius)
+    chunks = np.maximum(1, -(-np.stack([hosts[place], guests[place]], 1) // chunk)).astype(np.int32)
+    order = np.argsort(tiles)
+    return tiles[order], chunks[order]
+
+
+def _spread(repeats: np.ndarray, bound: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions repeated so many times, with the number of the repeat, in bounded pieces."""
+    ends = np.cumsum(repeats)
+    for at in range(0, int(ends[-1]) if len(ends) else 0, bound):
+        every = np.arange(at, min(at + bound, int(ends[-1])))
+        row = np.searchsorted(ends, every, side="right")
+        yield row, every - (ends - repeats)[row]
+
+
+def _cell(tile: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Number of a piece of work: hosts of the first chunk, and what the second holds."""
+    return (tile << 2 * _CHUNK_BITS) | (first << _CHUNK_BITS) | second
+
+
+def _to_tiles(
+    batches: Iterator[pa.RecordBatch], radius: int, occupied: np.ndarray, chunks: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint as host in its own tile and as guest in the tiles it must be compared with.
+
+    Tiles without a host get no guests. A tile with h chunks of hosts and g of guests has the cells (i, i), hosts among themselves and
+    with the first chunk of guests; (i, j) for i < j < h, hosts with hosts; and (i, h + q), hosts
+    with a later chunk of guests.
+    """
     steps = _steps(radius)[1:]
+
+    def place(tile: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(occupied, tile), len(occupied) - 1)
+
+    def rows(cell: np.ndarray, prints: np.ndarray, host: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cell), pa.array(prints.view(np.int64)), pa.array(host)], names=["cell", "print", "host"]
+        )
+
     for batch in batches:
         prints = batch.column("print").to_numpy().view(np.uint64)
         for at in range(0, len(prints), 4096):
             part = prints[at : at + 4096]
+            dealt = ((part * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64)
             counts = _counts(part, _QUARTERS)
+            tile = _tile(counts)
+            h, g = chunks[place(tile)].T.astype(np.int64)
+            for row, k in _spread(h + g - 1):
+                own, later = dealt[row] % h[row], k >= h[row]
+                other = k + later  # a later chunk of guests is h + 1 on
+                yield rows(_cell(tile[row], np.minimum(own, other), np.maximum(own, other)), part[row], other >= own)
             goals = counts[:, None, :] + steps[None].astype(np.int8)
-            row, step = np.nonzero(((goals >= 0) & (goals <= 16)).all(-1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([_tile(counts), _tile(goals[row, step])])),
-                    pa.array(np.concatenate([part, part[row]]).view(np.int64)),
-                    pa.array(np.r_[np.ones(len(part), bool), np.zeros(len(row), bool)]),
-                ],
-                names=["tile", "print", "host"],
-            )
+            guest, step = np.nonzero(((goals >= 0) & (goals <= 16)).all(-1))
+            tile = _tile(goals[guest, step])
+            at_home = occupied[place(tile)] == tile
+            guest, tile = guest[at_home], tile[at_home]
+            h, g = chunks[place(tile)].T.astype(np.int64)
+            for row, k in _spread(h):
+                own = dealt[guest[row]] % g[row]
+                yield rows(_cell(tile[row], k, np.where(own == 0, k, h[row] + own)), part[guest[row]], np.zeros(len(row), bool))
 
 
 class Forest:
@@ -149,8 +210,8 @@ class Forest:
         self.label = new[self.label]
 
 
-def compare_tiles(hosts: np.ndarray, guests: np.ndarray, radius: int = RADIUS, block: int = BLOCK) -> list[tuple[int, int]]:
-    """A spanning forest of the links among hosts and between hosts and guests.
+def compare_tiles(hosts: np.ndarray, guests: np.ndarray, radius: int = RADIUS, block: int = BLOCK, among: bool = True) -> list[tuple[int, int]]:
+    """A spanning forest of the links ``among`` hosts and between hosts and guests.
 
     Both sides are sorted by the counts of their bytes, cut into blocks, and a pair of blocks whose
     ranges of counts are further apart than the radius is skipped.
@@ -172,7 +233,7 @@ def compare_tiles(hosts: np.ndarray, guests: np.ndarray, radius: int = RADIUS, b
         apart = np.maximum(0, np.maximum(low - most, least - high)).sum(1)
         for other in np.flatnonzero(apart <= radius):
             b0, b1 = bounds[other][:2]
-            if other < own:
+            if other < own or not (among or b0 >= len(hosts)):
                 continue
             near = np.bitwise_count(every[a0:a1, None] ^ every[None, b0:b1]) <= radius
             left, right = np.nonzero(near)
@@ -182,37 +243,43 @@ def compare_tiles(hosts: np.ndarray, guests: np.ndarray, radius: int = RADIUS, b
 
 
 def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by tile: one tile's hosts and guests at a time, across batches."""
+    """Rows come sorted by cell: one cell's hosts and guests at a time, across batches."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    mask = (1 << _CHUNK_BITS) - 1
 
-    def links(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def links(cell: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         prints = np.concatenate([p for p, _ in parts]).view(np.uint64)
         host = np.concatenate([h for _, h in parts])
-        found = compare_tiles(prints[host], prints[~host], radius) if host.any() else []
+        among = cell >> _CHUNK_BITS & mask == cell & mask
+        found = compare_tiles(prints[host], prints[~host], radius, among=among) if host.any() else []
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], schema=schema)
 
-    held, tile = [], None
+    held, cell = [], None
     for batch in batches:
-        tiles = batch.column("tile").to_numpy()
+        cells = batch.column("cell").to_numpy()
         prints = batch.column("print").to_numpy()
         host = batch.column("host").to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(np.diff(tiles)) + 1).tolist(), len(tiles)]
+        cuts = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
         for a, b in zip(cuts, cuts[1:]):
             if a == b:
                 continue
-            if held and tiles[a] != tile:
-                yield links(held)
+            if held and cells[a] != cell:
+                yield links(cell, held)
                 held = []
-            tile = tiles[a]
+            cell = int(cells[a])
             held.append((prints[a:b], host[a:b]))
     if held:
-        yield links(held)
+        yield links(cell, held)
 
 
-def link_forest(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links ``(a, b)`` between distinct fingerprints that connect all within the radius."""
-    tiled = prints.mapInArrow(lambda b: _to_tiles(b, radius), "tile long, print long, host boolean")
-    dealt = tiled.repartition("tile").sortWithinPartitions("tile")
+def link_forest(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """Links ``(a, b)`` between distinct fingerprints that connect all within the radius.
+
+    ``prints`` is read twice: for the sizes of the tiles, then to be dealt into them.
+    """
+    occupied, chunks = _occupied_tiles(prints, radius, chunk)
+    tiled = prints.mapInArrow(lambda b: _to_tiles(b, radius, occupied, chunks), "cell long, print long, host boolean")
+    dealt = tiled.repartition("cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(lambda b: _compare(b, radius), "a long, b long")
 
 

@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -86,6 +88,31 @@ def test_tiles_lose_no_link():
     assert len(found.links) == len(links)
 
 
+@pytest.mark.parametrize("chunk", [7, 60, 1 << 17])
+def test_large_tiles_are_dealt_into_bounded_pieces(spark, chunk):
+    rng = np.random.default_rng(8)
+    # Half of them share one tile: four quarters of eight bits each.
+    quarter = np.array([x for x in range(1 << 16) if x.bit_count() == 8], np.uint64)
+    one = sum(rng.choice(quarter, 300).astype(np.uint64) << np.uint64(16 * k) for k in range(4))
+    near = [p ^ sum(np.uint64(1) << np.uint64(b) for b in rng.choice(64, rng.integers(1, 4), False)) for p in one]
+    every = np.unique(np.concatenate([one, np.array(near, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)]))
+    prints = spark.createDataFrame([(p,) for p in every.view(np.int64).tolist()], "print long").repartition(3)
+    found = simhash.Forest(len(every))
+    position = {p: i for i, p in enumerate(every.view(np.int64).tolist())}
+    pairs = [(position[r.a], position[r.b]) for r in simhash.link_forest(prints, 3, chunk).collect()]
+    found.join(np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]))
+    expected = simhash.Forest(len(every))
+    expected.join(*np.nonzero(np.bitwise_count(every[:, None] ^ every[None]) <= 3))
+    assert all(np.bitwise_count(every[a] ^ every[b]) <= 3 for a, b in pairs)
+    assert found.label.tolist() == expected.label.tolist()
+    tiles, chunks = simhash._occupied_tiles(prints, 3, chunk)
+    batch = pa.record_batch({"print": every.view(np.int64)})
+    cells = pd.concat(b.to_pandas() for b in simhash._to_tiles(iter([batch]), 3, tiles, chunks))
+    assert cells.groupby(["cell", "host"]).size().max() <= 4 * chunk
+    assert (chunks.max() > 1) == (chunk < 100)
+    assert cells.groupby("cell")["host"].any().mean() > 0.9
+
+
 def test_components_equal_brute_force(spark, documents):
     rng = random.Random(5)
     base = [" ".join(f"w{rng.randrange(300)}" for _ in range(400)) for _ in range(12)]
