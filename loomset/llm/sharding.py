@@ -2,8 +2,8 @@
 
 A record hashes into one of a fixed number of slots. Only slots are placed: the bytes of each slot
 are added up, and slots go, heaviest first, to the lightest shard. The map is a small table with a
-version. Rebalancing appends a version in which as few slots as possible have moved; records never
-need to be hashed again.
+version. Rebalancing (:func:`edit_map`) reads the newest version and appends one in which few slots
+have moved; records never need to be hashed again.
 
 Defined results: a null text weighs ``overhead`` bytes; equal rows share a slot; rows with equal
 keys and other texts do not; an empty table gives an empty table and a map whose slots weigh nothing.
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomset.llm.common import text_bytes
+from loomset.sources.storage import finished, names_in
 
 SLOTS = 8192
 _SLOT, _SIZE, _CRC, _ROW = "__vslot", "__bytes", "__crc", "__row"
@@ -85,7 +86,12 @@ def rebalance(placed: np.ndarray, weights: np.ndarray, shards: int) -> np.ndarra
 def write_map(
     spark: SparkSession, location: str, version: int, placed: np.ndarray, weights: np.ndarray
 ) -> None:
-    """Append one version of the map: a row per slot with its shard, bytes, and first place there."""
+    """Append one version of the map: a row per slot with its shard, bytes, rows, and first place there.
+
+    A version that is there is never replaced: whoever reads it may rely on it.
+    """
+    if version in versions(spark, location):
+        raise FileExistsError(f"{location} has a version {version} already")
     first = np.zeros(len(placed), np.int64)
     order = np.argsort(placed, kind="stable")
     ends = np.cumsum(weights[order, 1])
@@ -93,15 +99,43 @@ def write_map(
     base = (ends - weights[order, 1])[begin]
     first[order] = ends - weights[order, 1] - np.repeat(base, np.diff(np.r_[np.flatnonzero(begin), len(order)]))
     rows = [
-        (slot, int(placed[slot]), int(weights[slot, 0]), int(first[slot]))
+        (slot, int(placed[slot]), int(weights[slot, 0]), int(weights[slot, 1]), int(first[slot]))
         for slot in range(len(placed))
     ]
-    frame = spark.createDataFrame(rows, "vslot int, shard int, bytes long, first long")
+    frame = spark.createDataFrame(rows, "vslot int, shard int, bytes long, rows long, first long")
+    # A failed writing of this version left no _SUCCESS, so it is no version and is written over.
     frame.coalesce(1).write.mode("overwrite").parquet(f"{location}/version={version}")
 
 
-def read_map(spark: SparkSession, location: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{location}/version={version}")
+def versions(spark: SparkSession, location: str) -> list[int]:
+    """Numbers of the finished versions of a map, oldest first."""
+    found = [name for name in names_in(spark, location) if name.startswith("version=")]
+    return sorted(int(name[8:]) for name in found if finished(spark, f"{location}/{name}"))
+
+
+def read_map(spark: SparkSession, location: str, version: int | None = None) -> DataFrame:
+    """One version of the map, or the newest."""
+    if version is None:
+        version = versions(spark, location)[-1]
+    return spark.read.parquet(f"{location}/version={version}").select("vslot", "shard", "bytes", "first")
+
+
+def edit_map(spark: SparkSession, location: str, shards: int, rows: DataFrame | None = None) -> int:
+    """Rebalance the newest map to ``shards`` shards and append it as the next version; its number.
+
+    Slots that need not move keep their shard. Bytes and rows of the slots are the stored ones, or
+    those of ``rows`` (of :func:`with_slot`), for a table that has grown since. Places within shards
+    are numbered anew, as slots that leave or join a shard shift those behind them. Records are not
+    read for it unless ``rows`` is given, and never hashed into other slots.
+    """
+    version = versions(spark, location)[-1]
+    stored = spark.read.parquet(f"{location}/version={version}").orderBy("vslot").collect()
+    placed = np.array([r["shard"] for r in stored], np.int32)
+    weights = np.array([(r["bytes"], r["rows"]) for r in stored], np.int64)
+    if rows is not None:
+        weights = slot_weights(rows, len(placed))
+    write_map(spark, location, version + 1, rebalance(placed, weights[:, 0], shards), weights)
+    return version + 1
 
 
 def assign(rows: DataFrame, shard_map: DataFrame, order: list[Column]) -> DataFrame:

@@ -96,3 +96,35 @@ def test_rebalancing_moves_few_slots(spark):
     for version, placed in ((1, old), (2, new)):
         sharding.write_map(spark, where, version, placed, np.stack([weights, weights], 1))
     assert [r.shard for r in sharding.read_map(spark, where, 2).orderBy("vslot").collect()] == new.tolist()
+
+
+def test_maps_are_edited_and_never_replaced(spark, documents):
+    rng = random.Random(6)
+    docs = documents(*((i, "x" * rng.randrange(1, 300)) for i in range(3000)))
+    where = scratch(spark, "map")
+    sharding.shard(docs, where, shards=8, slots=512)
+    assert sharding.edit_map(spark, where, 9) == 2 and sharding.edit_map(spark, where, 6) == 3
+    maps = [sharding.read_map(spark, where, v).toPandas().sort_values("vslot") for v in (1, 2, 3)]
+    moved = maps[0].shard.values != maps[1].shard.values
+    assert (maps[1].shard.values[moved] == 8).all() and 0 < moved.sum() < 512 / 4
+    kept = maps[1].shard.values < 6
+    assert (maps[2].shard.values[kept] == maps[1].shard.values[kept]).all() and maps[2].shard.max() == 5
+    for shards, shard_map in ((8, maps[0]), (9, maps[1]), (6, maps[2])):
+        load = shard_map.groupby("shard")["bytes"].sum()
+        assert len(load) == shards and load.max() < 1.1 * load.mean()
+    # Every version places every record, gapless within its shard.
+    rows = sharding.with_slot(docs, slots=512)
+    for version in (1, 2, 3):
+        places = sharding.assign(rows, sharding.read_map(spark, where, version), [F.col("__crc")]).select("shard", "slot")
+        found = places.toPandas()
+        assert len(found) == 3000
+        assert all(sorted(own.slot) == list(range(len(own))) for _, own in found.groupby("shard"))
+    # A table that has grown: the bytes of its slots are counted again.
+    grown = documents(*((i, "x" * rng.randrange(1, 300)) for i in range(6000)))
+    assert sharding.edit_map(spark, where, 6, sharding.with_slot(grown, slots=512)) == 4
+    newest = sharding.read_map(spark, where).toPandas()
+    assert newest["bytes"].sum() == grown.select(F.sum(F.length("text") + 16)).first()[0]
+    assert sharding.versions(spark, where) == [1, 2, 3, 4]
+    weights = np.ones((512, 2), np.int64)
+    with pytest.raises(FileExistsError):
+        sharding.write_map(spark, where, 2, np.zeros(512, np.int32), weights)
