@@ -299,6 +299,7 @@ ORACLES = {
     "split_reload": sql(TO_PLACED, "select example_id, split, text, prompt, target from placed"),
     "split_reload_parquet": sql(TO_PLACED, "select example_id, split, text, prompt, target from placed"),
     "split_redo": sql(TO_PLACED, "select example_id, split, text, prompt, target from placed"),
+    "arrivals": sql(TO_KEPT, "select example_id, instruction, text, prompt, target from kept"),
     "strip_text": f"select doc_id as example_id, {stripped(PADDED)} as stripped from documents",
     "user_turn": sql(
         ("instruction_rows", "turns", "asked"), "select example_id, user_turn from asked"

@@ -33,6 +33,7 @@ from loomset.registry.adapters import (
 from loomset.sources.reader import load_rows, load_split, load_splits
 from loomset.sources.storage import scratch
 from loomset.sources.writer import write_splits
+from loomset.streaming.arrivals import prepare_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,6 +148,18 @@ def split_redo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_splits(spark, params.processed_dir).select(KEY, "split", "text", "prompt", "target")
 
 
+@query
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrive in two lots: those without a context, then all, so that some come twice."""
+    source, directory = scratch(spark, "arriving"), scratch(spark, "arrived")
+    params = replace(_params(directory), name_or_path=source, file_format="parquet")
+    rows = instruction_rows(spark, sf_dir)
+    rows.where("context is null").write.parquet(source)
+    prepare_arrivals(spark, params, directory, rows.schema)
+    rows.write.mode("append").parquet(source)
+    return prepare_arrivals(spark, params, directory, rows.schema).select(KEY, "instruction", "text", "prompt", "target")
+
+
 # --- projections ---------------------------------------------------------------------------
 
 

@@ -70,6 +70,11 @@ def load_rows(
             rows = (reader if schema is None else reader.schema(schema)).json(name)
         else:
             rows = spark.read.parquet(name)
+    return with_fields(rows)
+
+
+def with_fields(rows: DataFrame) -> DataFrame:
+    """The four fields as text, null where the source has none; all other columns as they are."""
     present = {name.lower(): kind for name, kind in rows.dtypes}
     made = {
         field: (F.col(field) if field in present else F.lit(None)).cast("string")
