@@ -13,7 +13,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from loomset.errors import DatasetLoadError, MissingSplitError
 from loomset.operators.identity import KEY, content_key
-from loomset.sources.storage import exists, first_visible_byte
+from loomset.sources.arrays import array_as_lines
+from loomset.sources.storage import exists, first_visible_byte, scratch, total_bytes
 from loomset.sources.writer import last_commit, read_commit
 
 # The fields of an instruction row.
@@ -21,9 +22,12 @@ FIELDS = ("instruction", "context", "response", "output")
 # For tables made in code; reading JSON infers its own columns.
 EXAMPLE_SCHEMA = StructType([StructField(name, StringType()) for name in FIELDS])
 JSON_SUFFIXES = (".json", ".jsonl")
+# Arrays of more bytes are cut for several tasks; smaller ones are one task's work anyway.
+ARRAY_BYTES = 128 << 20
 # What Spark calls a failed read, as opposed to a failure of the work done on the rows.
 _READ_FAILURES = (
     "FAILED_READ_FILE",
+    "INVALID_JSON_RECORD_TYPE",
     "MALFORMED_RECORD_IN_PARSING",
     "MALFORMED_RECORD_DETECTED_IN_RECORD_PARSING",
     "Malformed records are detected",
@@ -59,20 +63,30 @@ def load_rows(
     All columns of the source are kept. For JSON, Spark infers them with one more pass over the
     input; a ``schema`` spares that pass and keeps the columns it lists. Missing fields become null
     columns, and the four fields are text whatever was inferred. A ``.json`` file that holds one
-    array cannot be split between tasks; lines can.
+    array is cut at its elements first if it is large, which stores them once more; lines need not be.
     """
     with loading(name):
         if not exists(spark, name):
             rows = spark.table(name)
         elif name.rstrip("/").endswith(JSON_SUFFIXES):
             whole = first_visible_byte(spark, name) == "["
+            lines = name
+            if whole and total_bytes(spark, name) > ARRAY_BYTES:
+                whole, lines = False, _cut_array(spark, name)
             reader = spark.read.option("mode", "FAILFAST").option("multiLine", whole)
-            rows = (reader if schema is None else reader.schema(schema)).json(name)
+            rows = (reader if schema is None else reader.schema(schema)).json(lines)
         else:
             rows = spark.read.parquet(name)
     return with_fields(rows)
 
 
+def _cut_array(spark: SparkSession, name: str) -> str:
+    try:
+        return array_as_lines(spark, name, scratch(spark, "array"))
+    except ValueError as error:
+        raise DatasetLoadError(name, error) from error
+
+
 def with_fields(rows: DataFrame) -> DataFrame:
     """The four fields as text, null where the source has none; all other columns as they are."""
     present = {name.lower(): kind for name, kind in rows.dtypes}

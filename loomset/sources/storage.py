@@ -63,6 +63,12 @@ def publish(spark: SparkSession, location: str, text: str) -> None:
         raise FileExistsError(f"{location} was written by another job meanwhile")
 
 
+def total_bytes(spark: SparkSession, location: str) -> int:
+    """Length of a file, or of all files below a directory."""
+    filesystem, path = _path(spark, location)
+    return filesystem.getContentSummary(path).getLength()
+
+
 def names_in(spark: SparkSession, directory: str) -> list[str]:
     """Names in a directory, but for hidden ones; none if there is no such directory."""
     filesystem, path = _path(spark, directory)
