@@ -22,8 +22,9 @@ FIELDS = ("instruction", "context", "response", "output")
 # For tables made in code; reading JSON infers its own columns.
 EXAMPLE_SCHEMA = StructType([StructField(name, StringType()) for name in FIELDS])
 JSON_SUFFIXES = (".json", ".jsonl")
-# Arrays of more bytes are cut for several tasks; smaller ones are one task's work anyway.
-ARRAY_BYTES = 128 << 20
+# Arrays of more bytes are cut for several tasks, at some ten times the work; one task reads a smaller
+# one, and holds all of its rows at once.
+ARRAY_BYTES = 256 << 20
 # What Spark calls a failed read, as opposed to a failure of the work done on the rows.
 _READ_FAILURES = (
     "FAILED_READ_FILE",
