@@ -31,6 +31,28 @@ def bigrams(tokens: Column) -> Column:
     return F.array_compact(joined)
 
 
+def common_count(predicted: Column, expected: Column) -> Column:
+    """How many grams two arrays share, each as often as the side with fewer of it has it.
+
+    Both sides go through one sorted array, where the predicted copies of a gram come before the
+    expected ones; the fold keeps how many of them are still unmatched.
+    """
+
+    def tagged(side: Column, tag: int) -> Column:
+        return F.transform(side, lambda gram: F.struct(gram.alias("gram"), F.lit(tag).alias("tag")))
+
+    start = F.struct(F.lit("").alias("gram"), F.lit(0).alias("open"), F.lit(0).alias("hits"))
+
+    def step(state: Column, item: Column) -> Column:
+        left = F.when(state["gram"] == item["gram"], state["open"]).otherwise(0)
+        hit = F.when(left > 0, item["tag"]).otherwise(0)
+        opened = left + 1 - item["tag"] - hit
+        return F.struct(item["gram"].alias("gram"), opened.alias("open"), (state["hits"] + hit).alias("hits"))
+
+    both = F.sort_array(F.concat(tagged(predicted, 0), tagged(expected, 1)))
+    return F.aggregate(both, start, step)["hits"]
+
+
 def f_score(hits: Column, predicted: Column, expected: Column) -> Column:
     """Harmonic mean of precision and recall; 0 when nothing matches or a side is empty."""
     return F.when(hits > 0, 2.0 * hits / (predicted + expected)).otherwise(F.lit(0.0))

@@ -7,7 +7,7 @@ bootstrap interval around it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.errors import AlignmentError
@@ -83,41 +83,51 @@ def _scored(counts: DataFrame) -> DataFrame:
 
 
 def ngram_scores(pairs: DataFrame, metrics: tuple[str, ...] = tuple(_ORDERS)) -> DataFrame:
-    """ROUGE-N per pair and metric.
+    """ROUGE-N per key, model and metric.
 
-    One row per n-gram, tagged with the side it comes from; grouped once to compare the two
-    counts and once to add them up. No join, and no exchange when the pairs are already
-    partitioned by key.
+    A key that has one row of each model is counted within its rows, so a task holds a few counts
+    per row and no n-gram. Rows that repeat a key and model count as one text: theirs go out as one
+    row per n-gram, tagged with the side it comes from, grouped once to compare the two counts and
+    once to add them up. No join, and no exchange or sort when the pairs are already partitioned
+    and sorted by key.
     """
+    of_key = Window.partitionBy(KEY)
     tokens = pairs.select(
+        *_PAIR, "prediction", "target",
+        (F.size(F.collect_set("model").over(of_key)) == F.count("*").over(of_key)).alias("alone"),
+    ).select(
         *_PAIR,
+        "alone",
         overlap.score_tokens(or_empty(F.col("prediction"))).alias("p"),
         overlap.score_tokens(or_empty(F.col("target"))).alias("t"),
-    )
-    sides = []
+    )
+
+    def part(order: int, hits: Column, p: Column, t: Column, grams: Column) -> Column:
+        numbers = {"hits": hits, "p": p, "t": t}
+        return F.struct(
+            F.lit(order).alias("n"), *[x.cast("long").alias(name) for name, x in numbers.items()], grams.alias("grams")
+        )
+
+    none = F.lit(None)
+    counted, sides = [], []
     for order in (_ORDERS[metric] for metric in metrics):
-        for side in ("p", "t"):
-            grams = F.col(side) if order == 1 else overlap.bigrams(F.col(side))
-            sides.append(
-                F.struct(
-                    F.lit(order).alias("n"),
-                    F.lit(int(side == "p")).alias("in_p"),
-                    F.lit(int(side == "t")).alias("in_t"),
-                    grams.alias("grams"),
-                )
-            )
+        grams = [F.col(side) if order == 1 else overlap.bigrams(F.col(side)) for side in "pt"]
+        sizes = [F.greatest(F.size(side) - (order - 1), F.lit(0)) for side in "pt"]
+        counted.append(part(order, overlap.common_count(*grams), *sizes, none.cast("array<string>")))
+        sides += [part(order, none, F.lit(1 - t), F.lit(t), grams[t]) for t in (0, 1)]
     # A side without n-grams gives one null gram, which counts nothing but keeps the pair.
-    grams = tokens.select(*_PAIR, F.inline(F.array(*sides))).select(
-        *_PAIR, "n", "in_p", "in_t", F.explode_outer("grams").alias("gram")
-    )
-    counted = grams.groupBy(*_PAIR, "n", "gram").agg(
-        *[F.sum(F.when(F.col("gram").isNotNull(), F.col(f"in_{s}")).otherwise(0)).alias(s) for s in "pt"]
+    grams = tokens.select(
+        *_PAIR, F.inline(F.when(F.col("alone"), F.array(*counted)).otherwise(F.array(*sides)))
+    ).select(*_PAIR, "n", "hits", "p", "t", F.explode_outer("grams").alias("gram"))
+    counts = F.col("gram").isNotNull() | F.col("hits").isNotNull()
+    summed = grams.groupBy(*_PAIR, "n", "gram").agg(
+        F.sum("hits").alias("hits"), *[F.sum(F.when(counts, F.col(s)).otherwise(0)).alias(s) for s in "pt"]
     )
     names = F.create_map(*[F.lit(x) for m in metrics for x in (_ORDERS[m], m)])
     totals = (
-        counted.groupBy(*_PAIR, "n")
+        summed.groupBy(*_PAIR, "n")
         .agg(
-            F.sum(F.least("p", "t")).alias("hits"),
+            F.sum(F.coalesce("hits", F.least("p", "t"))).alias("hits"),
             F.sum("p").alias("predicted"),
             F.sum("t").alias("expected"),
         )
@@ -162,8 +172,8 @@ def _row_scores(pairs: DataFrame, metric: str, hits: Column) -> DataFrame:
 def rouge_scores(pairs: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """All wanted metrics, one row per pair and metric.
 
-    ROUGE-N alone stays in the JVM. With a subsequence metric the texts go to Python anyway: one
-    helper then counts all metrics of a row, and no n-gram is shuffled.
+    ROUGE-N alone adds up rows that repeat key and model. With a subsequence metric each row is
+    scored by itself: one helper counts all its metrics, and no n-gram is shuffled.
     """
     if set(metrics) <= set(_ORDERS):
         return ngram_scores(pairs, metrics)

@@ -152,6 +152,50 @@ def test_scoring_adds_no_exchange_to_the_join(spark):
     assert "BroadcastExchange" not in plan
 
 
+def test_ngrams_of_unrepeated_keys_are_counted_within_their_rows(spark):
+    """The widest step makes a row per pair and metric, not one per n-gram."""
+    words = [str(i) for i in range(500)]
+    pairs = pairs_of(spark, *[(" ".join(words), " ".join(words[i:])) for i in range(20)])
+    plain = rouge.ngram_scores(pairs)
+    assert {(r.example_id, r.metric, r.hits) for r in plain.collect()} == {
+        (i, m, 500 - i - short) for i in range(20) for m, short in (("rouge1", 0), ("rouge2", 1))
+    }
+    # ``collect`` runs the plan of ``plain`` itself, so its figures can be read off.
+    rows = []
+    nodes = [plain._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            nodes.append(node.plan())
+            continue
+        if node.metrics().contains("numOutputRows"):
+            rows.append(node.metrics().apply("numOutputRows").value())
+        nodes.extend(node.children().apply(i) for i in range(node.children().size()))
+    assert 40 <= max(rows) <= 20 * 2 * 2
+
+
+def test_repeated_pairs_are_scored_as_one_text(spark):
+    rows = [
+        (1, "m", "a b a", "a c"), (1, "m", "c d", "a b"), (1, "n", "a b", "a b"),
+        (2, "m", "a b", "b a"), (2, "n", None, "x"),
+        (None, "m", "q", "q r"), (None, "m", "r", "r"), (3, None, "a b", "a b"),
+    ]
+    pairs = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.example_id, r.model, r.metric): (r.hits, r.predicted, r.expected) for r in rouge.ngram_scores(pairs).collect()}
+    assert got == {
+        (1, "m", "rouge1"): (4, 5, 4), (1, "m", "rouge2"): (1, 3, 2),
+        (1, "n", "rouge1"): (2, 2, 2), (1, "n", "rouge2"): (1, 1, 1),
+        (2, "m", "rouge1"): (2, 2, 2), (2, "m", "rouge2"): (0, 1, 1),
+        (2, "n", "rouge1"): (0, 0, 1), (2, "n", "rouge2"): (0, 0, 0),
+        (None, "m", "rouge1"): (2, 2, 3), (None, "m", "rouge2"): (0, 0, 1),
+        (3, None, "rouge1"): (2, 2, 2), (3, None, "rouge2"): (1, 1, 1),
+    }
+
+
 def test_long_pair_of_one_example(spark):
     words = [str(i % 997) for i in range(20_000)]
     pairs = pairs_of(spark, (" ".join(words), " ".join(reversed(words))))
