@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 
@@ -55,7 +57,7 @@ class WordEncoder:
 
     def _restart(self) -> None:
         self.words: dict[bytes, int] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.sizes = np.zeros(1 << 14, np.int64)
@@ -63,27 +65,28 @@ class WordEncoder:
 
     def _learn(self, new: list[bytes]) -> None:
         """Add words that the cache lacks: plain ones part by part, others by the whole tokenizer."""
-        split, odd, parts = [], [], self.parts
+        coded, odd, places, parts = [], [], [], self.parts
         for raw in new:
             word = raw.decode("utf-8")
             low = word.lower()
-            if _SPECIAL not in word and len(low) == len(word) and _PLAIN.fullmatch(low):
+            if low.isascii() and low.isalpha():
+                pieces = (low,)  # most words are a single piece
+            elif _SPECIAL not in word and len(low) == len(word) and _PLAIN.fullmatch(low):
                 pieces = _PARTS.findall(low)
-                for piece in pieces:
-                    if piece not in parts:
-                        signs = piece if piece.isascii() else piece.translate(_SIGNS)
-                        parts[piece] = [token.id for token in self.merge(signs)]
-                split.append(pieces)
             else:
-                split.append(None)
+                places.append(len(coded))
                 odd.append(word)
-        rest = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))
-        coded = [
-            next(rest).ids if pieces is None else [i for piece in pieces for i in parts[piece]]
-            for pieces in split
-        ]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(sizes.sum()))
+                coded.append(b"")
+                continue
+            for piece in pieces:
+                if piece not in parts:
+                    signs = piece if piece.isascii() else piece.translate(_SIGNS)
+                    parts[piece] = array("I", [token.id for token in self.merge(signs)]).tobytes()
+            coded.append(parts[low] if len(pieces) == 1 else b"".join([parts[piece] for piece in pieces]))
+        for place, found in zip(places, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            coded[place] = array("I", found.ids).tobytes()
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        flat = np.frombuffer(b"".join(coded), np.uint32)
         first, count = len(self.words), len(new)
         while first + count > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
@@ -108,10 +111,12 @@ class WordEncoder:
         if len(self.words) > self.limit:
             self._restart()
         known = self.words
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        lacking = np.flatnonzero(at < 0)
+        if len(lacking):
+            new = [words[i] for i in lacking.tolist()]
+            self._learn(list(dict.fromkeys(new)))
+            at[lacking] = np.fromiter(map(known.__getitem__, new), np.int64, len(new))
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         steps = np.arange(int(ends[-1])) - np.repeat(ends - sizes - self.starts[at], sizes)

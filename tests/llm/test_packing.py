@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -87,3 +88,17 @@ def test_packed_pieces_rebuild_the_documents(spark, documents):
 def test_empty_table(documents):
     pieces = packing.tokenize_pieces(documents((1, "x")).where("false"))
     assert packing.pack(pieces).count() == 0
+
+
+def test_learned_words_take_little_memory():
+    """Ids of words and of their parts are kept as bytes, not as lists of numbers."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)).encode() for _ in range(20_000)]
+    coder = WordEncoder(PATH)
+    tracemalloc.start()
+    ids, sizes = coder.encode_words(words)
+    held = tracemalloc.get_traced_memory()[0] - ids.nbytes - sizes.nbytes
+    tracemalloc.stop()
+    assert held < 350 * len(words)
+    expected = coder.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    assert ids.tolist() == [i for e in expected for i in e.ids] and sizes.tolist() == [len(e.ids) for e in expected]
