@@ -22,6 +22,8 @@ _SPECIAL = "<|"
 # since contractions have rules of their own).
 _PLAIN = re.compile(r"[!-&(-~a-zà-öø-ÿ]+")
 _PARTS = re.compile(r"[a-zà-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+#: Words that an encoder remembers: some 130 MB, which worker processes hold between stages too.
+CACHED_WORDS = 300_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -44,9 +46,12 @@ _SIGNS = _byte_signs()
 
 
 class WordEncoder:
-    """Encodes texts to one flat id array. ``limit`` bounds the cached words; a full cache restarts."""
+    """Encodes texts to one flat id array.
 
-    def __init__(self, path: str, limit: int = 600_000):
+    ``limit`` bounds the cached words, and parts of words; a full cache restarts.
+    """
+
+    def __init__(self, path: str, limit: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -63,6 +68,10 @@ class WordEncoder:
         self.sizes = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def _merged(self, piece: str) -> bytes:
+        signs = piece if piece.isascii() else piece.translate(_SIGNS)
+        return array("I", [token.id for token in self.merge(signs)]).tobytes()
+
     def _learn(self, new: list[bytes]) -> None:
         """Add words that the cache lacks: plain ones part by part, others by the whole tokenizer."""
         coded, odd, places, parts = [], [], [], self.parts
@@ -70,8 +79,10 @@ class WordEncoder:
             word = raw.decode("utf-8")
             low = word.lower()
             if low.isascii() and low.isalpha():
-                pieces = (low,)  # most words are a single piece
-            elif _SPECIAL not in word and len(low) == len(word) and _PLAIN.fullmatch(low):
+                # Most words are a single piece, which is remembered as a word only.
+                coded.append(parts.get(low) or self._merged(low))
+                continue
+            if _SPECIAL not in word and len(low) == len(word) and _PLAIN.fullmatch(low):
                 pieces = _PARTS.findall(low)
             else:
                 places.append(len(coded))
@@ -80,9 +91,8 @@ class WordEncoder:
                 continue
             for piece in pieces:
                 if piece not in parts:
-                    signs = piece if piece.isascii() else piece.translate(_SIGNS)
-                    parts[piece] = array("I", [token.id for token in self.merge(signs)]).tobytes()
-            coded.append(parts[low] if len(pieces) == 1 else b"".join([parts[piece] for piece in pieces]))
+                    parts[piece] = self._merged(piece)
+            coded.append(b"".join([parts[piece] for piece in pieces]))
         for place, found in zip(places, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
             coded[place] = array("I", found.ids).tobytes()
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
@@ -108,7 +118,7 @@ class WordEncoder:
         """Ids of words in order, and how many ids each word has."""
         if not words:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.words) > self.limit:
+        if max(len(self.words), len(self.parts)) > self.limit:
             self._restart()
         known = self.words
         at = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
@@ -124,6 +134,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, limit: int = 600_000) -> WordEncoder:
+def encoder(path: str, limit: int = CACHED_WORDS) -> WordEncoder:
     """One encoder per worker process, vocabulary and size of the cache."""
     return WordEncoder(path, limit)

@@ -205,22 +205,25 @@ def fit(labelled: DataFrame, seed: int = 7) -> ToxicityModel:
     return ToxicityModel(stems, fit_trees(x, y), fit_isotonic(margin, y), float(y.mean()))
 
 
-def _score_rows(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
+def _score_rows(batches: Iterator[pa.RecordBatch], model: ToxicityModel, place: int | None) -> Iterator[pa.RecordBatch]:
+    """``place``: where the text lies in ``__row``, if it is not a column of its own."""
     for batch in batches:
-        column = batch.column("__text")
-        x = [features(t.as_buffer().to_pybytes() if t.is_valid else b"", model.stems) for t in column]
-        scores = model.score(np.array(x).reshape(-1, len(FEATURES)))
-        names = [n for n in batch.schema.names if n != "__text"]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(n) for n in names), pa.array(scores, pa.float64())], names=[*names, "__score"]
-        )
+        rows = batch.column("__row")
+        texts = batch.column("__text") if place is None else rows.field(place)
+        x = np.zeros((batch.num_rows, len(FEATURES)))
+        for i, text in enumerate(texts):
+            x[i] = features(text.as_buffer().to_pybytes() if text.is_valid else b"", model.stems)
+        yield pa.RecordBatch.from_arrays([rows, pa.array(model.score(x), pa.float64())], names=["__row", "__score"])
 
 
 def score(docs: DataFrame, model: ToxicityModel, columns: list[str], text: str = "text") -> DataFrame:
     """``columns`` of every document as struct ``__row``, and the ``__score`` of its whole text."""
     rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in columns)).alias("__row"), F.col(text).alias("__text"))
-    schema = rows.drop("__text").schema.add("__score", "double")
-    return rows.mapInArrow(lambda batches: _score_rows(batches, model), schema)
+    schema = rows.select("__row").schema.add("__score", "double")
+    place = None
+    if text in columns:  # goes to the workers once
+        place, rows = columns.index(text), rows.select("__row")
+    return rows.mapInArrow(lambda batches: _score_rows(batches, model, place), schema)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, where: Column, rows: int = FIT_ROWS, key: str = "doc_id") -> DataFrame:

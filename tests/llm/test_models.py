@@ -197,6 +197,16 @@ def test_toxicity(spark, documents):
     assert toxicity.score(docs.where("false"), toxicity.fit(known.where("false")), ["doc_id"]).count() == 0
 
 
+def test_texts_go_to_the_scoring_tasks_once(documents):
+    docs = documents(*((i, t) for i, t in enumerate(ODD_TEXTS)))
+    model = toxicity.ToxicityModel({b"word": 2.0}, boosting.fit_trees(np.arange(2250.0).reshape(150, 15), np.arange(150) % 2), (np.array([-1.0, 1.0]), np.array([0.0, 1.0])), 0.5)
+    whole, narrow = toxicity.score(docs, model, docs.columns), toxicity.score(docs, model, ["doc_id"])
+    sent = whole._jdf.queryExecution().analyzed().children().head().output()
+    assert sent.size() == 1  # the row with its text, without a second copy
+    assert [tuple(r["__row"]) for r in whole.collect()] == [tuple(r) for r in docs.collect()]
+    assert [(r["__row"].doc_id, r["__score"]) for r in whole.collect()] == [(r["__row"].doc_id, r["__score"]) for r in narrow.collect()]
+
+
 @pytest.mark.parametrize("text, hits", [(b"You IDIOT!", 1), (b"i d i o t", 1), (b"id!ot and 1d10t", 2), (b"perfectly fine", 0)])
 def test_toxic_features(text, hits):
     found = dict(zip(toxicity.FEATURES, toxicity.features(text, {})))

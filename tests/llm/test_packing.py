@@ -34,6 +34,15 @@ def test_random_texts_encode_like_whole_texts(coder):
         assert coder.encode(text).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_letters_are_remembered_once():
+    coder = WordEncoder(PATH, limit=3000)
+    coder.encode_words([f"w{a}{b}".encode() for a in "abcdefgh" for b in "ijklmnop"])
+    assert len(coder.words) == 64 and not coder.parts
+    for k in range(40):  # words of many parts fill the cache of parts first
+        coder.encode("-".join("".join(chr(97 + (k * 200 + i) // 26**j % 26) for j in range(4)) for i in range(200)))
+        assert len(coder.parts) <= coder.limit + 201
+
+
 def plain_fill(plan):
     """Contents of every bin, from the plan's runs."""
     bins = {}
