@@ -11,6 +11,8 @@ counts. Classes hold ids that stand in like surroundings. Ids beyond the ``KEPT`
 count as one and are told apart by their add-one share of it. So the probabilities of all ids sum
 to one. A text's score counts each of its ids and its end once.
 
+Texts are encoded once, in the order they lie in; learning and scoring read the kept ids of each.
+
 The frequent words, at most ``HEAVY`` since each makes up at least that share of all words, are
 looked up in the task that reads a text; rarer ones meet their counts in a join, where no word of
 the training texts is frequent any more.
@@ -149,31 +151,28 @@ def learn_subwords(words: DataFrame, path: str) -> tuple[Subwords, np.ndarray, n
     return Subwords(kept, other), total, np.log(np.vstack([mixed, start]))
 
 
-def _sketched(batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch], codes: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sums of the codes of each kept id's neighbours on either side, across words."""
-    sums = np.zeros((KEPT, 2 * SKETCH))
+    pairs = np.zeros(KEPT * KEPT)
     for batch in batches:
-        for texts in _portions(batch.column("text")):
-            ids, _, sizes = _kept_ids(texts, path, subwords)
-            left, right = ids[:-1], ids[1:]
-            inside = np.ones(len(left), bool)
+        for ids, sizes in _portions(batch):
+            places = ids[:-1].astype(np.int64) * KEPT + ids[1:]
+            inside = np.ones(len(places), bool)
             inside[np.cumsum(sizes)[:-1] - 1] = False
-            left, right = left[inside], right[inside]
-            for k in range(SKETCH):
-                sums[:, k] += np.bincount(left, codes[right, k], KEPT)
-                sums[:, SKETCH + k] += np.bincount(right, codes[left, k], KEPT)
-    flat = sums.ravel()
+            np.add.at(pairs, places[inside], 1.0)
+    pairs = pairs.reshape(KEPT, KEPT)
+    flat = np.hstack([pairs @ codes, pairs.T @ codes]).ravel()
     used = np.flatnonzero(flat)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], names=["place", "weight"])
 
 
-def learn_classes(texts: DataFrame, path: str, subwords: Subwords, counts: np.ndarray) -> np.ndarray:
+def learn_classes(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
     """Class of each kept id: k-means over random sketches of its neighbours; the end has its own.
 
     The driver gets a fixed number of sums.
     """
     codes = np.random.default_rng(2).normal(0, 1, (KEPT, SKETCH))
-    found = texts.mapInArrow(lambda b: _sketched(b, path, subwords, codes), "place long, weight double")
+    found = encoded.select("ids", "text_bytes").mapInArrow(lambda b: _sketched(b, codes), "place long, weight double")
     rows = found.groupBy("place").agg(F.sum("weight").alias("weight")).toArrow()
     sums = np.zeros(KEPT * 2 * SKETCH)
     sums[rows["place"].to_numpy()] = rows["weight"].to_numpy()
@@ -190,17 +189,24 @@ def learn_classes(texts: DataFrame, path: str, subwords: Subwords, counts: np.nd
     return near
 
 
-def _portions(column: pa.Array) -> Iterator[list[bytes]]:
-    """Lower-cased texts in portions of some ``POSITIONS`` ids."""
-    part, held = [], 0
-    for text in column:
-        part.append((text.as_buffer().to_pybytes() if text.is_valid else b"").lower())
-        held += 1 + len(part[-1]) // 2
+def _cuts(text_bytes: list[int]) -> Iterator[slice]:
+    """Rows in portions of some ``POSITIONS`` ids, by the lengths of their texts."""
+    start, held = 0, 0
+    for i, size in enumerate(text_bytes):
+        held += 1 + size // 2
         if held > POSITIONS:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
+            yield slice(start, i + 1)
+            start, held = i + 1, 0
+    if start < len(text_bytes):
+        yield slice(start, len(text_bytes))
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Kept ids of encoded texts, one after the other, and the texts' sizes, portion by portion."""
+    coded = [ids.as_buffer() for ids in batch.column("ids")]
+    for rows in _cuts(batch.column("text_bytes").to_pylist()):
+        sizes = np.array([ids.size // 2 for ids in coded[rows]])
+        yield np.frombuffer(b"".join(coded[rows]), "<u2").astype(np.int64), sizes
 
 
 def _kept_ids(texts: list[bytes], path: str, subwords: Subwords) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,12 +221,11 @@ def _kept_ids(texts: list[bytes], path: str, subwords: Subwords) -> tuple[np.nda
     return subwords.kept[flat], subwords.other[flat], np.diff(ends, prepend=0) + 1
 
 
-def _train_part(batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords, model: attention.AttentionModel) -> Iterator[pa.RecordBatch]:
+def _train_part(batches: Iterator[pa.RecordBatch], model: attention.AttentionModel) -> Iterator[pa.RecordBatch]:
     """One task's round: train on its texts portion by portion; weights times positions seen."""
     own, seen = model.with_flat(model.flat()), 0
     for batch in batches:
-        for texts in _portions(batch.column("text")):
-            ids, _, sizes = _kept_ids(texts, path, subwords)
+        for ids, sizes in _portions(batch):
             attention.train(own, ids, sizes)
             seen += int(sizes.sum())
     if seen:
@@ -231,10 +236,9 @@ def _train_part(batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords
         )
 
 
-def fit(texts: DataFrame, words: DataFrame, path: str) -> tuple[Subwords, np.ndarray, attention.AttentionModel]:
-    """Counts of ids from all word counts; classes and attention from all texts."""
-    subwords, counts, follow = learn_subwords(words, path)
-    kind = learn_classes(texts, path, subwords, counts)
+def fit(encoded: DataFrame, counts: np.ndarray, follow: np.ndarray) -> tuple[np.ndarray, attention.AttentionModel]:
+    """Classes and attention from the kept ids of all training texts (ids, text_bytes)."""
+    kind = learn_classes(encoded, counts)
     chances = np.zeros((KEPT + 1, CLASSES))
     for k in range(CLASSES):
         chances[:, k] = np.exp(follow[:, kind == k]).sum(1)
@@ -243,33 +247,43 @@ def fit(texts: DataFrame, words: DataFrame, path: str) -> tuple[Subwords, np.nda
     model = attention.AttentionModel.fresh(prior, np.append(kind, CLASSES))
     for _ in range(ROUNDS):
         now = model
-        trained = texts.mapInArrow(lambda b: _train_part(b, path, subwords, now), "place long, weight double, seen long")
+        trained = encoded.select("ids", "text_bytes").mapInArrow(
+            lambda b: _train_part(b, now), "place long, weight double, seen long"
+        )
         averaged = trained.groupBy("place").agg((F.sum("weight") / F.sum("seen")).alias("weight")).toArrow()
         flat = model.flat()
         flat[averaged["place"].to_numpy()] = averaged["weight"].to_numpy()
         model = model.with_flat(flat)
-    return subwords, within, model
+    return within, model
 
 
-_SCORED = "row long, n_tokens long, heavy_known long, heavy_sum double, score double, words array<struct<word:binary,n:long>>"
-_SCORED_TYPES = [
-    pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])),
-]
+_CODED = (
+    "row long, n_tokens long, heavy_known long, heavy_sum double, other double, ids binary, text_bytes long, "
+    "words array<struct<word:binary,n:long>>"
+)
+_CODED_ARROW = pa.schema(
+    [
+        ("row", pa.int64()), ("n_tokens", pa.int64()), ("heavy_known", pa.int64()), ("heavy_sum", pa.float64()),
+        ("other", pa.float64()), ("ids", pa.binary()), ("text_bytes", pa.int64()),
+        ("words", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
+    ]
+)
 
 
-def _score_rows(
-    batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords, within: np.ndarray, model: attention.AttentionModel, heavy: dict[bytes, int]
-) -> Iterator[pa.RecordBatch]:
-    """Attention scores, the heavy words' part of the word model, and all other words with counts."""
+def _encode_rows(batches: Iterator[pa.RecordBatch], path: str, subwords: Subwords, heavy: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    """Kept ids and the shares of others, the heavy words' part of the word model, and all other words with counts."""
     log10 = {word: float(np.log10(n + 1)) for word, n in heavy.items()}
     row = TaskContext.get().partitionId() << 33
     for batch in batches:
-        at = 0
-        for texts in _portions(batch.column("__text")):
+        whole = batch.column("__text")
+        lengths = [t.as_buffer().size if t.is_valid else 0 for t in whole]
+        for part in _cuts(lengths):
+            texts = [(t.as_buffer().to_pybytes() if t.is_valid else b"").lower() for t in whole[part]]
             ids, other, sizes = _kept_ids(texts, path, subwords)
             ends = np.cumsum(sizes)
             sums = np.concatenate([[0.0], np.cumsum(other)])
-            scores = (attention.score(model, within, ids, sizes) + sums[ends] - sums[ends - sizes]) / np.log(10)
+            raw = ids.astype("<u2").tobytes()
+            coded = [raw[2 * (end - size) : 2 * end] for end, size in zip(ends.tolist(), sizes.tolist())]
             columns: list[list] = [[], [], [], []]
             for text in texts:
                 counts = Counter(text.split())
@@ -284,18 +298,28 @@ def _score_rows(
                 for column, value in zip(columns, (sum(counts.values()), known, total, rest)):
                     column.append(value)
             n_tokens, known, total, rest = columns
-            arrays = [pa.array(c, t) for c, t in zip((n_tokens, known, total, scores.tolist(), rest), _SCORED_TYPES)]
-            rows = pa.array(np.arange(row, row + len(texts)))
+            rows = np.arange(row, row + len(texts))
             row += len(texts)
-            cut = batch.slice(at, len(texts))
-            at += len(texts)
+            values = (rows, n_tokens, known, total, sums[ends] - sums[ends - sizes], coded, lengths[part], rest)
+            cut = batch.slice(part.start, len(texts))
             names = [n for n in batch.schema.names if n != "__text"]
             yield pa.RecordBatch.from_arrays(
-                [*(cut.column(n) for n in names), rows, *arrays],
-                names=[*names, "row", "n_tokens", "heavy_known", "heavy_sum", "score", "words"],
+                [*(cut.column(n) for n in names), *(pa.array(v, f.type) for v, f in zip(values, _CODED_ARROW))],
+                names=[*names, *_CODED_ARROW.names],
             )
 
 
+def _score_rows(batches: Iterator[pa.RecordBatch], within: np.ndarray, model: attention.AttentionModel) -> Iterator[pa.RecordBatch]:
+    """Attention scores of encoded texts."""
+    for batch in batches:
+        scores = [attention.score(model, within, ids, sizes) for ids, sizes in _portions(batch)]
+        total = np.concatenate([*scores, np.zeros(0)]) + batch.column("other").to_numpy()
+        names = [n for n in batch.schema.names if n not in ("ids", "text_bytes", "other")]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(n) for n in names), pa.array(total / np.log(10), pa.float64())], names=[*names, "score"]
+        )
+
+
 def score_texts(docs: DataFrame, columns: list[str], learn: str, text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``columns`` of every document, token counts, word-model score and attention score.
 
@@ -307,21 +331,23 @@ def score_texts(docs: DataFrame, columns: list[str], learn: str, text: str = "te
     totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
     heavy = {bytes(r["word"]): r["n"] for r in words.where(F.col("n") * HEAVY >= n).collect()}
-    subwords, within, model = fit(texts, words, path)
-    rows = docs.select(*columns, F.col(text).cast("string").alias("__text"))
+    subwords, counts, follow = learn_subwords(words, path)
+    rows = docs.select(*columns, F.expr(learn).alias("__learn"), F.col(text).cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("__text").schema)
-    scored = stored(
-        rows.mapInArrow(lambda b: _score_rows(b, path, subwords, within, model, heavy), f"{schema}, {_SCORED}"), "lm-scores"
-    )
+    encoded = stored(rows.mapInArrow(lambda b: _encode_rows(b, path, subwords, heavy), f"{schema}, {_CODED}"), "lm-ids")
+    within, model = fit(encoded.where("__learn"), counts, follow)
+    narrow = encoded.drop("__learn", "words")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.drop("ids", "text_bytes", "other").schema)
+    scored = stored(narrow.mapInArrow(lambda b: _score_rows(b, within, model), f"{schema}, score double"), "lm-scores")
     light = words.where(F.col("n") * HEAVY < n).select("word", F.col("n").alias("c"))
-    rest = scored.select("row", F.inline("words"))
+    rest = encoded.select("row", F.inline("words"))
     found = (
         rest.join(light, "word").groupBy("row")
         .agg(F.sum("n").alias("light_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("light_sum"))
     )
     known = F.col("heavy_known") + F.coalesce("light_known", F.lit(0))
     logs = F.col("heavy_sum") + F.coalesce("light_sum", F.lit(0.0))
-    return scored.drop("words").join(found, "row", "left").select(
+    return scored.join(found, "row", "left").select(
         *columns,
         "n_tokens",
         known.alias("n_known"),

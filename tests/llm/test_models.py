@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +161,45 @@ def test_language_model(spark, documents):
     assert lm_scoring.score_texts(docs.where("false"), ["doc_id"], "true").count() == 0
 
 
+def test_learning_reads_the_ids_of_texts_that_are_encoded_once(spark, documents, monkeypatch):
+    rng = random.Random(4)
+    docs = documents(*((i, " ".join(rng.choices(["ab", "cd", "efg", "x-y", "Ü"], k=rng.randrange(40)))) for i in range(60)), (60, None), *((k, "ab x-y " * 40_000) for k in (61, 62)), (64, "ab"))
+    seen, fit = {}, lm_scoring.fit
+
+    def learned(encoded, *rest):
+        seen["rows"], seen["rest"] = encoded.orderBy("row").toArrow(), rest
+        return fit(encoded, *rest)
+
+    monkeypatch.setattr(lm_scoring, "fit", learned)
+    assert lm_scoring.score_texts(docs, ["doc_id"], "doc_id % 3 > 0").count() == 64
+    rows, coder = seen["rows"], lm_scoring.encoder(lm_scoring.vocabulary_path("word_bpe_49k.json"), 1000)
+    assert not {"text", "__text"} & set(rows.column_names)
+    texts = dict(docs.select("doc_id", "text").collect())
+    assert sorted(rows["doc_id"].to_pylist()) == [i for i in texts if i % 3]
+    counts = collections.Counter()
+    for key, ids in zip(rows["doc_id"].to_pylist(), rows["ids"].to_pylist()):
+        ids = np.frombuffer(ids, "<u2")
+        assert len(ids) == len(coder.encode(texts[key])) + 1 and ids[-1] == lm_scoring.KEPT - 2
+        counts.update(ids.tolist())
+    assert all(seen["rest"][0][k] == n for k, n in counts.items()) and seen["rest"][0].sum() == counts.total()
+
+
+def test_sketches_sum_the_codes_of_neighbours():
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 9, n) for n in (7, 1, 30)]
+    codes = rng.normal(0, 1, (lm_scoring.KEPT, lm_scoring.SKETCH))
+    batch = pa.RecordBatch.from_pydict({"ids": [t.astype("<u2").tobytes() for t in texts], "text_bytes": [2 * len(t) for t in texts]})
+    (found,) = lm_scoring._sketched(iter([batch, batch]), codes)
+    sums = np.zeros(lm_scoring.KEPT * 2 * lm_scoring.SKETCH)
+    sums[found.column("place").to_numpy()] = found.column("weight").to_numpy()
+    plain = np.zeros((lm_scoring.KEPT, 2, lm_scoring.SKETCH))
+    for t in texts * 2:
+        for left, right in zip(t, t[1:]):
+            plain[left, 0] += codes[right]
+            plain[right, 1] += codes[left]
+    assert np.allclose(sums, plain.ravel())
+
+
 def test_trees_and_calibration():
     rng = np.random.default_rng(1)
     x = rng.normal(0, 1, (3000, 4))
