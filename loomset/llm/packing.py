@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.llm.common import stored
-from loomset.llm.subwords import encoder, vocabulary_path
+from loomset.llm.subwords import encoder, portions, vocabulary_path
 
 CAPACITY = 2048
 END = 0
@@ -38,15 +38,17 @@ _PIECES_ARROW = pa.schema(
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    coder = encoder(path)
+    coder, end = encoder(path), np.array([END], "<u4").tobytes()
     for batch in batches:
         rows = []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-            ids = np.append(coder.encode_words(raw.split())[0], END).astype("<u4")
-            for piece, start in enumerate(range(0, len(ids), capacity)):
-                part = ids[start : start + capacity]
-                rows.append((key, piece, start, len(part), zlib.crc32(part.tobytes()), part.tolist() if with_ids else None))
+        texts = zip(batch.column(0).to_pylist(), batch.column(1))
+        for keys, words in portions((key, text.as_buffer().to_pybytes() if text.is_valid else b"") for key, text in texts):
+            for key, coded in zip(keys, coder.coded(words)):
+                ids = coded + end
+                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[at : at + 4 * capacity]
+                    own = np.frombuffer(part, "<u4").tolist() if with_ids else None
+                    rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part), own))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), f.type) for c, f in zip(zip(*rows), _PIECES_ARROW)] if rows else [pa.array([], f.type) for f in _PIECES_ARROW],
             schema=_PIECES_ARROW,

@@ -111,3 +111,42 @@ def test_learned_words_take_little_memory():
     assert held < 350 * len(words)
     expected = coder.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
     assert ids.tolist() == [i for e in expected for i in e.ids] and sizes.tolist() == [len(e.ids) for e in expected]
+
+
+def test_new_words_go_to_the_tokenizer_together():
+    """Many words make one text for it; letters of either case are one word; any sign may stand beside them."""
+    coder = WordEncoder(PATH)
+
+    class Counted:
+        texts = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    tokenizer, coder.tokenizer = coder.tokenizer, Counted()
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdeéß", k=9)) for _ in range(2000)]
+    text = " ".join([*words, *(w + "," for w in words), *(w.title() for w in words if w.isascii())])
+    assert coder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert coder.tokenizer.texts <= 10
+    assert len(coder.words) == 2 * len(set(words))
+
+
+def test_odd_words_encode_like_whole_texts():
+    """Words that the tokenizer composes, splits or drops, beside each other in random order."""
+    odd = [
+        "J\u030c", "j\u030c", "H\u0331x", "T\u0308.", "\u0301a", "a\u0301,", "x\x01y", "\x01", "\x01\x01.", "<|endoftext|>", "<|ENDOFTEXT|>",
+        "a<|", "|>", "\xa0", "\x85", "a\xa0b", "\u2003", "don't,", "DON'T!", "'s", "o'S.", "x'", "1,5.", "½.", "×,", "÷.", "a×,", "É!!", "İx,", "ﬁ.",
+        "日本。", "日本,", "é-é", "\u1e9e.", "ΑΣ,", "\U0001f600,", "_a_", "\u200b", "\u0300", "\uac00,", "K,", "Å.", "ªb.", "Ǆ,", "ᾳ,", "\u0345", "ⅷ",
+    ]
+    rng = random.Random(9)
+    for limit in (5, 1000):
+        coder = WordEncoder(PATH, limit=limit)
+        for _ in range(200):
+            words = rng.choices(odd, k=30)
+            text = " ".join(words)
+            assert coder.encode(text).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+            ids, sizes = coder.encode_words([w.encode() for w in words])
+            expected = [coder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+            assert ids.tolist() == [i for own in expected for i in own] and sizes.tolist() == list(map(len, expected))
