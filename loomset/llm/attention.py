@@ -16,8 +16,8 @@ import numpy as np
 BLOCK = 32
 WIDTH = 16
 HIDDEN = 24
-#: Blocks that are run at once.
-SLAB = 256
+#: Blocks that are run at once; their intermediate results stay in a core's cache.
+SLAB = 64
 
 
 @dataclass
@@ -67,33 +67,45 @@ class AttentionModel:
         """What each id contributes by itself: query, key, value and its own part of the hidden layer."""
         return [self.embed @ w for w in (self.query, self.key, self.value, self.mix[:WIDTH])]
 
-    def forward(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray], keep: bool = False):
-        """Log-probabilities (blocks, block, classes) of the class after each seen id.
-
-        ``seen``: input ids of each block; ``before``: those of the block before it; ``real`` tells
-        which of them exist. ``tables`` as :meth:`tables` gives them.
-        """
+    def _raised(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray]):
+        """Class scores after each seen id, at most 0, the logs of their sums, and what led to them."""
         both = np.concatenate([before, seen], 1)
         q, k, v = (np.take(table, ids, axis=0) for table, ids in zip(tables, (seen, both, both)))
         back = (BLOCK + np.arange(BLOCK)[:, None]) - np.arange(2 * BLOCK)
         weight = np.matmul(q, k.transpose(0, 2, 1))
         weight *= np.float32(1 / np.sqrt(WIDTH))
         weight += np.where(back >= 0, self.distance[np.maximum(back, 0)], np.float32(-1e9))
-        weight += np.where(np.concatenate([real_before, real], 1), np.float32(0), np.float32(-1e9))[:, None, :]
+        # Most blocks are whole; only others have keys to shut out.
+        exists = np.concatenate([real_before, real], 1)
+        cut = np.flatnonzero(~exists.all(1))
+        weight[cut] += np.where(exists[cut], np.float32(0), np.float32(-1e9))[:, None, :]
         weight -= weight.max(2, keepdims=True)
         np.exp(weight, out=weight)
         weight /= weight.sum(2, keepdims=True)
         read = np.matmul(weight, v)
-        hidden = np.tanh(np.take(tables[3], seen, axis=0) + read @ self.mix[WIDTH:])
+        hidden = read @ self.mix[WIDTH:]
+        hidden += np.take(tables[3], seen, axis=0)
+        np.tanh(hidden, out=hidden)
         logits = hidden @ self.out
         logits += self.bias
-        logits += self.prior[seen]
-        top = logits.max(2, keepdims=True)
-        logits -= top
-        logits -= np.log(np.exp(logits).sum(2, keepdims=True))
-        if keep:
-            return logits, (q, k, v, weight, read, hidden, back)
-        return logits
+        logits += np.take(self.prior, seen, axis=0)
+        logits -= logits.max(2, keepdims=True)
+        return logits, np.log(np.exp(logits).sum(2, keepdims=True)), (q, k, v, weight, read, hidden, back)
+
+    def forward(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray], keep: bool = False):
+        """Log-probabilities (blocks, block, classes) of the class after each seen id.
+
+        ``seen``: input ids of each block; ``before``: those of the block before it; ``real`` tells
+        which of them exist. ``tables`` as :meth:`tables` gives them.
+        """
+        logits, total, parts = self._raised(seen, before, real, real_before, tables)
+        logits -= total
+        return (logits, parts) if keep else logits
+
+    def picked(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray], following: np.ndarray) -> np.ndarray:
+        """Log-probabilities of the classes of the following ids only."""
+        logits, total, _ = self._raised(seen, before, real, real_before, tables)
+        return (np.take_along_axis(logits, self.kind[following][:, :, None], 2) - total)[:, :, 0]
 
     def gradients(self, seen, before, real, real_before, following) -> tuple[float, list[np.ndarray]]:
         """Mean loss of ``following`` over real positions, and its gradients."""
@@ -105,7 +117,7 @@ class AttentionModel:
         picked = np.take_along_axis(logs, following[:, :, None], 2)[:, :, 0]
         loss = float(-(picked * real).sum() / count)
         d = np.exp(logs)
-        np.put_along_axis(d, following[:, :, None], np.take_along_axis(d, following[:, :, None], 2) - 1, 2)
+        d.reshape(-1, d.shape[2])[np.arange(following.size), following.ravel()] -= 1
         d *= (real.astype(np.float32) / count)[:, :, None]
         flat_hidden = hidden.reshape(-1, HIDDEN)
         g_out, g_bias = flat_hidden.T @ d.reshape(len(flat_hidden), -1), d.sum((0, 1))
@@ -169,8 +181,7 @@ def score(model: AttentionModel, within: np.ndarray, ids: np.ndarray, sizes: np.
     tables = model.tables()
     for at in range(0, len(owner), SLAB):
         part = slice(at, at + SLAB)
-        logs = model.forward(seen[part], before[part], real[part], real_before[part], tables)
-        picked = np.take_along_axis(logs, model.kind[following[part]][:, :, None], 2)[:, :, 0]
+        picked = model.picked(seen[part], before[part], real[part], real_before[part], tables, following[part])
         picked = picked + within[seen[part], following[part]]
         total += np.bincount(owner[part], np.where(real[part], picked, 0).sum(1), len(sizes))
     return total

@@ -209,16 +209,12 @@ def _portions(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.frombuffer(b"".join(coded[rows]), "<u2").astype(np.int64), sizes
 
 
-def _kept_ids(texts: list[bytes], path: str, subwords: Subwords) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Kept numbers and shares of all ids of lower-cased texts, ends included, and texts' sizes."""
-    coder = encoder(path, CACHED_WORDS)
-    end = len(subwords.kept) - 1
-    words = [text.split() for text in texts]
-    ids, sizes = coder.encode_words([word for own in words for word in own])
-    after = np.concatenate([[0], np.cumsum(sizes)])
-    ends = after[np.cumsum([len(own) for own in words])]
-    flat = np.insert(ids.astype(np.int64), ends, end)
-    return subwords.kept[flat], subwords.other[flat], np.diff(ends, prepend=0) + 1
+def _kept_ids(texts: list[list[bytes]], path: str, subwords: Subwords) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Kept numbers and shares of all ids of texts' lower-cased words, ends included, and texts' sizes."""
+    coded = encoder(path, CACHED_WORDS).coded(texts)
+    end = np.array([len(subwords.kept) - 1], "<u4").tobytes()
+    flat = np.frombuffer(end.join([*coded, b""]), "<u4")
+    return subwords.kept[flat], subwords.other[flat], np.array([len(ids) // 4 + 1 for ids in coded], np.int64)
 
 
 def _train_part(batches: Iterator[pa.RecordBatch], model: attention.AttentionModel) -> Iterator[pa.RecordBatch]:
@@ -278,33 +274,36 @@ def _encode_rows(batches: Iterator[pa.RecordBatch], path: str, subwords: Subword
         whole = batch.column("__text")
         lengths = [t.as_buffer().size if t.is_valid else 0 for t in whole]
         for part in _cuts(lengths):
-            texts = [(t.as_buffer().to_pybytes() if t.is_valid else b"").lower() for t in whole[part]]
+            texts = [(t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split() for t in whole[part]]
             ids, other, sizes = _kept_ids(texts, path, subwords)
             ends = np.cumsum(sizes)
             sums = np.concatenate([[0.0], np.cumsum(other)])
             raw = ids.astype("<u2").tobytes()
             coded = [raw[2 * (end - size) : 2 * end] for end, size in zip(ends.tolist(), sizes.tolist())]
-            columns: list[list] = [[], [], [], []]
-            for text in texts:
-                counts = Counter(text.split())
+            n_tokens, known, total, rare, times, after = [], [], [], [], [], [0]
+            for words in texts:
+                counts = Counter(words)
                 counts[END_WORD] = 1
-                known, total, rest = 0, 0.0, []
-                for word, n in counts.items():
-                    if word in log10:
-                        known += n
-                        total += n * log10[word]
-                    else:
-                        rest.append({"word": word, "n": n})
-                for column, value in zip(columns, (sum(counts.values()), known, total, rest)):
-                    column.append(value)
-            n_tokens, known, total, rest = columns
+                own, logs = 0, 0.0
+                for word in [word for word in counts if word in log10]:
+                    n = counts.pop(word)
+                    own += n
+                    logs += n * log10[word]
+                n_tokens.append(len(words) + 1)
+                known.append(own)
+                total.append(logs)
+                rare.extend(counts.keys())
+                times.extend(counts.values())
+                after.append(len(rare))
+            fields = [pa.array(rare, pa.binary()), pa.array(times, pa.int64())]
+            rest = pa.ListArray.from_arrays(pa.array(after, pa.int32()), pa.StructArray.from_arrays(fields, ["word", "n"]))
             rows = np.arange(row, row + len(texts))
             row += len(texts)
-            values = (rows, n_tokens, known, total, sums[ends] - sums[ends - sizes], coded, lengths[part], rest)
+            values = (rows, n_tokens, known, total, sums[ends] - sums[ends - sizes], coded, lengths[part])
             cut = batch.slice(part.start, len(texts))
             names = [n for n in batch.schema.names if n != "__text"]
             yield pa.RecordBatch.from_arrays(
-                [*(cut.column(n) for n in names), *(pa.array(v, f.type) for v, f in zip(values, _CODED_ARROW))],
+                [*(cut.column(n) for n in names), *(pa.array(v, f.type) for v, f in zip(values, _CODED_ARROW)), rest],
                 names=[*names, *_CODED_ARROW.names],
             )
 

@@ -184,6 +184,32 @@ def test_learning_reads_the_ids_of_texts_that_are_encoded_once(spark, documents,
     assert all(seen["rest"][0][k] == n for k, n in counts.items()) and seen["rest"][0].sum() == counts.total()
 
 
+def test_training_steps_are_adams_and_scores_those_of_all_classes():
+    """Weights in one array move as weights kept apart; picked classes have the log-probabilities of whole rows."""
+    rng = np.random.default_rng(12)
+    ids, sizes = rng.integers(0, 9, 900), np.array([1, 0, 300, 31, 32, 33, 503])
+    kind = np.append(rng.integers(0, 4, 9), 4)
+    fresh = attention.AttentionModel.fresh(np.log(rng.dirichlet(np.ones(4), 10)), kind)
+    trained = attention.train(fresh.with_flat(fresh.flat()), ids, sizes, batch=5)
+    plain = fresh.with_flat(fresh.flat())
+    parts = attention.blocks(ids, sizes, 9)[1:]
+    order = np.random.default_rng(1).permutation(len(parts[0]))
+    first, second = ([np.zeros(w.shape) for w in plain.learned()] for _ in range(2))
+    for step, at in enumerate(range(0, len(order), 5), 1):
+        grads = plain.gradients(*(p[order[at : at + 5]] for p in parts))[1]
+        clip = min(1.0, 1 / np.sqrt(sum((g.astype(float) ** 2).sum() for g in grads)))
+        for i, (w, g) in enumerate(zip(plain.learned(), grads)):
+            first[i] += 0.1 * (g * clip - first[i])
+            second[i] += 0.01 * ((g * clip) ** 2 - second[i])
+            w -= 0.01 * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-6)
+    assert np.allclose(trained.flat(), plain.flat(), atol=1e-3)
+    assert np.abs(trained.flat() - fresh.flat()).max() > 0.02
+    seen, before, real, real_before, following = parts
+    logs = trained.forward(seen, before, real, real_before, trained.tables())
+    picked = trained.picked(seen, before, real, real_before, trained.tables(), following)
+    assert np.array_equal(picked, np.take_along_axis(logs, kind[following][:, :, None], 2)[:, :, 0])
+
+
 def test_sketches_sum_the_codes_of_neighbours():
     rng = np.random.default_rng(6)
     texts = [rng.integers(0, 9, n) for n in (7, 1, 30)]
