@@ -10,6 +10,7 @@ after the last id, which are counted over the whole training corpus, and attenti
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from functools import cached_property
 
 import numpy as np
 
@@ -18,6 +19,12 @@ WIDTH = 16
 HIDDEN = 24
 #: Blocks that are run at once; their intermediate results stay in a core's cache.
 SLAB = 64
+#: Scores within this of 0 are raised as they are; others by what they lack to the largest.
+SAFE = 40.0
+#: How far back a key of the window lies from each position of its second block; the last number is for
+#: keys that lie ahead.
+_BACK = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)
+_BACK[_BACK < 0] = 2 * BLOCK
 
 
 @dataclass
@@ -63,88 +70,123 @@ class AttentionModel:
             at += w.size
         return AttentionModel(self.prior, self.kind, *parts)
 
+    @cached_property
+    def chances(self) -> np.ndarray:
+        """The prior as probabilities."""
+        return np.exp(self.prior)
+
+    def _asking(self) -> np.ndarray:
+        """Weights of the query, scaled, and of an id's own part of the hidden layer."""
+        return np.concatenate([self.query * np.float32(1 / np.sqrt(WIDTH)), self.mix[:WIDTH]], 1)
+
+    def _asked(self) -> np.ndarray:
+        return np.concatenate([self.key, self.value], 1)
+
     def tables(self) -> list[np.ndarray]:
-        """What each id contributes by itself: query, key, value and its own part of the hidden layer."""
-        return [self.embed @ w for w in (self.query, self.key, self.value, self.mix[:WIDTH])]
-
-    def _raised(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray]):
-        """Class scores after each seen id, at most 0, the logs of their sums, and what led to them."""
-        both = np.concatenate([before, seen], 1)
-        q, k, v = (np.take(table, ids, axis=0) for table, ids in zip(tables, (seen, both, both)))
-        back = (BLOCK + np.arange(BLOCK)[:, None]) - np.arange(2 * BLOCK)
+        """What each id contributes by itself: query and its own part of the hidden layer; key and value."""
+        return [self.embed @ self._asking(), self.embed @ self._asked()]
+
+    def _weights(self, q: np.ndarray, k: np.ndarray, real_before: np.ndarray) -> np.ndarray:
+        """Weights of the keys for each query, not yet divided by their sums."""
         weight = np.matmul(q, k.transpose(0, 2, 1))
-        weight *= np.float32(1 / np.sqrt(WIDTH))
-        weight += np.where(back >= 0, self.distance[np.maximum(back, 0)], np.float32(-1e9))
-        # Most blocks are whole; only others have keys to shut out.
-        exists = np.concatenate([real_before, real], 1)
-        cut = np.flatnonzero(~exists.all(1))
-        weight[cut] += np.where(exists[cut], np.float32(0), np.float32(-1e9))[:, None, :]
-        weight -= weight.max(2, keepdims=True)
-        np.exp(weight, out=weight)
-        weight /= weight.sum(2, keepdims=True)
-        read = np.matmul(weight, v)
-        hidden = read @ self.mix[WIDTH:]
-        hidden += np.take(tables[3], seen, axis=0)
-        np.tanh(hidden, out=hidden)
-        logits = hidden @ self.out
-        logits += self.bias
-        logits += np.take(self.prior, seen, axis=0)
-        logits -= logits.max(2, keepdims=True)
-        return logits, np.log(np.exp(logits).sum(2, keepdims=True)), (q, k, v, weight, read, hidden, back)
-
-    def forward(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray], keep: bool = False):
+        if max(weight.max(), -weight.min()) + np.abs(self.distance).max() < SAFE:
+            np.exp(weight, out=weight)
+            weight *= np.append(np.exp(self.distance), self.distance.dtype.type(0))[_BACK]
+        else:
+            weight += np.append(self.distance, self.distance.dtype.type(-1e9))[_BACK]
+            left = weight[:, :, :BLOCK]
+            left += np.where(real_before, np.float32(0), np.float32(-1e9))[:, None, :]
+            weight -= weight.max(2, keepdims=True)
+            np.exp(weight, out=weight)
+        # Real positions come first in a block, so that those which are not real lie ahead of them.
+        for cut in np.flatnonzero(~real_before.all(1)).tolist():
+            weight[cut, :, :BLOCK] *= real_before[cut]
+        return weight
+
+    def _raised(self, asking: np.ndarray, asked: np.ndarray, seen: np.ndarray, real_before: np.ndarray):
+        """Corrections of class scores per position, chances raised by them, their sums, and what led to them."""
+        weight = self._weights(asking[:, :, :WIDTH], asked[:, :, :WIDTH], real_before)
+        total = weight.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, weight.dtype)
+        read = np.matmul(weight, asked[:, :, WIDTH:]).reshape(-1, WIDTH)
+        read /= total[:, None]
+        # The last column of ones carries the bias.
+        hidden = np.ones((len(read), HIDDEN + 1), read.dtype)
+        inner = read @ self.mix[WIDTH:]
+        inner += asking.reshape(len(read), -1)[:, WIDTH:]
+        np.tanh(inner, out=hidden[:, :HIDDEN])
+        last = np.concatenate([self.out, self.bias[None]])
+        more = hidden @ last
+        if np.abs(last).sum(0).max() >= SAFE:
+            more -= more.max(1, keepdims=True)
+        raised = np.exp(more)
+        raised *= np.take(self.chances, seen.ravel(), axis=0)
+        return more, raised, raised @ np.ones(raised.shape[1], raised.dtype), (weight, total, read, hidden)
+
+    def _gathered(self, seen: np.ndarray, before: np.ndarray, tables: list[np.ndarray]) -> list[np.ndarray]:
+        return [np.take(t, ids, axis=0) for t, ids in zip(tables, (seen, np.concatenate([before, seen], 1)))]
+
+    def forward(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
         """Log-probabilities (blocks, block, classes) of the class after each seen id.
 
         ``seen``: input ids of each block; ``before``: those of the block before it; ``real`` tells
-        which of them exist. ``tables`` as :meth:`tables` gives them.
+        which of them exist, those of a block first. ``tables`` as :meth:`tables` gives them.
         """
-        logits, total, parts = self._raised(seen, before, real, real_before, tables)
-        logits -= total
-        return (logits, parts) if keep else logits
+        more, _, total, _ = self._raised(*self._gathered(seen, before, tables), seen, real_before)
+        return (more + self.prior[seen.ravel()] - np.log(total)[:, None]).reshape(*seen.shape, -1)
 
     def picked(self, seen: np.ndarray, before: np.ndarray, real: np.ndarray, real_before: np.ndarray, tables: list[np.ndarray], following: np.ndarray) -> np.ndarray:
         """Log-probabilities of the classes of the following ids only."""
-        logits, total, _ = self._raised(seen, before, real, real_before, tables)
-        return (np.take_along_axis(logits, self.kind[following][:, :, None], 2) - total)[:, :, 0]
+        more, _, total, _ = self._raised(*self._gathered(seen, before, tables), seen, real_before)
+        return self._of(more, total, seen, self.kind[following]).reshape(seen.shape)
+
+    def _of(self, more: np.ndarray, total: np.ndarray, seen: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        seen, classes = seen.ravel(), classes.ravel()
+        return more[np.arange(len(seen)), classes] + self.prior[seen, classes] - np.log(total)
 
     def gradients(self, seen, before, real, real_before, following) -> tuple[float, list[np.ndarray]]:
         """Mean loss of ``following`` over real positions, and its gradients."""
-        logs, (q, k, v, weight, read, hidden, back) = self.forward(seen, before, real, real_before, self.tables(), True)
-        x, past = self.embed[seen], self.embed[before]
-        both, joined = np.concatenate([past, x], 1), np.concatenate([x, read], 2)
-        count = max(1, int(real.sum()))
-        following = self.kind[following]
-        picked = np.take_along_axis(logs, following[:, :, None], 2)[:, :, 0]
-        loss = float(-(picked * real).sum() / count)
-        d = np.exp(logs)
-        d.reshape(-1, d.shape[2])[np.arange(following.size), following.ravel()] -= 1
-        d *= (real.astype(np.float32) / count)[:, :, None]
-        flat_hidden = hidden.reshape(-1, HIDDEN)
-        g_out, g_bias = flat_hidden.T @ d.reshape(len(flat_hidden), -1), d.sum((0, 1))
-        dh = (d @ self.out.T) * (1 - hidden * hidden)
-        g_mix = joined.reshape(-1, 2 * WIDTH).T @ dh.reshape(-1, HIDDEN)
-        dj = dh @ self.mix.T
-        dx, da = dj[:, :, :WIDTH].copy(), dj[:, :, WIDTH:]
-        dv = np.matmul(weight.transpose(0, 2, 1), da)
-        dw = np.matmul(da, v.transpose(0, 2, 1))
-        ds = weight * (dw - (dw * weight).sum(2, keepdims=True))
-        g_distance = np.bincount(np.maximum(back, 0).ravel(), (ds.sum(0) * (back >= 0)).ravel(), 2 * BLOCK)
-        ds *= np.float32(1 / np.sqrt(WIDTH))
-        dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
-        square = (-1, WIDTH)
-        g_query = x.reshape(square).T @ dq.reshape(square)
-        g_key = both.reshape(square).T @ dk.reshape(square)
-        g_value = both.reshape(square).T @ dv.reshape(square)
-        d_both = dk @ self.key.T + dv @ self.value.T
-        dx += dq @ self.query.T + d_both[:, BLOCK:]
-        ids = np.concatenate([seen.ravel(), before.ravel()])
-        parts = np.concatenate([dx.reshape(square), d_both[:, :BLOCK].reshape(square)])
-        order = np.argsort(ids, kind="stable")
-        ids, parts = ids[order], parts[order]
-        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        g_embed = np.zeros_like(self.embed)
-        g_embed[ids[first]] = np.add.reduceat(parts, first)
-        return loss, [g_embed, g_query, g_key, g_value, g_distance, g_mix, g_out, g_bias]
+        grads, (more, total, classes, share) = self._slopes(seen, before, real, real_before, following)
+        return float(-self._of(more, total, seen, classes) @ share), grads
+
+    def _slopes(self, seen, before, real, real_before, following):
+        """Gradients, and what the loss is made of."""
+        ids = np.concatenate([before, seen], 1)
+        both = np.take(self.embed, ids, axis=0)
+        flat, x = both.reshape(-1, WIDTH), both[:, BLOCK:].reshape(-1, WIDTH)
+        to_ask, to_be_asked = self._asking(), self._asked()
+        asking = (x @ to_ask).reshape(*seen.shape, -1)
+        asked = (flat @ to_be_asked).reshape(*ids.shape, -1)
+        more, d, total, (weight, sums, read, hidden) = self._raised(asking, asked, seen, real_before)
+        classes, share = self.kind[following].ravel(), real.ravel() * more.dtype.type(1 / max(1, np.count_nonzero(real)))
+        d *= (share / total)[:, None]
+        d[np.arange(len(d)), classes] -= share
+        g_last = hidden.T @ d
+        hidden = hidden[:, :HIDDEN]
+        # Gradients of what a position asks by and of what it is asked for lie side by side.
+        d_asking = np.empty_like(asking)
+        dh = d @ self.out.T
+        dh *= 1 - hidden * hidden
+        d_asking.reshape(len(dh), -1)[:, WIDTH:] = dh
+        da = dh @ self.mix[WIDTH:].T
+        da /= sums[:, None]
+        ds = np.matmul(da.reshape(*seen.shape, WIDTH), asked[:, :, WIDTH:].transpose(0, 2, 1))
+        ds -= np.einsum("nw,nw->n", da, read).reshape(*seen.shape, 1)
+        ds *= weight
+        g_distance = np.bincount(_BACK.ravel(), np.ones(len(ds), ds.dtype) @ ds.reshape(len(ds), -1))[:-1]
+        np.matmul(ds, asked[:, :, :WIDTH], out=d_asking[:, :, :WIDTH])
+        d_asked = np.empty_like(asked)
+        np.matmul(ds.transpose(0, 2, 1), asking[:, :, :WIDTH], out=d_asked[:, :, :WIDTH])
+        np.matmul(weight.transpose(0, 2, 1), da.reshape(*seen.shape, WIDTH), out=d_asked[:, :, WIDTH:])
+        d_asking, d_asked = d_asking.reshape(len(x), -1), d_asked.reshape(len(flat), -1)
+        g_asking, g_asked = x.T @ d_asking, flat.T @ d_asked
+        d_both = (d_asked @ to_be_asked.T).reshape(both.shape)
+        d_both[:, BLOCK:] += (d_asking @ to_ask.T).reshape(*seen.shape, WIDTH)
+        places = ids.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+        g_embed = np.bincount(places.ravel(), d_both.ravel(), self.embed.size).reshape(self.embed.shape)
+        g_query = g_asking[:, :WIDTH] * np.float32(1 / np.sqrt(WIDTH))
+        g_mix = np.concatenate([g_asking[:, WIDTH:], read.T @ dh])
+        grads = [g_embed, g_query, g_asked[:, :WIDTH], g_asked[:, WIDTH:], g_distance, g_mix, g_last[:-1], g_last[-1]]
+        return grads, (more, total, classes, share)
 
 
 def blocks(ids: np.ndarray, sizes: np.ndarray, start: int):
@@ -191,16 +233,30 @@ def train(model: AttentionModel, ids: np.ndarray, sizes: np.ndarray, rate: float
     """One pass of Adam over all blocks in random order."""
     _, seen, before, real, real_before, following = blocks(ids, sizes, len(model.kind) - 1)
     order = np.random.default_rng(seed).permutation(len(seen))
-    first = [np.zeros_like(w) for w in model.learned()]
-    second = [np.zeros_like(w) for w in model.learned()]
+    # All weights lie in one array, so that a step goes over all of them at once.
+    weights, at = model.flat(), 0
+    for f in fields(model):
+        if f.name not in ("prior", "kind"):
+            w = getattr(model, f.name)
+            setattr(model, f.name, weights[at : at + w.size].reshape(w.shape))
+            at += w.size
+    first, second, moved, grad = (np.zeros_like(weights) for _ in range(4))
     for step, at in enumerate(range(0, len(order), batch), 1):
         rows = order[at : at + batch]
-        _, grads = model.gradients(seen[rows], before[rows], real[rows], real_before[rows], following[rows])
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads))
-        clip = min(1.0, 1.0 / max(size, 1e-8))
-        for w, g, m, v in zip(model.learned(), grads, first, second):
-            g = g * clip
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            w -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+        grads, _ = model._slopes(seen[rows], before[rows], real[rows], real_before[rows], following[rows])
+        np.concatenate([g.ravel() for g in grads], out=grad, casting="same_kind")
+        clip = min(1.0, 1.0 / max(float(np.sqrt(grad @ grad)), 1e-8))
+        # A tenth of the gradient moves the mean; its square is the hundredth that moves the mean of squares.
+        np.multiply(grad, 0.1 * clip, out=moved)
+        first *= 0.9
+        first += moved
+        np.multiply(moved, moved, out=moved)
+        second *= 0.99
+        second += moved
+        level = (1 - 0.99**step) ** 0.5
+        np.sqrt(second, out=moved)
+        moved += 1e-6 * level
+        np.divide(first, moved, out=moved)
+        moved *= rate * level / (1 - 0.9**step)
+        weights -= moved
     return model

@@ -210,6 +210,42 @@ def test_training_steps_are_adams_and_scores_those_of_all_classes():
     assert np.array_equal(picked, np.take_along_axis(logs, kind[following][:, :, None], 2)[:, :, 0])
 
 
+def plain_logs(model, seen, before, real, real_before):
+    """Log-probabilities after each real position of each block, key by key in double precision."""
+    found = np.zeros((*seen.shape, model.prior.shape[1]))
+    own = {f: getattr(model, f).astype(float) for f in ("embed", "query", "key", "value", "distance", "mix", "out", "bias")}
+    for b, i in np.argwhere(real):
+        ids = [*before[b][real_before[b]], *seen[b, : i + 1]]
+        x = own["embed"][ids]
+        product = x @ own["key"] @ own["query"].T @ x[-1] / np.sqrt(attention.WIDTH) + own["distance"][len(ids) - 1 - np.arange(len(ids))]
+        weight = np.exp(product - product.max())
+        read = weight @ (x @ own["value"]) / weight.sum()
+        logits = np.tanh(np.concatenate([x[-1], read]) @ own["mix"]) @ own["out"] + own["bias"] + model.prior[seen[b, i]]
+        found[b, i] = logits - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+    return found
+
+
+@pytest.mark.parametrize("large", [1, 40])
+def test_scores_are_raised_without_overflow_and_weights_move_in_one_array(large):
+    """Small scores are raised as they are, large ones by what they lack to the largest: either way as key by key."""
+    rng = np.random.default_rng(7)
+    ids, sizes = rng.integers(0, 9, 150), np.array([70, 0, 1, 79])
+    kind = np.append(rng.integers(0, 4, 9), 4)
+    fresh = attention.AttentionModel.fresh(np.log(rng.dirichlet(np.ones(4), 10)), kind)
+    fresh.out[:] = large * rng.normal(0, 1, fresh.out.shape)
+    fresh.query *= 10 * large
+    seen, before, real, real_before, following = attention.blocks(ids, sizes, 9)[1:]
+    tables = fresh.tables()
+    logs = fresh.forward(seen, before, real, real_before, tables)
+    assert np.allclose(logs[real], plain_logs(fresh, seen, before, real, real_before)[real], rtol=2e-4, atol=2e-3)
+    loss, grads = fresh.gradients(seen, before, real, real_before, following)
+    picked = fresh.picked(seen, before, real, real_before, tables, following)
+    assert loss == pytest.approx(-picked[real].mean(), rel=1e-5) and all(np.isfinite(g).all() for g in grads)
+    trained = attention.train(fresh.with_flat(fresh.flat()), ids, sizes, batch=3)
+    assert all(w.base is trained.embed.base is not None for w in trained.learned())
+    assert np.isfinite(trained.flat()).all()
+
+
 def test_sketches_sum_the_codes_of_neighbours():
     rng = np.random.default_rng(6)
     texts = [rng.integers(0, 9, n) for n in (7, 1, 30)]
